@@ -7,13 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partyard.contracts import NORMALIZE_INPUTS, NORMALIZED_LISTINGS, pad_columns, require_columns
+from partyard.contracts import (
+    NORMALIZE_INPUTS,
+    NORMALIZED_LISTINGS,
+    RAW_LISTINGS,
+    pad_columns,
+    require_columns,
+)
 from partyard.functions import standardize, text
 
 FALLBACK_KEY = ["title", "price", "search_make_std", "search_model_std", "search_part_std"]
 
 # Where a listing stands in the search: grid cell, result page, place on it.
 POSITION = ["grid_position", "search_page", "position_in_page"]
+LONG_TEXTS = ["title", "subtitle", "raw_text"]
 
 
 def standardize_listings(cleansed: DataFrame) -> DataFrame:
@@ -50,18 +57,20 @@ def _dedup_key(columns: Sequence[str]) -> list[Column]:
     return parts
 
 
-def deduplicate(listings: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def deduplicate(listings: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """Keep the first listing of each address, or of each fallback key.
 
-    ``order_by`` says what "first" means; the remaining columns break ties, so
-    the outcome never depends on partitioning.  Spark turns the filter on the
-    row number into a group limit in front of the shuffle: each task sends one
-    row per key, however many copies a key has.
+    ``order`` says what "first" means; by default the search position and then
+    every column, so the outcome never depends on partitioning.  Spark turns
+    the filter on the row number into a group limit in front of the shuffle:
+    each task sends one row per key, however many copies a key has.
     """
     require_columns(listings, ["listing_url"], "deduplication input")
     columns = listings.columns
-    first = [c for c in (POSITION if order_by is None else order_by) if c in columns]
-    order = [F.col(c).asc_nulls_last() for c in [*first, *(c for c in columns if c not in first)]]
+    if order is None:
+        first = [c for c in POSITION if c in columns]
+        names = [*first, *(c for c in columns if c not in first)]
+        order = [F.col(c).asc_nulls_last() for c in names]
     blanked = {"listing_url": text.blank_to_null(F.col("listing_url"))}
     if "title" in columns:
         blanked["title"] = text.blank_to_null(F.col("title"))
@@ -69,6 +78,19 @@ def deduplicate(listings: DataFrame, order_by: Sequence[str] | None = None) -> D
     return listings.withColumn("_place", place).filter("_place = 1").drop("_place").withColumns(blanked)
 
 
+def search_order(columns: Sequence[str]) -> list[Column]:
+    """Search position, then the short raw columns, then a hash of the long texts.
+
+    Derived columns are left out: they follow from the raw ones, and naming
+    them would have every extractor run, and every text shuffled, for a result
+    that needs neither.
+    """
+    short = [f.name for f in RAW_LISTINGS if f.name not in LONG_TEXTS]
+    names = [c for c in [*POSITION, *(c for c in short if c not in POSITION)] if c in columns]
+    texts = [c for c in LONG_TEXTS if c in columns]
+    return [*(F.col(c).asc_nulls_last() for c in names), F.xxhash64(*texts).asc()]
+
+
 def dedup_stats(listings: DataFrame) -> DataFrame:
     """One row: rows before and after de-duplication, rows removed, and their share.
 
@@ -86,11 +108,12 @@ def dedup_stats(listings: DataFrame) -> DataFrame:
     return totals.withColumns({"removed_count": removed, "removed_rate": share})
 
 
-def normalize(cleansed: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Standardize, then de-duplicate.
+def normalize(cleansed: DataFrame) -> DataFrame:
+    """Standardize, then de-duplicate in search order.
 
     Columns outside the contract (the search position, say) stay available to
     the ordering and are dropped at the end.
     """
-    kept = deduplicate(pad_columns(standardize_listings(cleansed), NORMALIZED_LISTINGS), order_by)
+    padded = pad_columns(standardize_listings(cleansed), NORMALIZED_LISTINGS)
+    kept = deduplicate(padded, search_order(padded.columns))
     return kept.select([f.name for f in NORMALIZED_LISTINGS])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -16,15 +17,25 @@ from partyard.operators.trend import price_trend
 from partyard.operators.value import with_net_value, with_trend
 
 
-@dataclass(frozen=True)
+@dataclass
 class Analysis:
     """The stages of one analysis; each is a plan, none has run yet."""
 
     normalized: DataFrame
     summary: DataFrame
-    exported: DataFrame
-    ranked: DataFrame
-    top: DataFrame
+    top_n: int = rules.TOP_PARTS
+
+    @cached_property
+    def exported(self) -> DataFrame:
+        return export_summary(self.summary)
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        return rank_parts(self.summary)
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return top_parts(self.ranked, self.top_n)
 
 
 def analyze(
@@ -37,8 +48,7 @@ def analyze(
     """
     normalized = normalize(cleanse(raw))
     summary = analysis_summary(normalized, active, **summary_options)
-    ranked = rank_parts(summary)
-    return Analysis(normalized, summary, export_summary(summary), ranked, top_parts(ranked, top_n))
+    return Analysis(normalized, summary, top_n)
 
 
 def enrich(

@@ -8,17 +8,31 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings the plans are written for.  Whole-stage methods beyond 8,000 bytes are
+# never compiled by HotSpot; below the limit Spark falls back to projections whose
+# code it can split.
+PLAN_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    for key, value in PLAN_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: int | str = "*", app: str = "partyard", **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("PARTYARD_DRIVER_MEMORY", "8g"))
     )
-    for key, value in conf.items():
+    for key, value in (PLAN_SETTINGS | conf).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

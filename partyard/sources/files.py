@@ -47,8 +47,15 @@ def publish_snapshot(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
+def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a keyed table, from a listing of their success markers."""
+    jvm = spark._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    files = marker.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marker)
+    names = (status.getPath().getParent().getName() for status in files or [])
+    return sorted(int(name.split("=", 1)[1]) for name in names)
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version.  The version is a partition, so only it is read."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+    """The newest complete version; no other version is opened."""
+    return spark.read.parquet(f"{path}/version={snapshot_versions(spark, path)[-1]}")

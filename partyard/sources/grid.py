@@ -59,4 +59,5 @@ def search_grid(
 
 def pending_searches(grid: DataFrame, completed: DataFrame) -> DataFrame:
     """Grid cells whose execution key is not among the completed ones."""
-    return grid.join(completed.select("execution_key"), "execution_key", "left_anti")
+    done = completed.select("execution_key").distinct()
+    return grid.join(done, "execution_key", "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from partyard import rules
 from partyard.functions.numeric import round_scaled
+from partyard.functions.standardize import standardize_make
 from partyard.functions.text import is_heavy_duty, is_junk_title
 from partyard.operators import catalog, keyed, market, paired, ranking, trend, value
 from partyard.operators import normalize as norm
 from partyard.operators.cleanse import cleanse
 from partyard.plans.analysis import analyze, enrich
-from partyard.session import shared_dir
+from partyard.session import apply_settings, shared_dir
 from partyard.sources import grid, history, pages
 from partyard.streaming import ingest
 from queryset.views import AS_OF, ORDERS_AS_OF, Inputs
@@ -30,8 +31,7 @@ def query(run: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     """Register a query over the inputs under its function name."""
 
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _portable(run(Inputs(spark, sf_dir)))
+        return _portable(run(Inputs(apply_settings(spark), sf_dir)))
 
     call.__name__ = run.__name__
     QUERIES[run.__name__] = call
@@ -162,7 +162,7 @@ def page_stream(i: Inputs) -> DataFrame:
         F.lit(AS_OF).cast("timestamp").alias("scraped_at"),
         card.alias("html"),
     )
-    base = tempfile.mkdtemp(prefix="run-", dir=None) if _local(spark) else _fresh(spark)
+    base = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
     run = ingest.ingest_pages(
         landed,
         history_path=f"{base}/history",
@@ -173,16 +173,6 @@ def page_stream(i: Inputs) -> DataFrame:
     return ingest.ingested_history(spark, f"{base}/history").drop("batch", "scrape_date")
 
 
-def _local(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.checkpoint.dir", None) is None
-
-
-def _fresh(spark: SparkSession) -> str:
-    import uuid
-
-    return f"{shared_dir(spark)}/partyard-{uuid.uuid4().hex}"
-
-
 # -- cleansing and normalization --------------------------------------------
 
 
@@ -200,7 +190,7 @@ def junk_titles(i: Inputs) -> DataFrame:
 
 @query
 def heavy_duty_filter(i: Inputs) -> DataFrame:
-    heavy = is_heavy_duty(F.col("title"), norm.standardize.standardize_make(F.col("search_make")))
+    heavy = is_heavy_duty(F.col("title"), standardize_make(F.col("search_make")))
     return i.listings.filter(~heavy).select("position_in_page", "search_make", "title")
 
 
