@@ -28,9 +28,9 @@ def _class_attribute(name: str) -> str:
 
 
 def _inner_html(card: Column, tag: str, name: str) -> Column:
+    """Content of the first element with that class; empty when there is none."""
     pattern = rf"(?is)<({tag})\b[^>]*{_class_attribute(name)}[^>]*>(.*?)</\1\s*>"
-    inner = F.regexp_extract(card, pattern, 2)
-    return F.when(F.rlike(card, F.lit(pattern)), inner)
+    return F.regexp_extract(card, pattern, 2)
 
 
 def unescape(text: Column) -> Column:

@@ -76,7 +76,7 @@ def _landed(i: Inputs) -> DataFrame:
             F.lit("</ul></html>"),
         ).alias("html")
     )
-    return i.landed_pages.join(html, "page_id")
+    return i.spread(i.landed_pages.join(html, "page_id"), i.part)
 
 
 def _page_rows(i: Inputs) -> DataFrame:

@@ -330,10 +330,12 @@ class Inputs:
         over them first; a table of many files is read as it is.
         """
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spread(df, df) if name in SPREAD else df
+
+    def spread(self, df: DataFrame, landed: DataFrame) -> DataFrame:
+        """Spread ``df`` over the cores if ``landed`` has fewer files than that."""
         cores = self.spark.sparkContext.defaultParallelism
-        if name in SPREAD and len(df.inputFiles()) < cores:
-            df = df.repartition(cores)
-        return df
+        return df.repartition(cores) if len(landed.inputFiles()) < cores else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
