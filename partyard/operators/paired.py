@@ -1,6 +1,7 @@
 """Paired comparison of two parts over the vehicles that have both.
 
-Random draws come from a digest of (seed, pair, block of draws), so a result
+Functions here read ``pairs`` more than once; store them with ``settle`` first
+when they come from a long plan.  Random draws come from a digest of (seed, pair, block of draws), so a result
 does not depend on partitioning and can be repeated by any engine.
 """
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from partyard.functions.keys import history_vehicle_key
 from partyard.functions.numeric import normal_upper_tail
+from partyard.session import settle
 
 PERMUTATIONS = 100_000
 BOOTSTRAPS = 10_000
@@ -190,8 +192,12 @@ def compare_parts(
     bootstraps: int = BOOTSTRAPS,
     seed: int = 42,
 ) -> DataFrame:
-    """All paired results of two parts in one row."""
-    pairs = part_pairs(summary, part_a, part_b, metric)
+    """All paired results of two parts in one row.
+
+    Every test reads the pairs, so they are stored once; there is one row per
+    vehicle.
+    """
+    pairs = settle(part_pairs(summary, part_a, part_b, metric))
 
     def one(df: DataFrame, column: str) -> Column:
         return df.select(column).scalar()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Settings the plans are written for.  Whole-stage methods beyond 8,000 bytes are
@@ -49,3 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     return tempfile.mkdtemp(prefix="partyard-")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Store a small result that several later steps read, and cut its lineage.
+
+    The checkpoint lives in the shared folder, so it outlasts lost executors.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

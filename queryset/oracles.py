@@ -403,7 +403,7 @@ ORACLES: dict[str, str] = {
                g.execution_key, 'all' AS search_scope, g.search_year, g.search_make, g.search_model,
                g.search_part, '{rules.COUNT_API_URL}' AS search_url,
                COALESCE(m.result_count, 0) AS result_count, 1 AS page_count_observed
-        FROM ({grid_sql("searched_models", 2012, 2014, "all", "0")}) AS g
+        FROM ({grid_sql("searched_models", 2012, 2015, "all", "0")}) AS g
         LEFT JOIN market AS m ON m.search_year = g.search_year AND m.search_make = g.search_make
             AND m.search_model = g.search_model AND m.search_part = g.search_part""",
     "page_stream": f"""

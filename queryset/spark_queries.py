@@ -16,7 +16,7 @@ from partyard.operators import catalog, keyed, market, paired, ranking, trend, v
 from partyard.operators import normalize as norm
 from partyard.operators.cleanse import cleanse
 from partyard.plans.analysis import analyze, enrich
-from partyard.session import apply_settings, shared_dir
+from partyard.session import apply_settings, settle, shared_dir
 from partyard.sources import grid, history, pages
 from partyard.streaming import ingest
 from queryset.views import AS_OF, ORDERS_AS_OF, Inputs
@@ -126,7 +126,7 @@ def history_first(i: Inputs) -> DataFrame:
 
 @query
 def active_snapshot(i: Inputs) -> DataFrame:
-    cells = grid.search_grid(i.searched_models, first_year=2012, last_year=2014, scope="all")
+    cells = grid.search_grid(i.searched_models, first_year=2012, last_year=2015, scope="all")
     return history.active_snapshot(
         cells, i.market, run_id="run-a", scrape_ts=F.lit("2024-02-14T00:00:00")
     )
@@ -421,19 +421,24 @@ def vin_profile(i: Inputs) -> DataFrame:
 # -- paired comparison ------------------------------------------------------
 
 
-def _pairs(i: Inputs) -> DataFrame:
+def _part_pairs(i: Inputs) -> DataFrame:
     return paired.part_pairs(_analysis(i).summary, *PAIR)
 
 
+def _pairs(i: Inputs) -> DataFrame:
+    """The pairs, stored once: the tests below read them several times."""
+    return settle(_part_pairs(i))
+
+
 @query
 def part_pairs(i: Inputs) -> DataFrame:
-    return _rounded(_pairs(i), diff=9)
+    return _rounded(_part_pairs(i), diff=9)
 
 
 @query
 def paired_summary(i: Inputs) -> DataFrame:
     columns = ["mean_a", "mean_b", "mean_diff", "median_diff", "positive_rate"]
-    return _rounded(paired.paired_summary(_pairs(i)), **{c: 9 for c in columns})
+    return _rounded(paired.paired_summary(_part_pairs(i)), **{c: 9 for c in columns})
 
 
 @query

@@ -95,7 +95,7 @@ VIEWS["market"] = """
 SELECT search_year, search_make, search_model, search_part,
        COUNT(*) AS result_count, CAST(MAX(l_shipdate) AS STRING) AS scrape_ts
 FROM listing_cells
-WHERE l_linestatus = 'O' AND l_partkey % 5 <> 3
+WHERE l_linestatus = 'O'
 GROUP BY search_year, search_make, search_model, search_part
 """
 
@@ -226,7 +226,7 @@ FROM (SELECT DISTINCT page_id FROM cards) AS numbered
 
 VIEWS["seeded_vehicles"] = """
 SELECT CAST(2000 + c_custkey % 25 AS STRING) || '|' || make || '|' || model AS vehicle_key
-FROM (SELECT c_custkey, __MAKE__ AS make, __MODEL__ AS model FROM customer WHERE c_custkey % 7 <> 0) AS seeded
+FROM (SELECT c_custkey, __MAKE__ AS make, __MODEL__ AS model FROM customer WHERE c_acctbal > 0) AS seeded
 """.replace("__MAKE__", pick("c_custkey % 51", [m for m, _ in rules.SEED_VEHICLES])).replace(
     "__MODEL__", pick("c_custkey % 51", [m for _, m in rules.SEED_VEHICLES])
 )
@@ -261,7 +261,7 @@ SELECT vehicle_key, MAX(o_orderdate) AS last_crawled_at,
        COUNT(DISTINCT o_orderpriority) AS parts_scraped,
        COUNT(*) AS total_listings, MAX(o_orderdate) AS updated_at
 FROM (SELECT {_vehicle_key("o_custkey")} AS vehicle_key, o_orderdate, o_orderpriority
-      FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 7 <> 0) AS crawled
+      FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000) AS crawled
 GROUP BY vehicle_key
 """
 
