@@ -218,6 +218,12 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return union
 
 
+def result_set_id(vehicle_key: Column, as_of: datetime | str) -> Column:
+    """Stable id of the results of one vehicle and time, for header and items alike."""
+    named = F.concat_ws("|", vehicle_key, F.lit(as_of).cast("timestamp").cast("string"))
+    return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long")
+
+
 def result_header(
     vehicle_keys: DataFrame,
     as_of: datetime | str,
@@ -226,12 +232,10 @@ def result_header(
     source: str = "ebay",
     ttl_days: int = rules.RESULT_TTL_DAYS,
 ) -> DataFrame:
-    """Completed result-set headers for vehicles, keyed by a stable hash of key and time."""
+    """One completed result-set header per vehicle."""
     now = F.lit(as_of).cast("timestamp")
     return vehicle_keys.select("vehicle_key").distinct().select(
-        F.conv(F.substring(F.md5(F.concat_ws("|", "vehicle_key", now.cast("string"))), 1, 15), 16, 10)
-        .cast("long")
-        .alias("id"),
+        result_set_id(F.col("vehicle_key"), as_of).alias("id"),
         "vehicle_key",
         F.lit(window_days).alias("window_days"),
         F.lit(source).alias("source"),

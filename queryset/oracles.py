@@ -51,8 +51,8 @@ def first_price(x: str) -> str:
     )
 
 
-def md5_number(x: str, start: int = 1, digits: int = 8) -> str:
-    return f"('0x' || substr(md5({x}), {start}, {digits}))::BIGINT"
+def _set_id(key: str) -> str:
+    return f"('0x' || substr(md5({key} || '|{AS_OF}'), 1, 15))::BIGINT"
 
 
 def median_of(rows: str, keys: list[str], value: str) -> str:
@@ -441,14 +441,14 @@ ORACLES: dict[str, str] = {
     "price_trend": "SELECT * FROM trends",
     "enriched_parts": "SELECT * FROM enriched",
     "result_items": f"""
-        SELECT {md5_number("vehicle_key")} AS result_set_id,
+        SELECT {_set_id("CAST(year AS STRING) || '|' || lower(trim(COALESCE(make, ''))) || '|' || lower(trim(COALESCE(model, '')))")} AS result_set_id,
                {_ITEM.format(share="NULLIF(str, 0)", median="NULLIF(median_sold_price, 0)")} FROM enriched""",
     "result_set_lookup": f"""
-        SELECT {md5_number("'2013|ford|f-150'")} AS result_set_id,
+        SELECT {_set_id("'2013|ford|f-150'")} AS result_set_id,
                {_ITEM.format(share="str", median="median_sold_price")} FROM enriched
         WHERE vehicle_key = '2013 Ford F-150' ORDER BY vehicle_rank""",
     "result_headers": f"""
-        SELECT DISTINCT {md5_number(f"vehicle_key || '|{AS_OF}'", 1, 15)} AS id, vehicle_key,
+        SELECT DISTINCT {_set_id("vehicle_key")} AS id, vehicle_key,
                90 AS window_days, 'ebay' AS source, 'completed' AS status, '{AS_OF}' AS scraped_at,
                '{AS_OF}' AS created_at,
                CAST(TIMESTAMP '{AS_OF}' + INTERVAL 14 DAY AS STRING) AS cache_expires_at

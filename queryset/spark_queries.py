@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partyard import rules
+from partyard.functions.keys import lookup_vehicle_key
 from partyard.functions.numeric import round_scaled
 from partyard.functions.standardize import standardize_make
 from partyard.functions.text import is_heavy_duty, is_junk_title
@@ -271,21 +272,21 @@ def enriched_parts(i: Inputs) -> DataFrame:
     return _enriched(i)
 
 
+def _result_items(i: Inputs, **options) -> DataFrame:
+    vehicle = lookup_vehicle_key(F.col("year"), F.col("make"), F.col("model"))
+    return value.result_items(_enriched(i), keyed.result_set_id(vehicle, AS_OF), **options)
+
+
 @query
 def result_items(i: Inputs) -> DataFrame:
-    set_id = F.conv(F.substring(F.md5("vehicle_key"), 1, 8), 16, 10).cast("long")
-    return value.result_items(_enriched(i), set_id, zero_as_null=True)
+    return _result_items(i, zero_as_null=True)
 
 
 @query
 def result_set_lookup(i: Inputs) -> DataFrame:
     """The stored items of one result set, best rank first."""
-    set_id = F.concat_ws("|", "year", F.lower("make"), F.lower("model"))
-    items = value.result_items(
-        _enriched(i), F.conv(F.substring(F.md5(set_id), 1, 8), 16, 10).cast("long")
-    )
-    wanted = F.conv(F.substring(F.md5(F.lit("2013|ford|f-150")), 1, 8), 16, 10).cast("long")
-    return items.filter(F.col("result_set_id") == wanted).orderBy("vehicle_rank")
+    wanted = keyed.result_set_id(F.lit("2013|ford|f-150"), AS_OF)
+    return _result_items(i).filter(F.col("result_set_id") == wanted).orderBy("vehicle_rank")
 
 
 @query

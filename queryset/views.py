@@ -326,16 +326,16 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         """A driver table.
 
-        A text-heavy table landed as fewer files than there are cores is spread
-        over them first; a table of many files is read as it is.
+        A text-heavy table that reads as fewer splits than there are cores is
+        spread over them first; a large table is read as it is.
         """
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self.spread(df, df) if name in SPREAD else df
 
     def spread(self, df: DataFrame, landed: DataFrame) -> DataFrame:
-        """Spread ``df`` over the cores if ``landed`` has fewer files than that."""
+        """Spread ``df`` over the cores if ``landed`` has fewer splits than that."""
         cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(landed.inputFiles()) < cores else df
+        return df.repartition(cores) if landed.rdd.getNumPartitions() < cores else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
