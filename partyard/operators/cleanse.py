@@ -10,15 +10,19 @@ from partyard.functions import text
 CLEANED = ["title", "subtitle", "listing_url", "raw_text", "price_raw"]
 
 
-def cleanse(raw: DataFrame) -> DataFrame:
-    """Clean the text columns and add the extracted and guessed fields.
-
-    One narrow pass without a shuffle.  The combined text and its lower-cased
-    form are columns of their own, so no extractor builds them again.
-    """
-    cleaned = raw.withColumns(
+def clean_columns(raw: DataFrame) -> DataFrame:
+    """White space squeezed and empty texts made null in the text columns."""
+    return raw.withColumns(
         {name: text.clean_text(F.col(name)) for name in CLEANED if name in raw.columns}
     )
+
+
+def extract_fields(cleaned: DataFrame) -> DataFrame:
+    """Add the extracted and guessed fields to listings with clean text columns.
+
+    The combined text, its lower-cased form and the words found in it are
+    columns of their own, so no extractor builds them again.
+    """
     blob = (
         cleaned.withColumn(
             "_text", text.combined_text(F.col("title"), F.col("subtitle"), F.col("raw_text"))
@@ -47,6 +51,11 @@ def cleanse(raw: DataFrame) -> DataFrame:
     ).drop("_text", "_lower", "_vehicle", "_parts")
 
 
+def cleanse(raw: DataFrame) -> DataFrame:
+    """Clean the text columns and add the derived fields, in one narrow pass."""
+    return extract_fields(clean_columns(raw))
+
+
 def real_titles(listings: DataFrame) -> DataFrame:
     """Listings whose title is not page furniture."""
     return listings.filter(~text.is_junk_title(F.col("title")))

@@ -15,6 +15,7 @@ from partyard.contracts import (
     require_columns,
 )
 from partyard.functions import standardize, text
+from partyard.operators.cleanse import clean_columns, extract_fields
 
 FALLBACK_KEY = ["title", "price", "search_make_std", "search_model_std", "search_part_std"]
 
@@ -23,25 +24,38 @@ POSITION = ["grid_position", "search_page", "position_in_page"]
 LONG_TEXTS = ["title", "subtitle", "raw_text"]
 
 
-def standardize_listings(cleansed: DataFrame) -> DataFrame:
-    """Standard make, model, part and category columns; address without its query."""
-    df = pad_columns(cleansed, _only(NORMALIZED_LISTINGS, NORMALIZE_INPUTS))
-    blob = text.combined_text(F.col("title"), F.col("subtitle"), F.col("raw_text"))
-    tokens = df.withColumn("_token", text.normalize_token(blob))
-    return tokens.withColumns(
+def standardize_search(df: DataFrame) -> DataFrame:
+    """Standard search make, model and part; address without its query."""
+    return df.withColumns(
         {
             "search_make_std": standardize.standardize_make(F.col("search_make")),
             "search_model_std": standardize.standardize_model(F.col("search_model")),
             "search_part_std": standardize.standardize_part(F.col("search_part")),
+            "listing_url": text.strip_query(F.col("listing_url")),
+        }
+    )
+
+
+def add_categories(df: DataFrame) -> DataFrame:
+    """Standard part guess and the three category columns."""
+    blob = text.combined_text(F.col("title"), F.col("subtitle"), F.col("raw_text"))
+    tokens = df.withColumn("_token", text.normalize_token(blob))
+    return tokens.withColumns(
+        {
             "part_guess_std": standardize.standardize_part(F.col("part_guess")),
             "search_part_category": standardize.category_from_part(F.col("search_part")),
             "part_guess_category": standardize.category_from_part(F.col("part_guess")),
             "part_category_from_text": standardize.classify_token(F.col("_token")),
-            "listing_url": text.strip_query(F.col("listing_url")),
         }
     ).drop("_token")
 
 
+def standardize_listings(cleansed: DataFrame) -> DataFrame:
+    """All standard and category columns of cleansed listings."""
+    padded = pad_columns(cleansed, _only(NORMALIZED_LISTINGS, NORMALIZE_INPUTS))
+    return add_categories(standardize_search(padded))
+
+
 def _only(schema, names):
     return type(schema)([schema[name] for name in names])
 
@@ -117,3 +131,15 @@ def normalize(cleansed: DataFrame) -> DataFrame:
     padded = pad_columns(standardize_listings(cleansed), NORMALIZED_LISTINGS)
     kept = deduplicate(padded, search_order(padded.columns))
     return kept.select([f.name for f in NORMALIZED_LISTINGS])
+
+
+def normalize_raw(raw: DataFrame) -> DataFrame:
+    """The same listings as ``normalize(cleanse(raw))``, with less work.
+
+    What decides about duplicates is cheap to compute, so copies are dropped
+    first.  The extractors then run on the listings that stay, and the shuffle
+    does not carry their results.
+    """
+    keyed = standardize_search(clean_columns(pad_columns(raw, RAW_LISTINGS)))
+    kept = deduplicate(keyed, search_order(keyed.columns))
+    return add_categories(extract_fields(kept)).select([f.name for f in NORMALIZED_LISTINGS])

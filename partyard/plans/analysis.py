@@ -9,9 +9,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from partyard import rules
-from partyard.operators.cleanse import cleanse
 from partyard.operators.market import analysis_summary, export_summary
-from partyard.operators.normalize import normalize
+from partyard.operators.normalize import normalize_raw
 from partyard.operators.ranking import rank_parts, top_parts
 from partyard.operators.trend import price_trend
 from partyard.operators.value import with_net_value, with_trend
@@ -46,7 +45,7 @@ def analyze(
     For one vehicle, filter ``raw`` and ``active`` first; the filter reaches the
     scan.  Persist ``summary`` when several of the stages are written.
     """
-    normalized = normalize(cleanse(raw))
+    normalized = normalize_raw(raw)
     summary = analysis_summary(normalized, active, **summary_options)
     return Analysis(normalized, summary, top_n)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -70,10 +72,13 @@ def ingest_pages(
 ) -> StreamingQuery:
     """Parse newly landed pages, append listings, log crawl status; then stop.
 
-    Both outputs go to a folder per batch, replaced as a whole when a batch is
-    repeated after a failure, which makes the append exactly-once.  Deduplication
-    state lives in the state store and is bounded by ``delay``.
+    Both outputs go to a folder per stream and batch, replaced as a whole when a
+    batch is repeated after a failure, which makes the append exactly-once.  The
+    stream is named after its checkpoint, so a stream with a new checkpoint
+    cannot overwrite older batches.  Deduplication state lives in the state store
+    and is bounded by ``delay``.
     """
+    stream = md5(checkpoint_path.encode()).hexdigest()[:12]
     rows = card_fields(page_rows(pages).withColumn("is_page", F.col("card").isNull()))
     rows = rows.filter(F.col("is_page") | is_listing()).drop("is_page")
     if drop_repeats:
@@ -86,9 +91,9 @@ def ingest_pages(
             listings = conform(batch.filter("title IS NOT NULL"), SOLD_HISTORY)
             listings.withColumn("scrape_date", F.to_date("scraped_at")).write.mode(
                 "overwrite"
-            ).partitionBy("scrape_date").parquet(f"{history_path}/batch={batch_id}")
+            ).partitionBy("scrape_date").parquet(f"{history_path}/stream={stream}/batch={batch_id}")
             batch_status(batch).write.mode("overwrite").parquet(
-                f"{status_path}/batch={batch_id}"
+                f"{status_path}/stream={stream}/batch={batch_id}"
             )
         finally:
             batch.unpersist()
@@ -102,11 +107,12 @@ def ingest_pages(
 
 
 def ingested_history(spark: SparkSession, history_path: str) -> DataFrame:
-    """The appended listings, partitioned by batch and scrape date."""
-    return spark.read.parquet(history_path)
+    """The appended listings; the scrape date stays for partition pruning."""
+    return spark.read.parquet(history_path).drop("stream", "batch")
 
 
 def current_crawl_status(spark: SparkSession, status_path: str) -> DataFrame:
     """The newest logged status of each vehicle."""
     log = spark.read.parquet(status_path)
-    return latest_per_key(log, ["vehicle_key"], F.desc("updated_at"), F.desc("batch")).drop("batch")
+    newest = [F.desc("updated_at"), F.desc("batch"), F.desc("stream")]
+    return latest_per_key(log, ["vehicle_key"], *newest).drop("batch", "stream")

@@ -413,6 +413,10 @@ ORACLES: dict[str, str] = {
                '/itm/' || CAST(p_partkey % 1500 AS STRING) || '?hash=' || CAST(p_partkey AS STRING) AS listing_url,
                CAST(NULL AS STRING) AS sold_date, '{AS_OF}' AS scraped_at
         FROM part""",
+    "page_stream_status": f"""
+        SELECT '2015|Ford|' || p_brand AS vehicle_key, '{AS_OF}' AS last_crawled_at,
+               COUNT(DISTINCT p_type) AS parts_scraped, COUNT(*) AS total_listings, '{AS_OF}' AS updated_at
+        FROM part GROUP BY p_brand""",
     "cleanse_listings": "SELECT * FROM cleansed",
     "junk_titles": f"""
         SELECT position_in_page, search_page, title FROM listings

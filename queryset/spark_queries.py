@@ -15,7 +15,7 @@ from partyard.functions.standardize import standardize_make
 from partyard.functions.text import is_heavy_duty, is_junk_title
 from partyard.operators import catalog, keyed, market, paired, ranking, trend, value
 from partyard.operators import normalize as norm
-from partyard.operators.cleanse import cleanse
+from partyard.operators.cleanse import clean_columns, cleanse
 from partyard.plans.analysis import analyze, enrich
 from partyard.session import apply_settings, settle, shared_dir
 from partyard.sources import grid, history, pages
@@ -133,9 +133,8 @@ def active_snapshot(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def page_stream(i: Inputs) -> DataFrame:
-    """The part file as a stream of one-card pages, ingested to storage and read back."""
+def _ingested(i: Inputs) -> str:
+    """Ingest the part file as a stream of one-card pages; gives the output folder."""
     spark = i.spark
     parts = (
         spark.readStream.schema(i.part.schema)
@@ -171,7 +170,19 @@ def page_stream(i: Inputs) -> DataFrame:
         checkpoint_path=f"{base}/checkpoint",
     )
     run.awaitTermination()
-    return ingest.ingested_history(spark, f"{base}/history").drop("batch", "scrape_date")
+    return base
+
+
+@query
+def page_stream(i: Inputs) -> DataFrame:
+    """The listings a stream of landed pages has appended, read back from storage."""
+    return ingest.ingested_history(i.spark, f"{_ingested(i)}/history").drop("scrape_date")
+
+
+@query
+def page_stream_status(i: Inputs) -> DataFrame:
+    """The crawl status the same stream has logged."""
+    return ingest.current_crawl_status(i.spark, f"{_ingested(i)}/status")
 
 
 # -- cleansing and normalization --------------------------------------------
@@ -197,12 +208,12 @@ def heavy_duty_filter(i: Inputs) -> DataFrame:
 
 @query
 def normalize_listings(i: Inputs) -> DataFrame:
-    return norm.normalize(cleanse(i.sold_listings))
+    return norm.normalize_raw(i.sold_listings)
 
 
 @query
 def dedup_stats(i: Inputs) -> DataFrame:
-    return norm.dedup_stats(norm.standardize_listings(cleanse(i.sold_listings)))
+    return norm.dedup_stats(norm.standardize_search(clean_columns(i.sold_listings)))
 
 
 # -- market analysis --------------------------------------------------------
@@ -214,7 +225,7 @@ def _analysis(i: Inputs, **options):
 
 @query
 def sold_summary(i: Inputs) -> DataFrame:
-    rows = market.sold_summary(norm.normalize(cleanse(i.sold_listings)))
+    rows = market.sold_summary(norm.normalize_raw(i.sold_listings))
     return _rounded(rows, mean_sold_price=4)
 
 

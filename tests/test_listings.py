@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from partyard.contracts import NORMALIZED_LISTINGS, RAW_LISTINGS, conform, pad_columns, require_columns
 from partyard.operators.cleanse import cleanse, real_titles, without_heavy_duty
-from partyard.operators.normalize import dedup_stats, deduplicate, normalize, standardize_listings
+from partyard.operators.normalize import dedup_stats, deduplicate, normalize, normalize_raw, standardize_listings
 
 DEDUP = "listing_url string, title string, price double, search_make_std string, search_model_std string, search_part_std string"
 CAR = ("Toyota", "Camry", "alternator")
@@ -76,6 +76,23 @@ def test_cleanse_then_normalize(spark):
     assert kept.part_category_from_text == "Alternator"
 
 
+def test_dropping_copies_first_changes_nothing(spark):
+    urls = ["https://x/1?a=1", "https://x/1?a=2", "", None, "  ", "https://x/2"]
+    rows = raw(
+        spark,
+        *[
+            {"listing_url": url, "title": title, "search_page": page, "price_raw": f"${page}"}
+            for url in urls
+            for title in ("Used  headlight", "", None)
+            for page in (2, 1)
+        ],
+    )
+    fast = normalize_raw(rows)
+    assert fast.columns == NORMALIZED_LISTINGS.names
+    assert sorted(map(str, fast.collect())) == sorted(map(str, normalize(cleanse(rows)).collect()))
+    assert fast.count() == 4
+
+
 def test_normalize_pads_absent_columns(spark):
     row = ("r", "2026-04-11T09:12:03+00:00", "sold", 2018, "chevy", "f150", "headlamp", "headlamp", "OEM left headlight assembly", "clean lens", "OEM left headlight assembly for truck")
     names = "run_id string, scrape_ts string, pass_type string, search_year int, search_make string, search_model string, search_part string, part_guess string, title string, subtitle string, raw_text string, listing_url string"
