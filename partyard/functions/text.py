@@ -99,7 +99,8 @@ def listed_words(lowered: Column, words: Sequence[str]) -> Column:
     One pass over the text; the lookahead lets matches overlap.  It reports one
     word per start position, so if one word goes on where another one ends, as
     "door" and "door mirror" do, each word is searched for itself.  Words are
-    grouped by first letter, which rejects most positions after one letter.
+    grouped by first letter, and positions with another letter are skipped
+    before the costlier test for a word boundary.
     """
     nested = any(re.match(rf"{re.escape(a)}\b.", b, re.S) for a in words for b in words)
     if nested:
@@ -112,7 +113,9 @@ def listed_words(lowered: Column, words: Sequence[str]) -> Column:
     for word in words:
         rests.setdefault(word[0], []).append(re.escape(word[1:]))
     groups = "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in rests.items())
-    return F.regexp_extract_all(lowered, F.lit(rf"(?U)\b(?=({groups})\b)"), F.lit(1))
+    letters = "".join(re.escape(letter) for letter in rests)
+    pattern = rf"(?U)(?=[{letters}])\b(?=({groups})\b)"
+    return F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1))
 
 
 def vehicle_words(

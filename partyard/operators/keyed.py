@@ -97,9 +97,12 @@ def seed_rows(
     return exploded.select(key.alias("vehicle_key"), "year", "make", "model")
 
 
-def seed_missing(rows: DataFrame, vehicles: DataFrame) -> DataFrame:
-    """The rows to insert: those whose key the table does not have yet."""
-    return rows.join(vehicles.select("vehicle_key"), "vehicle_key", "left_anti")
+def seed_missing(rows: DataFrame, table: DataFrame, key: str = "vehicle_key") -> DataFrame:
+    """The rows to insert: those whose key the table does not have yet.
+
+    Seeds vehicles by their key, pull profiles by ``part_name``.
+    """
+    return rows.join(table.select(key).distinct(), key, "left_anti")
 
 
 def cache_status(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from partyard.contracts import CRAWL_STATUS, VEHICLES
 from partyard.operators import catalog, keyed
+from partyard.operators.value import pull_profiles
 
 NOW = "2024-03-01 00:00:00"
 
@@ -114,6 +115,12 @@ def test_seeding(spark):
     assert {r.vehicle_key for r in missing.collect()} == {"2024|Ford|F-150", "2023|Kia|Soul", "2024|Kia|Soul"}
 
 
+def test_seeding_profiles(spark):
+    profiles = pull_profiles(spark)
+    missing = keyed.seed_missing(profiles, profiles.filter("part_name <> 'door'"), "part_name")
+    assert [r.part_name for r in missing.collect()] == ["door"]
+
+
 def test_result_header(spark):
     out = keyed.result_header(vehicles(spark, ("a", None, None), ("a", None, None)), NOW, window_days=30)
     (row,) = out.collect()
