@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from partyard.session import local_session
@@ -48,6 +49,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = local_session(cpus, "bench")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-"))
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
     seconds: dict[str, float] = {}
     for name in names:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,13 +42,13 @@ def local_session(cpus: int | str = "*", app: str = "partyard", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset, as in local tests, a new
-    temporary folder takes its place.
+    It is never guessed: a folder of one machine's own would be unreadable to the
+    others.  Callers without a cluster name one with ``SparkContext.setCheckpointDir``.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    return tempfile.mkdtemp(prefix="partyard-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return named.rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -60,3 +60,13 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a result as Parquet below the shared folder and read it back.
+
+    For larger results than ``settle``: columns stay prunable and compressed.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

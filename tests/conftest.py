@@ -6,8 +6,9 @@ from partyard.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
