@@ -76,7 +76,9 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         | ((i > 0) & (F.get("windows", F.greatest(i - 1, F.lit(0)))["hash"] == x["hash"])),
     )
     starts = ordered.withColumn("starts", F.transform(repeated, lambda x: x["at"])).drop("windows")
-    covered = F.concat("starts", *(F.transform("starts", lambda p, k=k: p + k) for k in (1, 2)))
+    covered = F.concat(
+        "starts", F.transform("starts", lambda at: at + 1), F.transform("starts", lambda at: at + 2)
+    )
     return starts.select(
         "doc_id",
         "text",
