@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyard.llm import mixing, packing, quality_rules
+from partyard.llm import licenses, mixing, packing, pii, quality_rules
 from partyard.llm.common import column, count_words, table
 from partyard.llm.oracles import ORACLES
 
@@ -28,6 +28,12 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumn("expressions", F.array_join("expressions", " | "))
+
+
 @query
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized(table(spark, sf_dir, "documents"))).drop("sources", "passes")
@@ -39,6 +45,17 @@ def op6_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(sized(table(spark, sf_dir, "documents")))
 
 
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(f"n_{kind}" for kind in pii.KINDS),
+        "base_sha256",
+        pii.spans_text().alias("spans"),
+    )
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
