@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyard.llm import licenses, mixing, packing, pii, quality_rules
+from partyard.llm import licenses, mixing, packing, pii, quality_classifier, quality_rules
 from partyard.llm.common import column, count_words, table
 from partyard.llm.oracles import ORACLES
 
@@ -34,6 +34,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("expressions", F.array_join("expressions", " | "))
 
 
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_classifier.classify(docs, labels)
+
+
 @query
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized(table(spark, sf_dir, "documents"))).drop("sources", "passes")
