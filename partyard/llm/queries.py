@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyard.llm import licenses, mixing, packing, pii, quality_classifier, quality_rules
+from partyard.llm import licenses, mixing, near_dedup, packing, pii, quality_classifier, quality_rules
 from partyard.llm.common import column, count_words, table
 from partyard.llm.oracles import ORACLES
 
@@ -62,6 +62,11 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
