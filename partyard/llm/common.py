@@ -56,11 +56,62 @@ def map_columns(
                 out = work({n: batch.column(n).to_pylist() for n in batch.schema.names})
                 if out is not None:
                     yield _batch(out, arrow)
-        if finish is not None:
-            yield _batch(getattr(work, finish)(), arrow)
+        if finish is not None and (out := getattr(work, finish)()) is not None:
+            yield _batch(out, arrow)
 
     return df.mapInArrow(run, kind)
 
 
 def _batch(out: Columns, schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+
+
+class Runs:
+    """Calls a function on each run of rows with equal keys, across batch borders."""
+
+    def __init__(self, keys: list[str], function: Callable[[Columns], Columns | None]) -> None:
+        self.keys, self.function = keys, function
+        self.run: Columns = {}
+        self.key: tuple | None = None
+
+    def _end(self, out: Columns) -> None:
+        if self.run and (found := self.function(self.run)):
+            for name, values in found.items():
+                out.setdefault(name, []).extend(values)
+        self.run = {}
+
+    def __call__(self, rows: Columns) -> Columns | None:
+        out: Columns = {}
+        keys = list(zip(*(rows[k] for k in self.keys), strict=True))
+        start = 0
+        for i in range(1, len(keys) + 1):
+            if i < len(keys) and keys[i] == keys[start]:
+                continue
+            if keys[start] != self.key:
+                self._end(out)
+                self.key = keys[start]
+            for name, values in rows.items():
+                self.run.setdefault(name, []).extend(values[start:i])
+            start = i
+        return out or None
+
+    def rest(self) -> Columns | None:
+        out: Columns = {}
+        self._end(out)
+        return out or None
+
+
+def map_runs(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    schema: str,
+    make: Callable[[], Callable[[Columns], Columns | None]],
+) -> DataFrame:
+    """Apply a function to every group of rows with equal keys, its rows in order.
+
+    One shuffle by the keys and a sort; the groups stream by, so a task holds one group
+    at a time.  The caller keeps groups small.
+    """
+    ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    return map_columns(ordered, schema, lambda: Runs(keys, make()), "rest")

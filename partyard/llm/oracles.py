@@ -85,3 +85,26 @@ FROM judged
 """
 
 ORACLES = {"op4_mix_sources": MIX, "op10_quality_rules": QUALITY}
+
+EMBEDDINGS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.98
+), reach AS (
+  SELECT vec_id, vec_id AS root FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.root
+), found AS (
+  SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT e.vec_id,
+  CAST((SELECT count(*) FROM links WHERE a = e.vec_id) AS BIGINT) AS n_links,
+  f.component_id, e.vec_id = f.component_id AS kept
+FROM embeddings e JOIN found f USING (vec_id)
+"""
+
+ORACLES["op7_embedding_dedup"] = EMBEDDINGS

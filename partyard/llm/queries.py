@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyard.llm import licenses, mixing, near_dedup, packing, pii, quality_classifier, quality_rules
+from partyard.llm import embedding_dedup, licenses, mixing, near_dedup, packing, pii, quality_classifier, quality_rules
 from partyard.llm.common import column, count_words, table
 from partyard.llm.oracles import ORACLES
 
@@ -51,6 +51,11 @@ def op6_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(sized(table(spark, sf_dir, "documents")))
 
 
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
