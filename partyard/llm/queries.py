@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyard.llm import embedding_dedup, licenses, mixing, near_dedup, packing, pii, quality_classifier, quality_rules
+from partyard.llm import chat_format, embedding_dedup, licenses, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, token_counts
 from partyard.llm.common import column, count_words, table
 from partyard.llm.oracles import ORACLES
 
@@ -28,6 +28,12 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after masking and line clean-up."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
@@ -45,6 +51,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized(table(spark, sf_dir, "documents"))).drop("sources", "passes")
 
 
+@query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as canonical turns, its roles recovered from the lines."""
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op6_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences, their lengths counted in words."""
