@@ -123,9 +123,10 @@ def min_cost_flow(
         need[end[1]] -= amount
 
 
-def seeded_place(id_col: Column, seed: int) -> Column:
+def seeded_place(keys: Sequence[str], seed: int) -> Column:
     """Hex digest that orders documents; its head is the histogram bin."""
-    return F.md5(F.concat_ws(":", F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(str(seed))))
+    named = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
+    return F.md5(F.concat_ws(":", *named, F.lit(str(seed))))
 
 
 def mix(
@@ -133,22 +134,24 @@ def mix(
     targets: dict[str | None, float] | None = None,
     seed: int = 17,
     max_patterns: int = 100_000,
+    keys: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
     """Words taken of every document.
 
-    ``docs`` has ``doc_id``, ``size`` (long) and ``sources`` (array of strings, null
-    entries allowed).  ``targets`` maps sources to words; without it the sources share
+    ``docs`` has ``doc_id`` (or other ``keys``), ``size`` (long) and ``sources`` (array
+    of strings, null entries allowed).  ``targets`` maps sources to words; without it the sources share
     all words by the weights 1, 2, 3, repeating in code point order, and a document of
-    several sources counts for each.  Returns doc_id, sources, size, taken, passes.
+    several sources counts for each.  Returns the keys, sources,
+    size, source_size and target (null for several sources), taken and passes.
     """
     spark = docs.sparkSession
     most = len(PASS_COSTS)
     kept = stored(
         docs.select(
-            "doc_id",
+            *keys,
             F.array_sort(F.array_distinct("sources")).alias("sources"),
             F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"),
-            seeded_place(F.col("doc_id"), seed).alias("place"),
+            seeded_place(keys, seed).alias("place"),
         )
     )
     found = kept.groupBy("sources").agg(F.sum("size").alias("words")).limit(max_patterns + 1).collect()
@@ -183,20 +186,19 @@ def mix(
             )
         )
     schema = "sources array<string>, passes long, rest long, source_size long, target double"
-    return _drawn(kept, spark.createDataFrame(plan, T._parse_datatype_string(schema)))
+    return _drawn(kept, spark.createDataFrame(plan, T._parse_datatype_string(schema)), keys)
 
 
 def _last(source: str | None) -> tuple[bool, str]:
     return source is None, source or ""
 
 
-def _drawn(kept: DataFrame, plan: DataFrame) -> DataFrame:
+def _drawn(kept: DataFrame, plan: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Draw each pattern's partial pass in the seeded order.
 
     The words are counted per bin of the order; only the bin in which the partial pass
     ends is ordered row by row, so no task sorts a whole source.
     """
-    key = F.col("sources")
     planned = kept.withColumn("bin", F.substring("place", 1, BIN_DIGITS))
     bins = planned.groupBy("sources", "bin").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("sources").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -213,9 +215,9 @@ def _drawn(kept: DataFrame, plan: DataFrame) -> DataFrame:
         .withColumnsRenamed({"sources": "b_sources", "bin": "b_bin"})
     )
     rows = planned.join(
-        bins, key.eqNullSafe(F.col("b_sources")) & (F.col("bin") == F.col("b_bin"))
+        bins, F.col("sources").eqNullSafe(F.col("b_sources")) & (F.col("bin") == F.col("b_bin"))
     ).drop("b_sources", "b_bin", "words")
-    inside = Window.partitionBy("sources", "bin").orderBy("place", "doc_id", "size")
+    inside = Window.partitionBy("sources", "bin").orderBy("place", *keys, "size")
     earlier = F.coalesce(
         F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -227,7 +229,7 @@ def _drawn(kept: DataFrame, plan: DataFrame) -> DataFrame:
     whole = other.unionByName(edge)
     passes = F.when(F.col("size") > 0, F.col("passes") + F.col("extra").cast("long")).otherwise(0)
     return whole.select(
-        "doc_id",
+        *keys,
         "sources",
         "size",
         "source_size",
