@@ -8,46 +8,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _schema(ddl: str) -> T.StructType:
-    names = {
-        "str": T.StringType(),
-        "int": T.IntegerType(),
-        "long": T.LongType(),
-        "double": T.DoubleType(),
-        "bool": T.BooleanType(),
-        "date": T.DateType(),
-        "ts": T.TimestampType(),
-    }
-    fields = (item.split(":") for item in ddl.split())
-    return T.StructType([T.StructField(name, names[kind]) for name, kind in fields])
-
-
-RAW_LISTINGS = _schema(
-    """
-    run_id:str scrape_ts:str pass_type:str search_year:int search_make:str
-    search_model:str search_part:str search_url:str search_page:int title:str
-    price_raw:str subtitle:str listing_url:str raw_text:str
-    """
+STRING, INT, LONG = T.StringType(), T.IntegerType(), T.LongType()
+DOUBLE, BOOLEAN = T.DoubleType(), T.BooleanType()
+DATE, TIMESTAMP = T.DateType(), T.TimestampType()
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: column names and types of the tables
+# ---------------------------------------------------------------------------
+RAW_LISTINGS = T.StructType(
+    [
+        T.StructField("run_id", STRING),
+        T.StructField("scrape_ts", STRING),
+        T.StructField("pass_type", STRING),
+        T.StructField("search_year", INT),
+        T.StructField("search_make", STRING),
+        T.StructField("search_model", STRING),
+        T.StructField("search_part", STRING),
+        T.StructField("search_url", STRING),
+        T.StructField("search_page", INT),
+        T.StructField("title", STRING),
+        T.StructField("price_raw", STRING),
+        T.StructField("subtitle", STRING),
+        T.StructField("listing_url", STRING),
+        T.StructField("raw_text", STRING),
+    ]
 )
 CLEANSED_LISTINGS = T.StructType(
     RAW_LISTINGS.fields
-    + _schema(
-        """
-        price_clean:double condition_guess:str sold_date_guess:str
-        shipping_text:str vehicle_guess:str part_guess:str
-        part_number_guess:str year_range_guess:str years_found:str
-        """
+    + T.StructType(
+        [
+            T.StructField("price_clean", DOUBLE),
+            T.StructField("condition_guess", STRING),
+            T.StructField("sold_date_guess", STRING),
+            T.StructField("shipping_text", STRING),
+            T.StructField("vehicle_guess", STRING),
+            T.StructField("part_guess", STRING),
+            T.StructField("part_number_guess", STRING),
+            T.StructField("year_range_guess", STRING),
+            T.StructField("years_found", STRING),
+        ]
     ).fields
 )
 NORMALIZED_LISTINGS = T.StructType(
     CLEANSED_LISTINGS.fields
-    + _schema(
-        """
-        search_make_std:str search_model_std:str search_part_std:str
-        part_guess_std:str search_part_category:str part_guess_category:str
-        part_category_from_text:str
-        """
+    + T.StructType(
+        [
+            T.StructField("search_make_std", STRING),
+            T.StructField("search_model_std", STRING),
+            T.StructField("search_part_std", STRING),
+            T.StructField("part_guess_std", STRING),
+            T.StructField("search_part_category", STRING),
+            T.StructField("part_guess_category", STRING),
+            T.StructField("part_category_from_text", STRING),
+        ]
     ).fields
 )
 NORMALIZE_INPUTS = [
@@ -60,57 +73,120 @@ NORMALIZE_INPUTS = [
     "raw_text",
     "listing_url",
 ]
-MARKET_SUMMARY = _schema(
-    """
-    run_id:str scrape_ts:str pass_type:str search_key:str execution_key:str
-    search_scope:str search_year:int search_make:str search_model:str
-    search_part:str search_url:str result_count:long page_count_observed:int
-    """
+MARKET_SUMMARY = T.StructType(
+    [
+        T.StructField("run_id", STRING),
+        T.StructField("scrape_ts", STRING),
+        T.StructField("pass_type", STRING),
+        T.StructField("search_key", STRING),
+        T.StructField("execution_key", STRING),
+        T.StructField("search_scope", STRING),
+        T.StructField("search_year", INT),
+        T.StructField("search_make", STRING),
+        T.StructField("search_model", STRING),
+        T.StructField("search_part", STRING),
+        T.StructField("search_url", STRING),
+        T.StructField("result_count", LONG),
+        T.StructField("page_count_observed", INT),
+    ]
 )
-ANALYSIS_SUMMARY = _schema(
-    """
-    year:int make:str model:str part:str sold_count:long active_count:long
-    total_count:long median_price:double avg_price:double min_price:double
-    max_price:double str:double confidence_score:double
-    opportunity_score:double sold_timestamp:ts active_timestamp:ts
-    time_diff_hours:double stale_snapshot_flag:bool low_sample_flag:bool
-    very_low_sold_flag:bool
-    """
+ANALYSIS_SUMMARY = T.StructType(
+    [
+        T.StructField("year", INT),
+        T.StructField("make", STRING),
+        T.StructField("model", STRING),
+        T.StructField("part", STRING),
+        T.StructField("sold_count", LONG),
+        T.StructField("active_count", LONG),
+        T.StructField("total_count", LONG),
+        T.StructField("median_price", DOUBLE),
+        T.StructField("avg_price", DOUBLE),
+        T.StructField("min_price", DOUBLE),
+        T.StructField("max_price", DOUBLE),
+        T.StructField("str", DOUBLE),
+        T.StructField("confidence_score", DOUBLE),
+        T.StructField("opportunity_score", DOUBLE),
+        T.StructField("sold_timestamp", TIMESTAMP),
+        T.StructField("active_timestamp", TIMESTAMP),
+        T.StructField("time_diff_hours", DOUBLE),
+        T.StructField("stale_snapshot_flag", BOOLEAN),
+        T.StructField("low_sample_flag", BOOLEAN),
+        T.StructField("very_low_sold_flag", BOOLEAN),
+    ]
 )
-RANKED_PARTS = _schema(
-    """
-    year:int make:str model:str vehicle_key:str part:str
-    median_sold_price:double str:double sold_count:long active_count:long
-    confidence_score:double opportunity_score:double vehicle_rank:int
-    """
+RANKED_PARTS = T.StructType(
+    [
+        T.StructField("year", INT),
+        T.StructField("make", STRING),
+        T.StructField("model", STRING),
+        T.StructField("vehicle_key", STRING),
+        T.StructField("part", STRING),
+        T.StructField("median_sold_price", DOUBLE),
+        T.StructField("str", DOUBLE),
+        T.StructField("sold_count", LONG),
+        T.StructField("active_count", LONG),
+        T.StructField("confidence_score", DOUBLE),
+        T.StructField("opportunity_score", DOUBLE),
+        T.StructField("vehicle_rank", INT),
+    ]
 )
-SOLD_HISTORY = _schema(
-    """
-    vehicle_key:str search_year:int search_make:str search_model:str
-    search_part:str title:str price_raw:str listing_url:str sold_date:date
-    scraped_at:ts
-    """
+SOLD_HISTORY = T.StructType(
+    [
+        T.StructField("vehicle_key", STRING),
+        T.StructField("search_year", INT),
+        T.StructField("search_make", STRING),
+        T.StructField("search_model", STRING),
+        T.StructField("search_part", STRING),
+        T.StructField("title", STRING),
+        T.StructField("price_raw", STRING),
+        T.StructField("listing_url", STRING),
+        T.StructField("sold_date", DATE),
+        T.StructField("scraped_at", TIMESTAMP),
+    ]
 )
-RESULT_ITEMS = _schema(
-    """
-    result_set_id:long part_name:str sold_count:long active_count:long
-    sell_through_rate:double median_price:double opportunity_score:double
-    estimated_net_value:double recommendation:str confidence_score:double
-    vehicle_rank:int estimated_pull_minutes:int difficulty_score:int
-    shipping_class:str trend_direction:str trend_pct:double
-    """
+RESULT_ITEMS = T.StructType(
+    [
+        T.StructField("result_set_id", LONG),
+        T.StructField("part_name", STRING),
+        T.StructField("sold_count", LONG),
+        T.StructField("active_count", LONG),
+        T.StructField("sell_through_rate", DOUBLE),
+        T.StructField("median_price", DOUBLE),
+        T.StructField("opportunity_score", DOUBLE),
+        T.StructField("estimated_net_value", DOUBLE),
+        T.StructField("recommendation", STRING),
+        T.StructField("confidence_score", DOUBLE),
+        T.StructField("vehicle_rank", INT),
+        T.StructField("estimated_pull_minutes", INT),
+        T.StructField("difficulty_score", INT),
+        T.StructField("shipping_class", STRING),
+        T.StructField("trend_direction", STRING),
+        T.StructField("trend_pct", DOUBLE),
+    ]
 )
-VEHICLES = _schema(
-    """
-    vehicle_key:str year:int make:str model:str trim:str series:str engine:str
-    body_class:str drive_type:str fuel_type:str created_at:ts
-    """
+VEHICLES = T.StructType(
+    [
+        T.StructField("vehicle_key", STRING),
+        T.StructField("year", INT),
+        T.StructField("make", STRING),
+        T.StructField("model", STRING),
+        T.StructField("trim", STRING),
+        T.StructField("series", STRING),
+        T.StructField("engine", STRING),
+        T.StructField("body_class", STRING),
+        T.StructField("drive_type", STRING),
+        T.StructField("fuel_type", STRING),
+        T.StructField("created_at", TIMESTAMP),
+    ]
 )
-CRAWL_STATUS = _schema(
-    """
-    vehicle_key:str last_crawled_at:ts parts_scraped:long total_listings:long
-    updated_at:ts
-    """
+CRAWL_STATUS = T.StructType(
+    [
+        T.StructField("vehicle_key", STRING),
+        T.StructField("last_crawled_at", TIMESTAMP),
+        T.StructField("parts_scraped", LONG),
+        T.StructField("total_listings", LONG),
+        T.StructField("updated_at", TIMESTAMP),
+    ]
 )
 
 EXPORT_NAMES = {

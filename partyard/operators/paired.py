@@ -18,8 +18,17 @@ PERMUTATIONS = 100_000
 BOOTSTRAPS = 10_000
 CONFIDENCE_LEVEL = 0.95
 ALPHA = 0.05
-SIGNS_PER_DIGEST = 32
-PICKS_PER_DIGEST = 4
+SIGNS_PER_DIGEST = 60
+WEIGHTS_PER_DIGEST = 4
+#: Differences are summed in whole multiples of this, so sums are exact.
+GRAIN = 1e-12
+#: Draws that are made from one row of input before the next shuffle.
+DRAWS_PER_ROW = 1_000
+#: A Poisson weight of mean 1 is the number of these shares below a uniform number.
+POISSON_STEPS = [
+    0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317,
+    0.99940581518, 0.99991675885, 0.99998975080, 0.99999887480, 0.99999988857,
+]
 
 
 def part_pairs(summary: DataFrame, part_a: str, part_b: str, metric: str = "str") -> DataFrame:
@@ -41,17 +50,31 @@ def part_pairs(summary: DataFrame, part_a: str, part_b: str, metric: str = "str"
 def paired_summary(pairs: DataFrame) -> DataFrame:
     """Number of pairs, means, median difference and share of positive ones.
 
-    There is one pair per vehicle, so the exact median holds vehicles, not
-    listings.
+    The median is read from running counts over the distinct differences, bucketed,
+    so no task holds all pairs.
     """
+    size = F.abs(F.col("diff"))
+    scale = F.floor(F.log2(F.greatest(size, F.lit(5e-324))) * 64) + 100_000
+    counts = (
+        pairs.filter("diff IS NOT NULL")
+        .groupBy("diff")
+        .agg(F.count("*").alias("n"))
+        .withColumn("bucket", F.when(F.col("diff") == 0, 0).otherwise(F.signum("diff").cast("long") * scale))
+    )
+    total = pairs.agg(F.count("diff")).scalar()
+    middle = [(total - 1 - F.pmod(total - 1, F.lit(2))) / 2, (total - 1 + F.pmod(total - 1, F.lit(2))) / 2]
+    placed = _count_before(counts, "bucket", "diff")
+    at = [
+        F.max(F.when((F.col("before") <= m) & (F.col("before") + F.col("n") > m), F.col("diff"))) for m in middle
+    ]
+    median = placed.agg(((at[0] + at[1]) / 2.0).alias("median")).scalar()
     return pairs.agg(
         F.count("*").alias("n_pairs"),
         F.avg("a").alias("mean_a"),
         F.avg("b").alias("mean_b"),
         F.avg("diff").alias("mean_diff"),
-        F.median("diff").alias("median_diff"),
         F.avg((F.col("diff") > 0).cast("double")).alias("positive_rate"),
-    )
+    ).select("n_pairs", "mean_a", "mean_b", "mean_diff", median.alias("median_diff"), "positive_rate")
 
 
 def _count_before(counts: DataFrame, bucket: str, order: str) -> DataFrame:
@@ -107,8 +130,21 @@ def signed_rank(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _digest(seed: int, key: Column, block: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), key, block.cast("string")))
+def _digest(seed: int, *parts: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+
+
+def _grains(diff: Column) -> Column:
+    return F.round(diff / GRAIN).cast("long")
+
+
+def _drawn(rows: DataFrame, draws: int) -> DataFrame:
+    """Every row once per draw; blocks of draws are dealt out before they unfold."""
+    blocks = -(-draws // DRAWS_PER_ROW)
+    block, width = F.col("_block") * DRAWS_PER_ROW, F.lit(DRAWS_PER_ROW)
+    dealt = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition("_block")
+    last = F.least(block + width, F.lit(draws)) - 1
+    return dealt.withColumn("draw", F.explode(F.sequence(block, last))).drop("_block")
 
 
 def permutation_test(
@@ -116,26 +152,29 @@ def permutation_test(
 ) -> DataFrame:
     """Share of random sign flips whose mean difference reaches the observed one.
 
-    Each pair makes its own signs, 32 from one digest, and tasks add up partial
-    sums per draw, so the shuffle carries at most ``draws`` rows per task.
-    Sums are compared after rounding away the order of summation.
+    Pairs of equal size are counted first.  Of ``n`` of them the number that keeps its
+    sign is the number of ones in ``n`` random bits, 60 bits from one digest of (seed,
+    size, draw, word): rows are distinct sizes times draws, not pairs times draws.
     """
-    blocks = -(-draws // SIGNS_PER_DIGEST)
-    digests = pairs.select(
-        "vehicle_key", "diff", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    ).select("diff", "block", _digest(seed, F.col("vehicle_key"), F.col("block")).alias("hex"))
-    places = F.sequence(F.lit(1), F.lit(SIGNS_PER_DIGEST))
-    flips = digests.select("diff", "block", "hex", F.explode(places).alias("place"))
-    sign = F.when(F.substring("hex", F.col("place"), F.lit(1)) >= "8", 1.0).otherwise(-1.0)
-    draw = F.col("block") * SIGNS_PER_DIGEST + F.col("place") - 1
+    grains = _grains(F.col("diff"))
+    sizes = pairs.groupBy(F.abs(grains).alias("size")).agg(F.count("*").alias("n")).filter("size > 0")
+    words = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / SIGNS_PER_DIGEST).cast("long"))
+    bits = F.least(F.col("n") - F.col("word") * SIGNS_PER_DIGEST, F.lit(SIGNS_PER_DIGEST))
+    parts = sizes.withColumn("word", F.explode(words)).select("size", "word", bits.alias("bits"))
+    random = F.conv(F.substring(_digest(seed, F.col("size"), F.col("draw"), F.col("word")), 1, 15), 16, 10)
+    ones = F.bit_count(
+        F.call_function(
+            "shiftrightunsigned", random.cast("long"), SIGNS_PER_DIGEST - F.col("bits").cast("int")
+        )
+    )
+    observed = pairs.agg(F.sum(grains)).scalar()
+    mean = pairs.agg(F.avg("diff")).scalar()
     sums = (
-        flips.select(draw.alias("draw"), (sign * F.col("diff")).alias("signed"))
-        .filter(F.col("draw") < draws)
+        _drawn(parts, draws)
+        .select("draw", (F.col("size") * (2 * ones - F.col("bits"))).alias("signed"))
         .groupBy("draw")
-        .agg(F.round(F.sum("signed"), 12).alias("total"))
+        .agg(F.sum("signed").alias("total"))
     )
-    observed = pairs.agg(F.round(F.sum("diff"), 12)).scalar()
-    mean = pairs.agg(F.avg("diff")).scalar()
     return sums.agg(
         F.avg((F.col("total") >= observed).cast("double")).alias("p_value"),
         F.count("*").alias("draws"),
@@ -151,32 +190,33 @@ def bootstrap_ci(
 ) -> DataFrame:
     """Percentile interval of the mean difference over resampled pairs.
 
-    Pairs are numbered through digest buckets.  Every pair fills one slot of
-    each draw by picking a number, and the picks are joined to the pairs.
+    The Poisson bootstrap: in every draw each pair counts a Poisson number of times,
+    read from a digest of its own, so pairs need no numbering and no join, and tasks
+    add up one row per draw before the shuffle.
     """
-    bucket = F.conv(F.substring(F.md5("vehicle_key"), 1, 3), 16, 10).cast("int")
-    numbered = _count_before(
-        pairs.select("vehicle_key", "diff", F.lit(1).alias("n"), bucket.alias("bucket")),
-        "bucket",
-        "vehicle_key",
-    ).select("vehicle_key", "diff", F.col("before").alias("number"))
-    total = pairs.agg(F.count("*")).scalar()
-    blocks = -(-draws // PICKS_PER_DIGEST)
-    digests = pairs.select(
-        "vehicle_key", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    ).select("block", _digest(seed, F.col("vehicle_key"), F.col("block")).alias("hex"))
-    places = F.sequence(F.lit(0), F.lit(PICKS_PER_DIGEST - 1))
-    slots = digests.select("block", "hex", F.explode(places).alias("place"))
-    draw = F.col("block") * PICKS_PER_DIGEST + F.col("place")
+    blocks = -(-draws // WEIGHTS_PER_DIGEST)
+    key = F.col("vehicle_key")
+    digests = _drawn(pairs.select(key, _grains(F.col("diff")).alias("grains")), blocks).select(
+        "grains", F.col("draw").alias("block"), _digest(seed, key, F.col("draw")).alias("hex")
+    )
+    places = F.sequence(F.lit(0), F.lit(WEIGHTS_PER_DIGEST - 1))
+    slots = digests.withColumn("place", F.explode(places))
     word = F.conv(F.substring("hex", F.col("place") * 8 + 1, F.lit(8)), 16, 10).cast("long")
-    picks = slots.select(draw.alias("draw"), (word % total).alias("number")).filter(
-        F.col("draw") < draws
+    weight = sum((F.col("word") >= int(step * 2**32)).cast("long") for step in POISSON_STEPS)
+    means = (
+        slots.select(
+            (F.col("block") * WEIGHTS_PER_DIGEST + F.col("place")).alias("draw"), "grains", word.alias("word")
+        )
+        .filter(F.col("draw") < draws)
+        .select("draw", "grains", weight.alias("weight"))
+        .groupBy("draw")
+        .agg(F.sum("weight").alias("weight"), F.sum(F.col("weight") * F.col("grains")).alias("total"))
+        .select("draw", F.try_divide(F.col("total"), F.col("weight")).alias("mean"))
     )
-    means = picks.join(numbered, "number").groupBy("draw").agg(F.avg("diff").alias("mean"))
     tail = (1.0 - level) / 2.0
     return means.agg(
-        F.percentile("mean", F.lit(tail)).alias("ci_low"),
-        F.percentile("mean", F.lit(1.0 - tail)).alias("ci_high"),
+        (F.percentile("mean", F.lit(tail)) * GRAIN).alias("ci_low"),
+        (F.percentile("mean", F.lit(1.0 - tail)) * GRAIN).alias("ci_high"),
         F.count("*").alias("draws"),
     )
 

@@ -14,6 +14,7 @@ from partyard.functions.scoring import trend_label
 from partyard.functions.standardize import standardize_part
 from partyard.functions.text import first_price
 from partyard.operators.market import PriceRanks
+from partyard.sources.history import recent_listings
 
 KEYS = ["vehicle_key", "search_part"]
 
@@ -35,7 +36,6 @@ def price_trend(
     """
     now = F.lit(as_of).cast("timestamp")
     recent_from = now - F.make_interval(days=F.lit(window_days))
-    prior_from = now - F.make_interval(days=F.lit(2 * window_days))
     seen = F.col("scraped_at")
     if match == "normalized":
         key = lookup_vehicle_key(
@@ -44,7 +44,7 @@ def price_trend(
         part = standardize_part(F.col("search_part"))
     else:
         key, part = F.col("vehicle_key"), F.col("search_part")
-    windowed = history.filter(seen >= prior_from).select(
+    windowed = recent_listings(history, as_of, 2 * window_days).select(
         key.alias("vehicle_key"),
         part.alias("search_part"),
         (seen >= recent_from).alias("recent"),

@@ -10,21 +10,53 @@ from partyard.contracts import conform
 from partyard.operators.ranking import top_parts
 
 
-def read_run_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A run output with a header line, read under its contract.
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files below the path by their header line, from the first split of each file."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    firsts = (
+        lines.filter("start = 0 AND value <> ''")
+        .groupBy("file")
+        .agg(F.min_by("value", "line").alias("header"))
+        .groupBy("header")
+        .agg(F.collect_list("file").alias("files"))
+    )
+    return {row.header: sorted(row.files) for row in firsts.collect()}
+
 
-    Columns are matched by name, so a file may lack some or order them
-    differently; types come from the contract and nothing is inferred.
+def read_run_csv(
+    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = False
+) -> DataFrame:
+    """A run output with header lines, read under its contract.
+
+    Columns are matched by name in every file, so a file may lack some or order them
+    differently: files are read together where their headers agree.  Types come from
+    the contract and nothing is inferred.  Files stay splittable unless ``multi_line``
+    allows line breaks inside values.
     """
-    text = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    present = set(text.columns)
-    return text.select(
-        [
-            (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in schema
-        ]
-    )
+    found = None
+    for _, files in sorted(_headers(spark, path).items()):
+        text = (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .csv(files)
+        )
+        present = set(text.columns)
+        rows = text.select(
+            [
+                (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
+                .alias(f.name)
+                for f in schema
+            ]
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def write_run_csv(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:

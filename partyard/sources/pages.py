@@ -1,12 +1,14 @@
 """Landed result pages to listing rows, with native expressions only.
 
-A page is cut in front of every card opening, so list items nested in a card
-stay with their card.  Fields are taken from each piece by class name.
+Comments go first.  A page is cut in front of every card opening, and each piece ends
+where its own list item closes, so list items nested in a card stay with their card
+and text between two cards belongs to none.  Fields are taken by class name and end
+where their element closes, whatever elements of the same name they hold.
 """
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,29 +29,97 @@ def _class_attribute(name: str) -> str:
     )
 
 
+def _until_closed(rest: Column, tag: Column) -> Column:
+    """Text behind an opening tag up to where that element closes, or all of it.
+
+    The text is cut at every ``<``; a fold counts how many elements of the same name
+    are open and notes the piece in which the count reaches 0.
+    """
+    pieces = F.split(rest, "<")
+    name = F.lower(tag)
+
+    def step(piece: Column, place: Column) -> Column:
+        own = F.lower(F.regexp_extract(piece, r"^/?(\w+)", 1)) == name
+        closes = F.startswith(piece, F.lit("/"))
+        return F.when((place == 0) | ~own, 0).when(closes, -1).otherwise(1)
+
+    def fold(state: Column, change: Column) -> Column:
+        depth = state["depth"] + change
+        ended = (state["end"] < 0) & (depth == 0)
+        return F.struct(
+            depth.alias("depth"),
+            (state["place"] + 1).alias("place"),
+            F.when(ended, state["place"]).otherwise(state["end"]).alias("end"),
+        )
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("place"), F.lit(-1).alias("end"))
+    end = F.aggregate(F.transform(pieces, step), start, fold, lambda state: state["end"])
+    return F.when(end >= 0, F.array_join(F.slice(pieces, F.lit(1), end), "<")).otherwise(rest)
+
+
 def _inner_html(card: Column, tag: str, name: str) -> Column:
     """Content of the first element with that class; empty when there is none."""
-    pattern = rf"(?is)<({tag})\b[^>]*{_class_attribute(name)}[^>]*>(.*?)</\1\s*>"
-    return F.regexp_extract(card, pattern, 2)
+    opening = rf"(?is)<({tag})\b[^>]*{_class_attribute(name)}[^>]*>(.*)$"
+    found = F.regexp_extract(card, opening, 1)
+    inner = _until_closed(F.regexp_extract(card, opening, 2), found)
+    return F.when(found != "", inner).otherwise(F.lit(""))
+
+
+#: Named references of HTML 5; the older ones also count without a semicolon.
+NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+BARE = {name: text for name, text in html5.items() if not name.endswith(";")}
+_BARE_NAMES = "|".join(sorted(BARE, key=len, reverse=True))
+_DECIMAL = r"^&#([0-9]+);?"
+_HEXADECIMAL = r"(?i)^&#x([0-9a-f]+);?"
+#: Numeric references to these are read as characters of Windows-1252, by the standard.
+_LEGACY = {
+    str(c): chr(c) if c in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else bytes([c]).decode("cp1252")
+    for c in range(0x80, 0xA0)
+}
+
+
+def _by_number(code: Column) -> Column:
+    """Character of a code point (null: too large for one)."""
+    # A code point written as four bytes reads back as its character.
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    unknown = code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    dropped = (
+        code.between(0x1, 0x8)
+        | (code == 0xB)
+        | code.between(0xE, 0x1F)
+        | code.between(0x7F, 0x9F)
+        | code.between(0xFDD0, 0xFDEF)
+        | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    )
+    legacy = F.try_element_at(text_map(_LEGACY), code.cast("string"))
+    return (
+        F.when(unknown, F.lit("\ufffd")).when(legacy.isNotNull(), legacy).when(dropped, F.lit("")).otherwise(plain)
+    )
 
 
 def unescape(text: Column) -> Column:
-    """Replace named and numeric character references by their characters."""
-    named = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
-    table = text_map(named)
+    """Replace named and numeric character references as HTML 5 reads them."""
+    named, bare = text_map(NAMED), text_map(BARE)
+
+    def number(digits: Column, base: int, most: int) -> Column:
+        short = F.regexp_replace(digits, "^0+(?=.)", "")
+        return F.when(F.length(short) <= most, F.conv(short, base, 10).cast("long"))
 
     def piece(chunk: Column) -> Column:
-        decimal = F.regexp_extract(chunk, r"^&#(\d{1,7});?", 1)
-        hexadecimal = F.regexp_extract(chunk, r"(?i)^&#x([0-9a-f]{1,6});?", 1)
-        word = F.regexp_extract(chunk, r"^&(\w+);", 1)
-        code = F.coalesce(
-            decimal.try_cast("long"), F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10).cast("long")
+        decimal, hexadecimal = (F.regexp_extract(chunk, p, 1) for p in (_DECIMAL, _HEXADECIMAL))
+        name = F.regexp_extract(chunk, r"^&([^\t\n\f <&#;]{1,32});", 1)
+        old = F.regexp_extract(chunk, f"^&({_BARE_NAMES})", 1)
+        full = F.try_element_at(named, name)
+        return (
+            F.when(decimal != "", F.concat(_by_number(number(decimal, 10, 7)), F.regexp_replace(chunk, _DECIMAL, "")))
+            .when(
+                hexadecimal != "",
+                F.concat(_by_number(number(hexadecimal, 16, 6)), F.regexp_replace(chunk, _HEXADECIMAL, "")),
+            )
+            .when(full.isNotNull(), F.concat(full, F.substr(chunk, F.length(name) + 3)))
+            .when(old != "", F.concat(F.try_element_at(bare, old), F.substr(chunk, F.length(old) + 2)))
+            .otherwise(chunk)
         )
-        # A code point written as four bytes reads back as its character.
-        by_code = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        character = F.coalesce(F.when(code <= 0x10FFFF, by_code), F.try_element_at(table, word))
-        rest = F.regexp_replace(chunk, r"(?i)^&(?:#x[0-9a-f]{1,6};?|#\d{1,7};?|\w+;)", "")
-        return F.when(character.isNotNull(), F.concat(character, rest)).otherwise(chunk)
 
     pieces = F.transform(F.split(text, "(?=&)"), piece)
     return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
@@ -57,7 +127,7 @@ def unescape(text: Column) -> Column:
 
 def _text(inner: Column, separator: str) -> Column:
     """Text nodes of an element: trimmed, empty ones dropped, then joined."""
-    marked = F.regexp_replace(inner, r"(?s)<!--.*?-->|<[^>]*>", _GAP)
+    marked = F.regexp_replace(inner, "<[^>]*>", _GAP)
     nodes = F.transform(
         F.split(marked, _GAP),
         lambda node: F.regexp_replace(unescape(node), r"(?U)^\s+|\s+$", ""),
@@ -74,11 +144,18 @@ def _link(card: Column) -> Column:
 
 
 def split_cards(html: Column) -> Column:
-    """Pieces of a page that start with a card opening."""
-    return F.filter(
-        F.split(html, f"(?={CARD_OPEN})"), lambda piece: F.rlike(piece, F.lit("^" + CARD_OPEN))
+    """Cards of a page: each from its opening to where its list item closes."""
+    plain = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|$)", "")
+    pieces = F.filter(
+        F.split(plain, f"(?={CARD_OPEN})"), lambda piece: F.rlike(piece, F.lit("^" + CARD_OPEN))
     )
 
+    def closed(piece: Column) -> Column:
+        opening = F.regexp_extract(piece, r"(?s)^<[^>]*>", 0)
+        return F.concat(opening, _until_closed(F.substr(piece, F.length(opening) + 1), F.lit("li")))
+
+    return F.transform(pieces, closed)
+
 
 def card_fields(cards: DataFrame, card: str = "card") -> DataFrame:
     """Replace the card text by its listing fields."""

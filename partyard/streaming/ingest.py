@@ -21,6 +21,7 @@ PAGE_COLUMNS = [
     "search_model",
     "search_part",
     "scraped_at",
+    "crawl_id",
 ]
 REPEAT_KEY = ["vehicle_key", "search_part", "_address"]
 
@@ -29,35 +30,40 @@ def page_rows(pages: DataFrame) -> DataFrame:
     """One marker row per page (null card) and one row per card.
 
     The marker keeps the fact that a page was crawled when it has no card left.
+    Pages without a ``crawl_id`` belong to the crawl of their day.
     """
+    if "crawl_id" not in pages.columns:
+        pages = pages.withColumn("crawl_id", F.to_date("scraped_at").cast("string"))
     marker = F.array(F.lit(None).cast("string"))
     rows = F.concat(marker, split_cards(F.col("html")))
     return pages.select(*PAGE_COLUMNS, F.posexplode(rows).alias("place", "card"))
 
 
 def without_repeats(rows: DataFrame, delay: str) -> DataFrame:
-    """Drop listings seen before, by address without its query.
+    """Drop listings that arrived before, by address without its query.
 
-    Rows without an address must not fall together, so they and the page
+    What counts is when a page arrives, not when it was crawled, so a late page of an
+    old crawl is never dropped as such; ``delay`` only bounds how long an address is
+    remembered.  Rows without an address must not fall together, so they and the page
     markers get an address of their own.
     """
     own = F.concat_ws("#", F.col("page_id").cast("string"), F.col("place").cast("string"))
     address = F.coalesce(blank_to_null(strip_query(F.col("listing_url"))), own)
     return (
-        rows.withColumn("_address", address)
-        .withWatermark("scraped_at", delay)
+        rows.withColumns({"_address": address, "_arrived": F.current_timestamp()})
+        .withWatermark("_arrived", delay)
         .dropDuplicatesWithinWatermark(REPEAT_KEY)
-        .drop("_address")
+        .drop("_address", "_arrived")
     )
 
 
 def batch_status(rows: DataFrame) -> DataFrame:
-    """Crawl status rows of one batch: parts attempted and listings kept."""
-    return rows.groupBy("vehicle_key").agg(
-        F.max("scraped_at").alias("last_crawled_at"),
-        F.countDistinct("search_part").alias("parts_scraped"),
-        F.count("title").alias("total_listings"),
-        F.max("scraped_at").alias("updated_at"),
+    """Status log of one batch: a row per vehicle, crawl and part, with its listings.
+
+    Parts and listings of a crawl are added up over batches when the log is read.
+    """
+    return rows.groupBy("vehicle_key", "crawl_id", "search_part").agg(
+        F.max("scraped_at").alias("last_crawled_at"), F.count("title").alias("listings")
     )
 
 
@@ -112,7 +118,16 @@ def ingested_history(spark: SparkSession, history_path: str) -> DataFrame:
 
 
 def current_crawl_status(spark: SparkSession, status_path: str) -> DataFrame:
-    """The newest logged status of each vehicle."""
-    log = spark.read.parquet(status_path)
-    newest = [F.desc("updated_at"), F.desc("batch"), F.desc("stream")]
-    return latest_per_key(log, ["vehicle_key"], *newest).drop("batch", "stream")
+    """Parts and listings of each vehicle's newest crawl, over all batches that held it."""
+    crawls = (
+        spark.read.parquet(status_path)
+        .groupBy("vehicle_key", "crawl_id")
+        .agg(
+            F.max("last_crawled_at").alias("last_crawled_at"),
+            F.countDistinct("search_part").alias("parts_scraped"),
+            F.sum("listings").alias("total_listings"),
+        )
+        .withColumn("updated_at", F.col("last_crawled_at"))
+    )
+    newest = [F.desc("updated_at"), F.desc("crawl_id")]
+    return latest_per_key(crawls, ["vehicle_key"], *newest).drop("crawl_id")

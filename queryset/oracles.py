@@ -280,6 +280,17 @@ FROM (
     ) AS w
 ) AS x
 """
+STEPS["trend_rows_exact"] = f"""
+SELECT vehicle_key, search_part, scraped_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AS recent,
+       {first_price("price_raw")} AS price
+FROM sold_history WHERE scraped_at >= TIMESTAMP '{AS_OF}' - INTERVAL 60 DAY
+"""
+STEPS["trend_medians_exact"] = median_of(
+    "trend_rows_exact WHERE price > 0", ["vehicle_key", "search_part", "recent"], "price"
+)
+STEPS["trends_exact"] = STEPS["trends"].replace("trend_rows", "trend_rows_exact").replace(
+    "trend_medians", "trend_medians_exact"
+)
 STEPS["enriched"] = """
 SELECT v.*, COALESCE(t.direction, 'new') AS trend_direction, t.pct_change AS trend_pct
 FROM valued AS v LEFT JOIN trends AS t
@@ -289,9 +300,12 @@ WHERE v.vehicle_rank <= 10
 """
 
 STEPS["good_cards"] = """
-SELECT page_id, card_id % 60 AS position_in_page, title, price_raw, listing_url,
-       CASE WHEN shape = 5 THEN NULL ELSE '2024-01-' || lpad(sold_day, 2, '0') END AS sold_date
-FROM cards WHERE shape NOT IN (1, 2, 3)
+SELECT page_id, card_id % 60 AS position_in_page,
+       CASE shape WHEN 6 THEN 'New ' || title WHEN 8 THEN replace(title, '&', chr(10003) || ' & ' || chr(8211))
+            ELSE title END AS title,
+       price_raw, CASE WHEN shape IN (6, 8) THEN '' ELSE listing_url END AS listing_url,
+       CASE WHEN shape IN (5, 6, 8) THEN NULL ELSE '2024-01-' || lpad(sold_day, 2, '0') END AS sold_date
+FROM cards WHERE shape NOT IN (1, 2, 3, 7)
 """
 STEPS["page_listing_rows"] = """
 SELECT p.*, c.* EXCLUDE (page_id) FROM good_cards AS c JOIN landed_pages AS p USING (page_id)
@@ -306,6 +320,67 @@ FROM (
 """
 
 
+STEPS["pair_summary"] = f"""
+SELECT COUNT(*) AS n_pairs, {half_even("AVG(a)", 9)} AS mean_a, {half_even("AVG(b)", 9)} AS mean_b,
+       {half_even("AVG(diff)", 9)} AS mean_diff, {half_even("quantile_cont(diff, 0.5)", 9)} AS median_diff,
+       {half_even("AVG(CASE WHEN diff > 0 THEN 1e0 ELSE 0e0 END)", 9)} AS positive_rate
+FROM pair_rows
+"""
+STEPS["rank_test"] = f"""
+WITH sizes AS (
+    SELECT diff, COUNT(*) OVER (PARTITION BY abs(diff)) AS t,
+           rank() OVER (ORDER BY abs(diff)) AS r
+    FROM pair_rows WHERE diff <> 0
+), sums AS (
+    SELECT COUNT(*) AS n_used, SUM(CASE WHEN diff > 0 THEN r + (t - 1) / 2e0 ELSE 0e0 END) AS statistic,
+           SUM((t * t * t - t) / t::DOUBLE) AS ties FROM sizes
+), scores AS (
+    SELECT *, (statistic - n_used * (n_used + 1) / 4e0)
+        / sqrt(n_used * (n_used + 1) * (2 * n_used + 1) / 24e0 - ties / 48e0) AS z FROM sums
+)
+SELECT n_used, statistic, {half_even("z", 9)} AS z,
+    {half_even('''0.5 - sign(z) * exp(-z * z / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 80),
+        lambda k: abs(z) ** (2 * k + 1) / list_aggregate(list_transform(range(0, k + 1), lambda j: 2e0 * j + 1), 'product')))''', 9)} AS p_value
+FROM scores
+"""
+STEPS["pair_grains"] = """
+SELECT vehicle_key, diff, CAST(round(diff / 1e-12) AS BIGINT) AS grains FROM pair_rows
+"""
+STEPS["permuted"] = """
+WITH sizes AS (
+    SELECT abs(grains) AS size, COUNT(*) AS n FROM pair_grains WHERE grains <> 0 GROUP BY abs(grains)
+), words AS (
+    SELECT size, word, least(n - word * 60, 60) AS bits
+    FROM (SELECT size, n, unnest(range(0, (n - 1) // 60 + 1)) AS word FROM sizes) AS w
+), flips AS (
+    SELECT draw, size * (2 * bit_count((('0x' || substr(md5('42|' || CAST(size AS STRING) || '|' || CAST(draw AS STRING)
+           || '|' || CAST(word AS STRING)), 1, 15))::BIGINT) >> (60 - bits)) - bits) AS signed
+    FROM words, (SELECT unnest(range(0, 100000)) AS draw) AS d
+), totals AS (SELECT draw, SUM(signed) AS total FROM flips GROUP BY draw)
+SELECT (SELECT AVG(diff) FROM pair_rows) AS statistic,
+       AVG(CASE WHEN total >= (SELECT SUM(grains) FROM pair_grains) THEN 1e0 ELSE 0e0 END) AS p_value,
+       COUNT(*) AS draws FROM totals
+"""
+POISSON_STEPS = [
+    0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317,
+    0.99940581518, 0.99991675885, 0.99998975080, 0.99999887480, 0.99999988857,
+]
+_weight = " + ".join(f"CAST(word >= {int(p * 2**32)} AS BIGINT)" for p in POISSON_STEPS)
+STEPS["bootstrapped"] = f"""
+WITH slots AS (
+    SELECT h.block * 4 + p.place AS draw, grains, ('0x' || substr(h.hex, p.place * 8 + 1, 8))::BIGINT AS word
+    FROM (SELECT grains, block, md5('42|' || vehicle_key || '|' || CAST(block AS STRING)) AS hex
+          FROM pair_grains, (SELECT unnest(range(0, 2500)) AS block) AS bl) AS h,
+         (SELECT unnest(range(0, 4))::INT AS place) AS p
+), means AS (
+    SELECT draw, CAST(SUM(w * grains) AS DOUBLE) / NULLIF(CAST(SUM(w) AS DOUBLE), 0) AS mean
+    FROM (SELECT draw, grains, {_weight} AS w FROM slots) AS weighted GROUP BY draw
+)
+SELECT quantile_cont(mean, 0.025) * 1e-12 AS ci_low, quantile_cont(mean, 0.975) * 1e-12 AS ci_high,
+       COUNT(*) AS draws FROM means
+"""
+
+
 def compose(body: str, only: str = "") -> str:
     """The body with the steps it reads; ``only`` narrows the listings."""
     names = re.compile(r"\b(?:FROM|JOIN)\s+([a-z_]+)")
@@ -381,7 +456,9 @@ ORACLES: dict[str, str] = {
         WHERE execution_key NOT IN (SELECT execution_key FROM completed_searches)""",
     "page_cards": """
         SELECT * REPLACE (CAST(scraped_at AS STRING) AS scraped_at) FROM page_listing_rows""",
-    "foreign_pages": "SELECT COUNT(*) FILTER (contains(html, 's-card')) AS listings FROM pages",
+    "foreign_pages": """
+        SELECT page_id, 'Page ' || CAST(page_id AS STRING) AS title,
+               '$' || CAST(page_id + 1 AS STRING) AS price_raw, '' AS listing_url FROM pages""",
     "recent_listings": f"""
         SELECT * REPLACE (CAST(scraped_at AS STRING) AS scraped_at, CAST(sold_date AS STRING) AS sold_date)
         FROM sold_history WHERE scraped_at >= TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL 14 DAY""",
@@ -417,6 +494,20 @@ ORACLES: dict[str, str] = {
         SELECT '2015|Ford|' || p_brand AS vehicle_key, '{AS_OF}' AS last_crawled_at,
                COUNT(DISTINCT p_type) AS parts_scraped, COUNT(*) AS total_listings, '{AS_OF}' AS updated_at
         FROM part GROUP BY p_brand""",
+    "page_stream_unique": """
+        SELECT DISTINCT '2015|Ford|' || CAST(p_partkey % 5 AS STRING) AS vehicle_key,
+               'part ' || CAST(p_partkey % 4 AS STRING) AS search_part,
+               '/itm/' || CAST(p_partkey % 400 AS STRING) AS address
+        FROM part""",
+    "page_stream_crawls": f"""
+        SELECT '2015|Ford|' || CAST(p_partkey % 5 AS STRING) AS vehicle_key, '{AS_OF}' AS last_crawled_at,
+               COUNT(DISTINCT p_partkey % 4) AS parts_scraped, COUNT(*) AS total_listings, '{AS_OF}' AS updated_at
+        FROM part WHERE p_partkey % 7 = 0 GROUP BY p_partkey % 5""",
+    "stored_history": f"""
+        SELECT * EXCLUDE (event_id) REPLACE (CAST(scraped_at AS STRING) AS scraped_at, CAST(sold_date AS STRING) AS sold_date)
+        FROM sold_history WHERE scraped_at >= TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL 14 DAY""",
+    "stored_trend": "SELECT * FROM trends",
+    "stored_ranking": "SELECT * FROM ranked",
     "cleanse_listings": "SELECT * FROM cleansed",
     "junk_titles": f"""
         SELECT position_in_page, search_page, title FROM listings
@@ -442,7 +533,9 @@ ORACLES: dict[str, str] = {
         SELECT * FROM ranked WHERE vehicle_rank <= 10""",
     "net_value": "SELECT * FROM valued",
     "net_value_cautious": valued("1e-1", "40e0", "100", "6e-1", "50"),
+    "net_value_bold": valued("13e-2", "25e0", "50", "35e-2", "15"),
     "price_trend": "SELECT * FROM trends",
+    "price_trend_exact": "SELECT * FROM trends_exact",
     "enriched_parts": "SELECT * FROM enriched",
     "result_items": f"""
         SELECT {_set_id("CAST(year AS STRING) || '|' || lower(trim(COALESCE(make, ''))) || '|' || lower(trim(COALESCE(model, '')))")} AS result_set_id,
@@ -463,6 +556,8 @@ ORACLES: dict[str, str] = {
              (SELECT unnest(range(2000, 2025)) AS year) AS y
         WHERE CAST(y.year AS STRING) || '|' || s.make || '|' || s.model
               NOT IN (SELECT vehicle_key FROM seeded_vehicles)""",
+    "seed_profiles": """
+        SELECT * FROM profiles WHERE part_name NOT IN (SELECT part_name FROM stored_profiles)""",
     "vehicle_upsert": """
         SELECT COALESCE(v.vehicle_key, d.vehicle_key) AS vehicle_key,
                COALESCE(v.year, d.year) AS year, COALESCE(v.make, d.make) AS make,
@@ -569,54 +664,24 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, CAST(substr(trim(vin), 4) AS BIGINT) % 7 AS p_body, CAST(substr(trim(vin), 4) AS BIGINT) % 6 AS p_drive
               FROM vin_wide WHERE length(trim(vin)) = 17 AND model_year <> '') AS w""",
     "part_pairs": f"SELECT vehicle_key, a, b, {half_even('diff', 9)} AS diff FROM pair_rows",
-    "paired_summary": f"""
-        SELECT COUNT(*) AS n_pairs, {half_even("AVG(a)", 9)} AS mean_a, {half_even("AVG(b)", 9)} AS mean_b,
-               {half_even("AVG(diff)", 9)} AS mean_diff, {half_even("quantile_cont(diff, 0.5)", 9)} AS median_diff,
-               {half_even("AVG(CASE WHEN diff > 0 THEN 1e0 ELSE 0e0 END)", 9)} AS positive_rate
-        FROM pair_rows""",
-    "signed_rank": f"""
-        WITH sizes AS (
-            SELECT diff, COUNT(*) OVER (PARTITION BY abs(diff)) AS t,
-                   rank() OVER (ORDER BY abs(diff)) AS r
-            FROM pair_rows WHERE diff <> 0
-        ), sums AS (
-            SELECT COUNT(*) AS n_used, SUM(CASE WHEN diff > 0 THEN r + (t - 1) / 2e0 ELSE 0e0 END) AS statistic,
-                   SUM((t * t * t - t) / t::DOUBLE) AS ties FROM sizes
-        ), scores AS (
-            SELECT *, (statistic - n_used * (n_used + 1) / 4e0)
-                / sqrt(n_used * (n_used + 1) * (2 * n_used + 1) / 24e0 - ties / 48e0) AS z FROM sums
-        )
-        SELECT n_used, statistic, {half_even("z", 9)} AS z,
-            {half_even('''0.5 - sign(z) * exp(-z * z / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 80),
-                lambda k: abs(z) ** (2 * k + 1) / list_aggregate(list_transform(range(0, k + 1), lambda j: 2e0 * j + 1), 'product')))''', 9)} AS p_value
-        FROM scores""",
+    "paired_summary": "SELECT * FROM pair_summary",
+    "signed_rank": "SELECT n_used, statistic, z, p_value FROM rank_test",
     "permutation_test": f"""
-        WITH flips AS (
-            SELECT h.block * 32 + p.place - 1 AS draw,
-                   CASE WHEN substr(h.hex, p.place, 1) >= '8' THEN diff ELSE -diff END AS signed
-            FROM (SELECT diff, block, md5('42|' || vehicle_key || '|' || CAST(block AS STRING)) AS hex
-                  FROM pair_rows, (SELECT unnest(range(0, 3125)) AS block) AS bl) AS h,
-                 (SELECT unnest(range(1, 33))::INT AS place) AS p
-        ), totals AS (SELECT draw, round(SUM(signed), 12) AS total FROM flips GROUP BY draw)
-        SELECT {half_even("(SELECT AVG(diff) FROM pair_rows)", 9)} AS statistic,
-               AVG(CASE WHEN total >= (SELECT round(SUM(diff), 12) FROM pair_rows) THEN 1e0 ELSE 0e0 END) AS p_value,
-               COUNT(*) AS draws FROM totals""",
+        SELECT {half_even("statistic", 9)} AS statistic, p_value, draws FROM permuted""",
     "bootstrap_ci": f"""
-        WITH numbered AS (
-            SELECT vehicle_key, diff, row_number() OVER (ORDER BY substr(md5(vehicle_key), 1, 3), vehicle_key) - 1 AS number
-            FROM pair_rows
-        ), picks AS (
-            SELECT h.block * 4 + p.place AS draw,
-                   ('0x' || substr(h.hex, p.place * 8 + 1, 8))::BIGINT % (SELECT COUNT(*) FROM pair_rows) AS number
-            FROM (SELECT block, md5('42|' || vehicle_key || '|' || CAST(block AS STRING)) AS hex
-                  FROM pair_rows, (SELECT unnest(range(0, 2500)) AS block) AS bl) AS h,
-                 (SELECT unnest(range(0, 4))::INT AS place) AS p
-        ), means AS (SELECT draw, AVG(diff) AS mean FROM picks JOIN numbered USING (number) GROUP BY draw)
-        SELECT {half_even("quantile_cont(mean, 0.025)", 9)} AS ci_low,
-               {half_even("quantile_cont(mean, 0.975)", 9)} AS ci_high, COUNT(*) AS draws FROM means""",
+        SELECT {half_even("ci_low", 9)} AS ci_low, {half_even("ci_high", 9)} AS ci_high, draws FROM bootstrapped""",
+    "compare_parts": f"""
+        SELECT 'alternator' AS part_a, 'headlight' AS part_b, 'str' AS metric, 0.05 AS alpha,
+               'greater' AS alternative, s.*, 'paired_permutation' AS permutation_test_name,
+               {half_even("p.statistic", 9)} AS permutation_statistic, p.p_value AS permutation_p_value,
+               100000 AS permutation_count, 'wilcoxon_signed_rank' AS wilcoxon_test_name,
+               w.statistic AS wilcoxon_statistic, w.p_value AS wilcoxon_p_value,
+               'bootstrap_percentile_mean_diff' AS ci_method, 0.95 AS ci_confidence_level,
+               {half_even("b.ci_low", 9)} AS ci_low, {half_even("b.ci_high", 9)} AS ci_high,
+               10000 AS ci_bootstrap_iterations, p.p_value < 0.05 AS reject_null
+        FROM pair_summary AS s CROSS JOIN permuted AS p CROSS JOIN bootstrapped AS b CROSS JOIN rank_test AS w""",
 }
 
-
 # A vehicle lookup sees the listings of its own vehicle only.
 NARROWED = {"vehicle_analysis": " AND search_year = 2013 AND search_model = 'Accord'"}
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partyard import rules
+from partyard.contracts import RANKED_PARTS
 from partyard.functions.keys import lookup_vehicle_key
 from partyard.functions.numeric import round_scaled
 from partyard.functions.standardize import standardize_make
@@ -18,7 +19,7 @@ from partyard.operators import normalize as norm
 from partyard.operators.cleanse import clean_columns, cleanse
 from partyard.plans.analysis import analyze, enrich
 from partyard.session import apply_settings, settle, shared_dir
-from partyard.sources import grid, history, pages
+from partyard.sources import files, grid, history, pages
 from partyard.streaming import ingest
 from queryset.views import AS_OF, ORDERS_AS_OF, Inputs
 
@@ -77,7 +78,7 @@ def _landed(i: Inputs) -> DataFrame:
             F.lit("</ul></html>"),
         ).alias("html")
     )
-    return i.spread(i.landed_pages.join(html, "page_id"), i.part)
+    return i.landed_pages.join(html, "page_id")
 
 
 def _page_rows(i: Inputs) -> DataFrame:
@@ -91,8 +92,14 @@ def page_cards(i: Inputs) -> DataFrame:
 
 @query
 def foreign_pages(i: Inputs) -> DataFrame:
-    """Pages without a single card give no rows."""
-    blank = F.lit("")
+    """Raw pages of other sites behind one card each: the card ends before the page."""
+    card = F.concat(
+        F.lit('<li class="s-card"><div class="s-card__title">Page <b>'),
+        F.col("page_id").cast("string"),
+        F.lit('</b></div><span class="s-card__price">$'),
+        (F.col("page_id") + 1).cast("string"),
+        F.lit("</span></li>"),
+    )
     found = pages.page_listings(
         i.table("pages").select(
             F.col("page_id"),
@@ -100,12 +107,12 @@ def foreign_pages(i: Inputs) -> DataFrame:
             F.lit(2012).alias("search_year"),
             F.lit("Ford").alias("search_make"),
             F.lit("F-150").alias("search_model"),
-            blank.alias("search_part"),
+            F.lit("").alias("search_part"),
             F.lit(AS_OF).cast("timestamp").alias("scraped_at"),
-            F.col("html"),
+            F.concat(card, F.coalesce("html", F.lit(""))).alias("html"),
         )
     )
-    return found.agg(F.count("*").alias("listings"))
+    return found.select("page_id", "title", "price_raw", "listing_url")
 
 
 @query
@@ -185,6 +192,89 @@ def page_stream_status(i: Inputs) -> DataFrame:
     return ingest.current_crawl_status(i.spark, f"{_ingested(i)}/status")
 
 
+def _several_files(i: Inputs) -> str:
+    """Ingest one-card pages from several files, one file per micro-batch.
+
+    Addresses come again every 400 parts, in other files; every seventh page is of
+    the newest crawl, all others are up to three months older and land in between.
+    """
+    key = F.col("p_partkey")
+    base = f"{shared_dir(i.spark)}/ingest-{uuid.uuid4().hex}"
+    card = F.concat(
+        F.lit("<li class='s-card'><div class='s-card__title'>A part</div><span class='s-card__price'>$"),
+        (key + 1).cast("string"),
+        F.lit("</span><a class='s-card__link' href='/itm/"),
+        (key % 400).cast("string"),
+        F.lit("?hash="),
+        key.cast("string"),
+        F.lit("'>x</a></li>"),
+    )
+    days = F.when(key % 7 == 0, 0).otherwise(1 + key % 90).cast("int")
+    pages_ = i.part.select(
+        key.alias("page_id"),
+        F.concat(F.lit("2015|Ford|"), (key % 5).cast("string")).alias("vehicle_key"),
+        F.lit(2015).alias("search_year"),
+        F.lit("Ford").alias("search_make"),
+        (key % 5).cast("string").alias("search_model"),
+        F.concat(F.lit("part "), (key % 4).cast("string")).alias("search_part"),
+        (F.lit(AS_OF).cast("timestamp") - F.make_interval(days=days)).alias("scraped_at"),
+        F.when(key % 7 == 0, "newest").otherwise(F.concat(F.lit("day "), days.cast("string"))).alias("crawl_id"),
+        card.alias("html"),
+    )
+    pages_.repartition(4, key % 4).write.parquet(f"{base}/landed")
+    landed = (
+        i.spark.readStream.schema(pages_.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
+    )
+    for name, unique in (("unique", True), ("all", False)):
+        ingest.ingest_pages(
+            landed,
+            history_path=f"{base}/{name}/history",
+            status_path=f"{base}/{name}/status",
+            checkpoint_path=f"{base}/{name}/checkpoint",
+            drop_repeats=unique,
+        ).awaitTermination()
+    return base
+
+
+@query
+def page_stream_unique(i: Inputs) -> DataFrame:
+    """Addresses that a stream without repeats has stored, each once."""
+    rows = ingest.ingested_history(i.spark, f"{_several_files(i)}/unique/history")
+    address = F.split_part("listing_url", F.lit("?"), F.lit(1))
+    return rows.select("vehicle_key", "search_part", address.alias("address"))
+
+
+@query
+def page_stream_crawls(i: Inputs) -> DataFrame:
+    """The newest crawl's status, its pages spread over several batches."""
+    return ingest.current_crawl_status(i.spark, f"{_several_files(i)}/all/status")
+
+
+def _stored_history(i: Inputs) -> DataFrame:
+    """The history written by scrape date and read back."""
+    path = f"{shared_dir(i.spark)}/history-{uuid.uuid4().hex}"
+    history.append_history(i.sold_history, path)
+    return i.spark.read.parquet(path)
+
+
+@query
+def stored_history(i: Inputs) -> DataFrame:
+    return history.recent_listings(_stored_history(i), HISTORY_AS_OF).drop("scrape_date")
+
+
+@query
+def stored_trend(i: Inputs) -> DataFrame:
+    return trend.price_trend(_stored_history(i), AS_OF)
+
+
+@query
+def stored_ranking(i: Inputs) -> DataFrame:
+    """The full ranking written as CSV and read back under its contract."""
+    base = f"{shared_dir(i.spark)}/ranking-{uuid.uuid4().hex}"
+    files.save_rankings(_analysis(i).ranked, f"{base}/full", f"{base}/top", 3)
+    return files.read_run_csv(i.spark, f"{base}/full", RANKED_PARTS)
+
+
 # -- cleansing and normalization --------------------------------------------
 
 
@@ -269,6 +359,17 @@ def net_value_cautious(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def net_value_bold(i: Inputs) -> DataFrame:
+    return value.with_net_value(_analysis(i).ranked, tolerance="high")
+
+
+@query
+def price_trend_exact(i: Inputs) -> DataFrame:
+    """Trends under the stored keys as they are."""
+    return trend.price_trend(i.sold_history, AS_OF, match="exact")
+
+
 @query
 def price_trend(i: Inputs) -> DataFrame:
     return trend.price_trend(i.sold_history, AS_OF)
@@ -314,6 +415,12 @@ def seed_missing(i: Inputs) -> DataFrame:
     return keyed.seed_missing(keyed.seed_rows(seeds, last_year=2024), i.seeded_vehicles)
 
 
+@query
+def seed_profiles(i: Inputs) -> DataFrame:
+    """Pull profiles that the stored table does not have yet."""
+    return keyed.seed_missing(value.pull_profiles(i.spark), i.stored_profiles, "part_name")
+
+
 @query
 def vehicle_upsert(i: Inputs) -> DataFrame:
     return keyed.upsert_vehicles(i.vehicles, i.vehicle_delta)
@@ -463,6 +570,14 @@ def permutation_test(i: Inputs) -> DataFrame:
     return _rounded(paired.permutation_test(_pairs(i)), statistic=9)
 
 
+@query
+def compare_parts(i: Inputs) -> DataFrame:
+    """All results of the comparison in one row."""
+    nine = ["mean_a", "mean_b", "mean_diff", "median_diff", "positive_rate", "permutation_statistic"]
+    nine += ["wilcoxon_p_value", "ci_low", "ci_high"]
+    return _rounded(paired.compare_parts(_analysis(i).summary, *PAIR), **dict.fromkeys(nine, 9))
+
+
 @query
 def bootstrap_ci(i: Inputs) -> DataFrame:
     return _rounded(paired.bootstrap_ci(_pairs(i)), ci_low=9, ci_high=9)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from partyard import rules
 
 AS_OF = "2024-02-14 00:00:00"
-ORDERS_AS_OF = "1999-06-01 00:00:00"
+ORDERS_AS_OF = "2001-08-02 00:00:00"
 SITE = "https://market.example"
 
 
@@ -136,6 +136,10 @@ SELECT card_id, page_id,
          WHEN 1 THEN '<li class="s-card"><div class="s-card__title">Shop on eBay</div><span class="s-card__price">$1.00</span></li>'
          WHEN 2 THEN '<li class="s-card s-card--wide" id="c"><div class="s-card__title"></div><span class="s-card__price">$2.00</span></li>'
          WHEN 3 THEN '<li class="s-card"><div class="s-card__title">' || replace(title, '&', '&amp;') || '</div><span class="s-card__price">Best offer</span></li>'
+         WHEN 6 THEN '<!-- <li class="s-card"><div class="s-card__title">Hidden</div><span class="s-card__price">$3</span></li> --><li class=s-card><div class="s-card__title"><div>New</div><div> ' || replace(title, '&', '&#00000038;') || '</div></div>'
+              || '<span class="s-card__price"><span>$</span>' || substr(price_raw, 2) || '</span></li><span class="s-card__price">$9</span>'
+         WHEN 7 THEN '<li class="s-card"><div class="s-card__title">' || replace(title, '&', '&check; &amp &#150;') || '</div></li><span class="s-card__price">$9</span>'
+         WHEN 8 THEN '<li class="s-card"><div class="s-card__title">' || replace(title, '&', '&check; &amp &#150;') || '</div><span class="s-card__price">' || price_raw || '</span></li>'
          ELSE '<li data-x="1" class="big s-card"><div class="s-card__title"><span> '
               || replace(title, '&', '</span><b>&amp;</b><span>') || ' </span></div><ul><li>nested</li></ul>'
               || '<span class="a s-card__price">' || CASE shape WHEN 4 THEN '<b>' || price_raw || '</b>' ELSE price_raw END || '</span>'
@@ -173,7 +177,6 @@ SELECT o_orderkey AS id,
        o_orderdate AS scraped_at,
        o_orderdate + INTERVAL '14' DAY AS cache_expires_at
 FROM orders
-WHERE o_orderdate < CAST('{ORDERS_AS_OF}' AS TIMESTAMP)
 """
 
 VIEWS["vehicles"] = f"""
@@ -199,8 +202,8 @@ FROM customer
 """
 
 VIEWS["searched_models"] = """
-SELECT DISTINCT search_make AS make, search_model AS model
-FROM listing_cells WHERE search_make IS NOT NULL
+SELECT DISTINCT COALESCE(search_make, 'lexus') AS make, search_model AS model
+FROM listing_cells
 """
 
 VIEWS["completed_searches"] = f"""
@@ -224,9 +227,13 @@ SELECT page_id,
 FROM (SELECT DISTINCT page_id FROM cards) AS numbered
 """
 
+VIEWS["stored_profiles"] = """
+SELECT __PART__ AS part_name, COUNT(*) AS asked FROM part GROUP BY __PART__
+""".replace("__PART__", pick("p_partkey % 20", PARTS[:15] + ["radio", "bed liner", "visor", "hinge", "spoiler"]))
+
 VIEWS["seeded_vehicles"] = """
-SELECT CAST(2000 + c_custkey % 25 AS STRING) || '|' || make || '|' || model AS vehicle_key
-FROM (SELECT c_custkey, __MAKE__ AS make, __MODEL__ AS model FROM customer WHERE c_acctbal > 0) AS seeded
+SELECT CAST(2000 + c_custkey % 20 AS STRING) || '|' || make || '|' || model AS vehicle_key
+FROM (SELECT c_custkey, __MAKE__ AS make, __MODEL__ AS model FROM customer) AS seeded
 """.replace("__MAKE__", pick("c_custkey % 51", [m for m, _ in rules.SEED_VEHICLES])).replace(
     "__MODEL__", pick("c_custkey % 51", [m for _, m in rules.SEED_VEHICLES])
 )
@@ -260,16 +267,16 @@ VIEWS["crawl_status"] = f"""
 SELECT vehicle_key, MAX(o_orderdate) AS last_crawled_at,
        COUNT(DISTINCT o_orderpriority) AS parts_scraped,
        COUNT(*) AS total_listings, MAX(o_orderdate) AS updated_at
-FROM (SELECT {_vehicle_key("o_custkey")} AS vehicle_key, o_orderdate, o_orderpriority
-      FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000) AS crawled
+FROM (SELECT {_vehicle_key("o_custkey * 2")} AS vehicle_key, o_orderdate, o_orderpriority
+      FROM orders) AS crawled
 GROUP BY vehicle_key
 """
 
 VIEWS["crawl_delta"] = f"""
-SELECT {_vehicle_key("o_custkey")} AS vehicle_key,
+SELECT {_vehicle_key("o_custkey * 3")} AS vehicle_key,
        o_orderdate AS last_crawled_at, o_orderkey % 31 AS parts_scraped,
        o_orderkey % 500 AS total_listings, o_orderdate AS updated_at
-FROM orders WHERE o_orderstatus = 'P'
+FROM orders
 """
 
 VIEWS["catalog_rows"] = """
@@ -290,8 +297,6 @@ TABLES = [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-SPREAD = {"lineitem"}
-
 
 def _sources(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\bFROM\s+([a-z_]+)", sql)))
@@ -324,18 +329,7 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        """A driver table.
-
-        A text-heavy table that reads as fewer splits than there are cores is
-        spread over them first; a large table is read as it is.
-        """
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self.spread(df, df) if name in SPREAD else df
-
-    def spread(self, df: DataFrame, landed: DataFrame) -> DataFrame:
-        """Spread ``df`` over the cores if ``landed`` has fewer splits than that."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if landed.rdd.getNumPartitions() < cores else df
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

@@ -23,7 +23,7 @@ def sold(spark, *rows):
     """Rows of (part, price[, year, make, timestamp]) for one model."""
     full = []
     for part, price, *rest in rows:
-        year, make, seen = [*rest, *(2018, "Toyota", "2026-04-11 10:00:00")[len(rest) :]]
+        year, make, seen = [*rest, *(2018, "Toyota", "2025-09-03 06:00:00")[len(rest) :]]
         full.append((year, make, "Camry", part, price, seen))
     return spark.createDataFrame(full, SOLD)
 
@@ -31,7 +31,7 @@ def sold(spark, *rows):
 def active(spark, *rows):
     full = []
     for part, count, *rest in rows:
-        year, make, seen = [*rest, *(2018, "Toyota", "2026-04-11 12:00:00")[len(rest) :]]
+        year, make, seen = [*rest, *(2018, "Toyota", "2025-09-03 08:00:00")[len(rest) :]]
         full.append((year, make, "Camry", part, count, seen))
     return spark.createDataFrame(full, ACTIVE)
 
@@ -41,32 +41,29 @@ def by_part(df):
 
 
 def test_summary_of_two_parts(spark):
+    seen = (2018, "Toyota", "2025-09-03 06:00:00")
     got = by_part(
         analysis_summary(
-            sold(spark, ("alternator", 100.0), ("alternator", 120.0), ("headlight", 80.0)),
-            active(spark, ("alternator", 3), ("headlight", 1)),
+            sold(spark, *(("radiator", p, *seen) for p in (61.0, 75.0, 95.5)), ("seat", 44.0, *seen)),
+            active(spark, ("radiator", 5, 2018, "Toyota", "2025-09-03 10:30:00"), ("seat", 9)),
         )
     )
-    a, h = got["alternator"], got["headlight"]
-    assert (a.sold_count, a.active_count, a.median_sold_price, a.str) == (2, 3, 110.0, 0.4)
-    assert (h.sold_count, h.active_count, h.median_sold_price, h.str) == (1, 1, 80.0, 0.5)
-    assert a.confidence_score == 0.23
-    assert a.opportunity_score == 10.12
-    assert a.time_diff_hours == 2.0
-    assert (a.stale_snapshot_flag, a.low_sample_flag, a.very_low_sold_flag) == (False, True, True)
+    r, s = got["radiator"], got["seat"]
+    assert (r.sold_count, r.active_count, r.median_sold_price, r.str) == (3, 5, 75.0, 0.375)
+    assert (s.sold_count, s.active_count, s.median_sold_price, s.str) == (1, 9, 44.0, 0.1)
+    assert (r.confidence_score, s.confidence_score) == (0.36, 0.34)
+    assert r.opportunity_score == 10.125
+    assert r.time_diff_hours == 4.5
+    assert (r.stale_snapshot_flag, r.low_sample_flag, r.very_low_sold_flag) == (False, True, False)
 
 
 def test_sold_summary_groups(spark):
-    rows = sold(
-        spark,
-        ("alternator", 100.0, 2018, "Toyota", "2026-04-11 09:00:00"),
-        ("alternator", 120.0, 2018, "Toyota", "2026-04-11 10:00:00"),
-        ("alternator", None, 2018, "Toyota", "2026-04-11 11:00:00"),
-    )
+    prices = [12.5, None, 40.0, 19.0, 28.5]
+    rows = sold(spark, *(("grille", p, 2013, "Ram", f"2025-09-0{k} 06:00:00") for k, p in enumerate(prices, 1)))
     (one,) = sold_summary(rows).collect()
-    assert (one.sold_count, one.median_sold_price, one.mean_sold_price) == (2, 110.0, 110.0)
-    assert (one.min_sold_price, one.max_sold_price) == (100.0, 120.0)
-    assert str(one.sold_timestamp) == "2026-04-11 10:00:00"
+    assert (one.sold_count, one.median_sold_price, one.mean_sold_price) == (4, 23.75, 25.0)
+    assert (one.min_sold_price, one.max_sold_price) == (12.5, 40.0)
+    assert str(one.sold_timestamp) == "2025-09-05 06:00:00"
 
 
 def test_cells_without_price_and_null_keys_stay(spark):
@@ -105,7 +102,7 @@ def test_hot_cell_is_counted_before_the_second_shuffle(spark):
 
 
 def test_active_rows_are_not_aggregated(spark):
-    rows = active(spark, ("door", 3, 2018, "T", "2026-04-10 10:00:00"), ("door", 5, 2018, "T", "2026-04-11 10:00:00"))
+    rows = active(spark, ("door", 3, 2018, "T", "2026-04-10 10:00:00"), ("door", 5, 2018, "T", "2025-09-03 06:00:00"))
     prepared = active_summary(rows)
     assert prepared.columns == [*CELL, "active_count", "timestamp"]
     assert sorted(r.active_count for r in prepared.collect()) == [3, 5]
@@ -123,7 +120,7 @@ def test_missing_supply_is_zero_and_year_is_a_key(spark):
 
 
 def test_stale_flag_and_unreadable_times(spark):
-    rows = sold(spark, ("door", 1.0, 2018, "T", "2026-04-09 11:00:00"), ("seat", 1.0, 2018, "T", "soon"))
+    rows = sold(spark, ("door", 1.0, 2018, "T", "2025-09-01 07:00:00"), ("seat", 1.0, 2018, "T", "soon"))
     got = by_part(analysis_summary(rows, active(spark, ("door", 1, 2018, "T"), ("seat", 1, 2018, "T"))))
     assert got["door"].time_diff_hours == 49.0
     assert got["door"].stale_snapshot_flag is True

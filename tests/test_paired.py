@@ -9,22 +9,22 @@ import pytest
 
 from partyard.operators import paired
 
-# FIXED VALUES: sell-through of two parts on 64 vehicles, "first second" per vehicle
-PAIRS = """
-    0.0661 0.0476, 0.0496 0.0476, 0.1943 0.1071, 0.1205 0.0972, 0.1061 0.0682,
-    0.1762 0.1486, 0.0359 0.1239, 0.0091 0.0325, 0.0669 0.0939, 0.0184 0.0747,
-    0.0657 0.0521, 0.0166 0.1171, 0.2006 0.1972, 0.012 0.069, 0.0714 0.0223,
-    0.0397 0.0915, 0.0325 0.0683, 0.0035 0.0065, 0.0031 0.0112, 0.001 0.0206,
-    0.0109 0.0637, 0.0625 0.1029, 0.0408 0.081, 0.0014 0.0206, 0.05 0.0649,
-    0.0233 0.0501, 0.004 0.0007, 0.0204 0.0674, 0.0014 0.0011, 0.0043 0.0148,
-    0.0018 0.0909, 0.0107 0.0698, 0.0088 0.0054, 0.0377 0.0665, 0.0073 0.0018,
-    0.0032 0.1065, 0.004 0.0101, 0.0024 0.0868, 0.0017 0.0138, 0.025 0.0061,
-    0.0132 0.0021, 0.0007 0.0551, 0.0061 0.0046, 0.0027 0.0561, 0.0431 0.0153,
-    0.0011 0.009, 0.0277 0.0712, 0.0005 0.004, 0.0095 0.0105, 0.0294 0.0647,
-    0.0515 0.0436, 0.0036 0.0499, 0.0168 0.0457, 0.0008 0.0417, 0.0083 0.0018,
-    0.062 0.1031, 0.0053 0.0062, 0.0057 0.0196, 0.0012 0.0533, 0.0036 0.0334,
-    0.0008 0.0113, 0.0028 0.0299, 0.05 0.1283, 0.018 0.0491,
-"""
+# FIXED VALUES: sell-through of two parts on 64 vehicles, (first, second) per vehicle
+PAIRS = [
+    (0.0661, 0.0476), (0.0496, 0.0476), (0.1943, 0.1071), (0.1205, 0.0972), (0.1061, 0.0682),
+    (0.1762, 0.1486), (0.0359, 0.1239), (0.0091, 0.0325), (0.0669, 0.0939), (0.0184, 0.0747),
+    (0.0657, 0.0521), (0.0166, 0.1171), (0.2006, 0.1972), (0.012, 0.069), (0.0714, 0.0223),
+    (0.0397, 0.0915), (0.0325, 0.0683), (0.0035, 0.0065), (0.0031, 0.0112), (0.001, 0.0206),
+    (0.0109, 0.0637), (0.0625, 0.1029), (0.0408, 0.081), (0.0014, 0.0206), (0.05, 0.0649),
+    (0.0233, 0.0501), (0.004, 0.0007), (0.0204, 0.0674), (0.0014, 0.0011), (0.0043, 0.0148),
+    (0.0018, 0.0909), (0.0107, 0.0698), (0.0088, 0.0054), (0.0377, 0.0665), (0.0073, 0.0018),
+    (0.0032, 0.1065), (0.004, 0.0101), (0.0024, 0.0868), (0.0017, 0.0138), (0.025, 0.0061),
+    (0.0132, 0.0021), (0.0007, 0.0551), (0.0061, 0.0046), (0.0027, 0.0561), (0.0431, 0.0153),
+    (0.0011, 0.009), (0.0277, 0.0712), (0.0005, 0.004), (0.0095, 0.0105), (0.0294, 0.0647),
+    (0.0515, 0.0436), (0.0036, 0.0499), (0.0168, 0.0457), (0.0008, 0.0417), (0.0083, 0.0018),
+    (0.062, 0.1031), (0.0053, 0.0062), (0.0057, 0.0196), (0.0012, 0.0533), (0.0036, 0.0334),
+    (0.0008, 0.0113), (0.0028, 0.0299), (0.05, 0.1283), (0.018, 0.0491),
+]
 
 # FIXED VALUES: results known for these pairs
 KNOWN = {
@@ -44,8 +44,7 @@ SUMMARY = "year int, make string, model string, part string, str double"
 @pytest.fixture(scope="module")
 def summary(spark):
     rows = []
-    for n, pair in enumerate(p for p in PAIRS.replace("\n", " ").split(",") if p.strip()):
-        a, b = map(float, pair.split())
+    for n, (a, b) in enumerate(PAIRS):
         rows += [(2012, "Make", f"M{n}", "alternator", a), (2012, "Make", f"M{n}", "headlight", b)]
     rows += [(2012, "Make", "alone", "headlight", 0.5), (2012, "Make", "M0", "door", 0.9)]
     return spark.createDataFrame(rows, SUMMARY)
@@ -104,6 +103,19 @@ def test_bootstrap(pairs):
     assert (got.ci_low, got.ci_high) == pytest.approx(KNOWN_CI, abs=0.001)
 
 
+def test_median_of_many_and_of_ties(spark):
+    rng = np.random.RandomState(4)
+    for diffs in (rng.standard_normal(501), rng.randint(-2, 3, 400) / 7, np.zeros(4), np.array([-1.0, 2.0])):
+        df = spark.createDataFrame([(0.0, 0.0, float(d)) for d in diffs], "a double, b double, diff double")
+        assert paired.paired_summary(df).first().median_diff == np.median(diffs)
+
+
+def test_signs_of_many_equal_pairs(spark):
+    df = spark.createDataFrame([(str(n), 0.5 if n < 110 else -0.5) for n in range(200)], "vehicle_key string, diff double")
+    p = 0.5 * math.erfc((20 - 1) / math.sqrt(200) / math.sqrt(2))
+    assert paired.permutation_test(df, draws=20_000).first().p_value == pytest.approx(p, abs=0.01)
+
+
 def test_draws_do_not_depend_on_partitioning(pairs):
     one = paired.permutation_test(pairs.repartition(2), draws=1_000).first()
     two = paired.permutation_test(pairs.repartition(7), draws=1_000).first()

@@ -149,3 +149,52 @@ def test_snapshots(spark, tmp_path):
     (tmp_path / "table" / "version=11").mkdir()
     assert files.snapshot_versions(spark, path) == [1, 9, 10]
     assert files.read_snapshot(spark, path).count() == 5
+
+
+def test_nested_elements_close_where_they_should(spark):
+    html = (
+        card('<div class="s-card__title"><div>New</div><div>Left <div>door</div></div></div>',
+             '<span class="s-card__price"><span>$5</span><span>.00</span></span>')
+        + '<span class="s-card__price">$7</span>'
+        + card(price="")
+        + '<span class="s-card__price">$9</span><!-- ' + card() + " -->"
+    )
+    (row,) = cards(spark, html)
+    assert (row.title, row.price_raw) == ("New Left door", "$5.00")
+
+
+def test_character_references(spark):
+    import html as standard
+
+    samples = [
+        "&check;", "&amp", "&ampx", "&#150;", "&#0;", "&#00000038;", "&#x00000026;", "&#xD800;", "&#9999999999;",
+        "&notit;", "&notin;", "&unknown;", "&", "&;", "&#;", "&#x;", "&lt;b&gt", "&#1;x", "&#x1F600;", "a&b&c", "&#129;",
+        "&NewLine;", "&fjlig;", "&#11;", "&#65534;",
+    ]
+    df = spark.createDataFrame([(t,) for t in samples], "t string")
+    got = [r.u for r in df.select(pages.unescape(F.col("t")).alias("u")).collect()]
+    assert got == [standard.unescape(t) for t in samples]
+
+
+def test_csv_files_of_other_column_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("year,make\n2018,Ford\n")
+    (tmp_path / "b.csv").write_text("make,year,more\nRam,2019,x\n")
+    (tmp_path / "c.csv").write_text('make\n"Kia, Inc"\n')
+    from pyspark.sql import types as T
+
+    schema = T.StructType().add("year", "integer").add("make", "string")
+    rows = files.read_run_csv(spark, str(tmp_path), schema).collect()
+    assert sorted(map(tuple, rows), key=str) == [(2018, "Ford"), (2019, "Ram"), (None, "Kia, Inc")]
+
+
+def test_trend_and_recency_prune_dates(spark, tmp_path):
+    from partyard.operators.trend import price_trend
+
+    rows = [(*CELL, "t", "$5", "/1", None, f"2024-01-{d:02d} 00:00:00") for d in range(1, 29)]
+    df = spark.createDataFrame(rows, CELLS + ", title string, price_raw string, listing_url string, sold_date date, scraped_at string")
+    history.append_history(df.withColumn("scraped_at", F.col("scraped_at").cast("timestamp")), str(tmp_path / "h"))
+    stored = spark.read.parquet(str(tmp_path / "h"))
+    as_of = "2024-01-28 00:00:00"
+    for plan in (history.recent_listings(stored, as_of), price_trend(stored, as_of, window_days=3)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "scrape_date" in text.split("PartitionFilters: [")[1].split("]")[0]

@@ -56,3 +56,41 @@ def test_ingest(spark, tmp_path, drop_repeats, expected):
     assert latest.parts_scraped == 1
     assert latest.total_listings == expected - 3
     assert str(latest.last_crawled_at) == "2024-02-02 00:00:00"
+
+
+def run_in_single_files(spark, tmp_path, *pages, **options):
+    landed = str(tmp_path / "landed")
+    paths = {f"{k}_path": str(tmp_path / k) for k in ("history", "status", "checkpoint")}
+    for page in pages:
+        schema = land(spark, landed, page)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    ingest.ingest_pages(stream, **options, **paths).awaitTermination()
+    return paths
+
+
+@pytest.mark.parametrize("drop_repeats", [False, True])
+def test_a_crawl_over_several_batches(spark, tmp_path, drop_repeats):
+    paths = run_in_single_files(
+        spark,
+        tmp_path,
+        ("p1", "door", 1, card("a", "/1")),
+        ("p2", "hood", 1, card("b", "/2")),
+        ("p3", "visor", 1, card("c", "/3")),
+        drop_repeats=drop_repeats,
+    )
+    (status,) = ingest.current_crawl_status(spark, paths["status_path"]).collect()
+    assert (status.parts_scraped, status.total_listings) == (3, 3)
+
+
+def test_late_pages_are_kept(spark, tmp_path):
+    """An old crawl that lands two months after a newer one loses nothing."""
+    landed = str(tmp_path / "landed")
+    paths = {f"{k}_path": str(tmp_path / k) for k in ("history", "status", "checkpoint")}
+    for day, url in (("2024-03-01", "/1"), ("2024-01-01", "/2"), ("2024-01-02", "/1?x=9")):
+        rows = [(url, "2018|Ford|F-150", 2018, "Ford", "F-150", "door", day, card("t", url))]
+        df = spark.createDataFrame(rows, DDL).withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(df.schema).parquet(landed)
+        ingest.ingest_pages(stream, drop_repeats=True, **paths).awaitTermination()
+    rows = ingest.ingested_history(spark, paths["history_path"]).collect()
+    assert sorted(r.listing_url for r in rows) == ["/1", "/2"]
