@@ -40,8 +40,8 @@ def upsert_vehicles(vehicles: DataFrame, delta: DataFrame, sequence: str = "seq"
             for c in VEHICLE_ATTRIBUTES
         ],
     )
-    joined = vehicles.join(folded, "vehicle_key", "full")
-    known = F.col("year").isNotNull()
+    joined = vehicles.withColumn("_known", F.lit(True)).join(folded, "vehicle_key", "full")
+    known = F.col("_known").isNotNull()
     merged = {c: F.when(known, F.col(c)).otherwise(F.col(f"_{c}")) for c in VEHICLE_IDENTITY}
     merged |= {c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in VEHICLE_ATTRIBUTES}
     return joined.select([merged.get(c, F.col(c)).alias(c) for c in vehicles.columns])
@@ -227,23 +227,48 @@ def result_set_id(vehicle_key: Column, as_of: datetime | str) -> Column:
     return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long")
 
 
-def result_header(
+def pending_headers(
     vehicle_keys: DataFrame,
     as_of: datetime | str,
     *,
     window_days: int = rules.DEFAULT_WINDOW_DAYS,
     source: str = "ebay",
-    ttl_days: int = rules.RESULT_TTL_DAYS,
+    profile_version: str = rules.PROFILE_VERSION,
 ) -> DataFrame:
-    """One completed result-set header per vehicle."""
-    now = F.lit(as_of).cast("timestamp")
+    """One new result-set header per vehicle, still without results."""
+    never = F.lit(None).cast("timestamp")
     return vehicle_keys.select("vehicle_key").distinct().select(
         result_set_id(F.col("vehicle_key"), as_of).alias("id"),
         "vehicle_key",
         F.lit(window_days).alias("window_days"),
         F.lit(source).alias("source"),
-        F.lit("completed").alias("status"),
-        now.alias("scraped_at"),
-        now.alias("created_at"),
-        (now + F.make_interval(days=F.lit(ttl_days))).alias("cache_expires_at"),
+        F.lit("pending").alias("status"),
+        never.alias("scraped_at"),
+        F.lit(as_of).cast("timestamp").alias("created_at"),
+        never.alias("cache_expires_at"),
+        F.lit(profile_version).alias("part_profile_version"),
     )
+
+
+def complete_headers(
+    headers: DataFrame, done: DataFrame, at: datetime | str, *, ttl_days: int = rules.RESULT_TTL_DAYS
+) -> DataFrame:
+    """Mark the headers whose ``id`` is in ``done`` as completed; expiry starts then."""
+    now = F.lit(at).cast("timestamp")
+    ids = done.select(F.col("id").alias("_id")).distinct()
+    hit = F.col("_id").isNotNull()
+    changed = {
+        "status": F.when(hit, "completed").otherwise(F.col("status")),
+        "scraped_at": F.when(hit, now).otherwise(F.col("scraped_at")),
+        "cache_expires_at": F.when(hit, now + F.make_interval(days=F.lit(ttl_days))).otherwise(
+            F.col("cache_expires_at")
+        ),
+    }
+    return headers.join(ids, headers["id"] == ids["_id"], "left").withColumns(changed).drop("_id")
+
+
+def result_header(vehicle_keys: DataFrame, as_of: datetime | str, **options) -> DataFrame:
+    """One header per vehicle, created and completed at the same time."""
+    ttl = {"ttl_days": options.pop("ttl_days")} if "ttl_days" in options else {}
+    headers = pending_headers(vehicle_keys, as_of, **options)
+    return complete_headers(headers, headers, as_of, **ttl)

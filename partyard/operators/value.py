@@ -12,6 +12,8 @@ from partyard.functions import scoring
 from partyard.functions.keys import lookup_vehicle_key
 from partyard.functions.standardize import standardize_part
 
+ITEM_BUCKETS = 64
+
 _TYPES = {str: T.StringType(), int: T.IntegerType(), float: T.DoubleType()}
 
 
@@ -113,3 +115,26 @@ def result_items(enriched: DataFrame, result_set_id, *, zero_as_null: bool = Fal
         }
     )
     return conform(named, RESULT_ITEMS)
+
+
+def store_items(items: DataFrame, path: str) -> None:
+    """Append result items, one folder per bucket of set ids, sorted by set inside files.
+
+    A lookup opens one folder and skips the row groups of other sets.
+    """
+    (
+        items.withColumn("bucket", F.pmod("result_set_id", F.lit(ITEM_BUCKETS)).cast("int"))
+        .hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", "result_set_id", "vehicle_rank")
+        .write.mode("append")
+        .partitionBy("bucket")
+        .parquet(path)
+    )
+
+
+def stored_items(spark: SparkSession, path: str, result_set_id: int) -> DataFrame:
+    """The items of one stored result set, best rank first."""
+    rows = spark.read.parquet(path).filter(
+        (F.col("bucket") == result_set_id % ITEM_BUCKETS) & (F.col("result_set_id") == result_set_id)
+    )
+    return rows.drop("bucket").orderBy("vehicle_rank")

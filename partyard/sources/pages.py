@@ -58,11 +58,11 @@ def _until_closed(rest: Column, tag: Column) -> Column:
 
 
 def _inner_html(card: Column, tag: str, name: str) -> Column:
-    """Content of the first element with that class; empty when there is none."""
+    """Content of the first element with that class; empty when there is none, null for no card."""
     opening = rf"(?is)<({tag})\b[^>]*{_class_attribute(name)}[^>]*>(.*)$"
     found = F.regexp_extract(card, opening, 1)
     inner = _until_closed(F.regexp_extract(card, opening, 2), found)
-    return F.when(found != "", inner).otherwise(F.lit(""))
+    return F.when(found == "", "").otherwise(inner)
 
 
 #: Named references of HTML 5; the older ones also count without a semicolon.

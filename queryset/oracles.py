@@ -548,8 +548,14 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT {_set_id("vehicle_key")} AS id, vehicle_key,
                90 AS window_days, 'ebay' AS source, 'completed' AS status, '{AS_OF}' AS scraped_at,
                '{AS_OF}' AS created_at,
-               CAST(TIMESTAMP '{AS_OF}' + INTERVAL 14 DAY AS STRING) AS cache_expires_at
+               CAST(TIMESTAMP '{AS_OF}' + INTERVAL 14 DAY AS STRING) AS cache_expires_at, '1.0' AS part_profile_version
         FROM vehicles""",
+    "result_headers_pending": f"""
+        SELECT id, vehicle_key, 90 AS window_days, 'ebay' AS source,
+               CASE WHEN id % 2 = 0 THEN 'completed' ELSE 'pending' END AS status,
+               CASE WHEN id % 2 = 0 THEN '2024-02-15 06:00:00' END AS scraped_at, '{AS_OF}' AS created_at,
+               CASE WHEN id % 2 = 0 THEN '2024-02-29 06:00:00' END AS cache_expires_at, '1.0' AS part_profile_version
+        FROM (SELECT DISTINCT {_set_id("vehicle_key")} AS id, vehicle_key FROM vehicles) AS v""",
     "seed_missing": f"""
         SELECT CAST(y.year AS STRING) || '|' || s.make || '|' || s.model AS vehicle_key, y.year, s.make, s.model
         FROM (VALUES {", ".join(f"({text(a)}, {text(b)})" for a, b in rules.SEED_VEHICLES)}) AS s(make, model),
