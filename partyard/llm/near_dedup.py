@@ -8,13 +8,13 @@ arrived first.  A shingle is dropped as soon as its next arrival is later than a
 registers' first ones.  Two registers agree with the probability Jaccard similarity.
 
 Equal texts are one node.  Nodes that agree in a band share a bucket; each is compared
-with the bucket's leader, so work grows with the members and not with their pairs.
-Where a bucket still holds more than one class, its members meet a second leader, and
-in the end every member outside the bucket's main class meets every member of another
-class: this is the exact way for what the leaders left, and no pair of a bucket is
-lost.  Candidates whose signatures tell that they are too far apart are dropped, all
-others are verified: texts whose sets of distinct shingles have a Jaccard similarity
-of at least 0.8 are linked.  Classes are the connected components.
+with the bucket's first node, so this work grows with the members and not with their
+pairs.  What it leaves is done exactly: in buckets that still hold more than one
+component, members of different components are compared where they lie, in chunks of
+bounded size, and only links come out.  Candidates whose signatures tell that they are
+too far apart are dropped, all others are verified: texts whose sets of distinct
+shingles have a Jaccard similarity of at least 0.8 are linked.  Classes are the
+connected components.
 
 A pair of similarity 0.8 shares no band with probability 7e-6.  Null texts and texts
 without words belong to no other document and are kept.  The class id is the smallest
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from partyard.llm.common import column, map_columns
+from partyard.llm.common import column, map_columns, map_runs
 from partyard.llm.components import components
 from partyard.session import stored
 
@@ -41,6 +41,9 @@ REGISTERS = BANDS * ROWS
 #: Standard errors by which a signature may fall short before a pair is dropped unseen.
 CONFIDENCE = 5.5
 
+#: Nodes of a bucket that are compared as one block.
+CHUNK = 256
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,17 +150,27 @@ def _sets(texts: DataFrame) -> DataFrame:
     return map_columns(texts, "node long, shingles binary", make)
 
 
+def _floor() -> int:
+    """Equal sketch bytes below which a pair is too far apart."""
+    spread = (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
+    return int(REGISTERS * (SIMILARITY - CONFIDENCE * spread - 0.02))
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Jaccard similarity of at least 4/5, of two sorted sets."""
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return 5 * both >= 4 * (len(x) + len(y) - both)
+
+
 def _likely(pairs: DataFrame) -> DataFrame:
     """Pairs whose sizes and sketches allow the wanted similarity."""
-    spread = (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
-    floor = SIMILARITY - CONFIDENCE * spread - 0.02
+    floor = _floor()
 
     def make():
         def work(rows):
             left = np.frombuffer(b"".join(rows["sketch_a"]), np.uint8).reshape(-1, REGISTERS)
             right = np.frombuffer(b"".join(rows["sketch_b"]), np.uint8).reshape(-1, REGISTERS)
-            same = (left == right).mean(axis=1)
-            keep = np.flatnonzero((same - 1 / 256) / (1 - 1 / 256) >= floor).tolist()
+            keep = np.flatnonzero((left == right).sum(axis=1) >= floor).tolist()
             return {"a": [rows["a"][k] for k in keep], "b": [rows["b"][k] for k in keep]}
 
         return work
@@ -170,14 +183,11 @@ def _likely(pairs: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame) -> DataFrame:
     def make():
-        def similar(left: bytes, right: bytes) -> bool:
-            x, y = np.frombuffer(left, np.uint32), np.frombuffer(right, np.uint32)
-            both = len(x) + len(y) - len(np.union1d(x, y))
-            return 5 * both >= 4 * (len(x) + len(y) - both)
-
         def work(rows):
             sides = zip(rows["a"], rows["b"], rows["set_a"], rows["set_b"], strict=True)
-            kept = [(a, b) for a, b, x, y in sides if similar(x, y)]
+            kept = [
+                (a, b) for a, b, x, y in sides if similar(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))
+            ]
             return {"a": [a for a, _ in kept], "b": [b for _, b in kept]}
 
         return work
@@ -185,6 +195,38 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return map_columns(pairs, "a long, b long", make)
 
 
+def _crossing_links(run: dict) -> dict | None:
+    """Links between components within one pair of chunks of a bucket.
+
+    A pair that meets in several buckets counts in its first common band.
+    """
+    n = len(run["node"])
+    component = np.array(run["component"])
+    if (component == component[0]).all():
+        return None
+    node, own = np.array(run["node"]), np.array(run["own"])
+    bands_, bucket = np.array(run["bands"], np.int64), run["bucket"][0]
+    band = int(np.argmax(bands_[0] == bucket))
+    sketch = np.frombuffer(b"".join(run["sketch"]), np.uint8).reshape(n, REGISTERS)
+    sets = [np.frombuffer(x, np.uint32) for x in run["shingles"]]
+    size = np.array([len(x) for x in sets])
+    within, floor = run["low"][0] == run["high"][0], _floor()
+    out = {"a": [], "b": []}
+    for i in range(n - 1):
+        later = slice(i + 1, n)
+        near = (component[later] != component[i]) & (within | (own[later] != own[i]))
+        near &= 5 * np.minimum(size[later], size[i]) >= 4 * np.maximum(size[later], size[i])
+        if not near.any():
+            continue
+        at = np.flatnonzero(near) + i + 1
+        at = at[(sketch[at] == sketch[i]).sum(axis=1) >= floor]
+        at = at[~(bands_[at, :band] == bands_[i, :band]).any(axis=1)]
+        for j in at[[similar(sets[i], sets[j]) for j in at]] if len(at) else ():
+            out["a"].append(int(node[i]))
+            out["b"].append(int(node[j]))
+    return out
+
+
 class Dedup:
     """The steps of one run; every table that several steps read is stored once."""
 
@@ -210,7 +252,7 @@ class Dedup:
             .agg(F.min("node").alias("first"), F.max("node").alias("last"))
             .filter("first < last")
         )
-        return rows.join(shared, "bucket")
+        return rows.join(shared.drop("last"), "bucket")
 
     def _candidate_sets(self) -> DataFrame:
         """Shingle sets of the nodes that share a bucket, from one copy of their texts."""
@@ -241,48 +283,38 @@ class Dedup:
         )
         mixed = (
             named.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("node").alias("last"))
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
             .filter("low < high")
         )
-        return stored(named.join(mixed.select("bucket", "last"), "bucket"))
+        return stored(named.join(mixed.select("bucket"), "bucket"))
 
-    def links(self) -> DataFrame:
-        ordered = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
-        tested = stored(
-            self.entries.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-        )
-        links = self._links(tested)
-
-        split = self._split_buckets(links)
-        ends = split.filter("node = last").select("bucket", F.col("component").alias("last_component"))
-        second = (
-            split.join(ends, "bucket")
-            .filter("component <> last_component")
-            .select(F.col("node").alias("x"), F.col("last").alias("y"))
-            .select(*ordered)
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        second = stored(second)
-        links = links.unionByName(self._links(second))
-
-        split = self._split_buckets(links)
-        sizes = split.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"))
-        minor = (
-            split.join(main, "bucket")
-            .filter("component <> main")
-            .select("bucket", F.col("node").alias("x"), F.col("component").alias("component_x"))
+    def _crossing(self, split: DataFrame) -> DataFrame:
+        """Links between components inside split buckets: the exact way for what is left.
+
+        A large bucket is cut into chunks, and each pair of chunks is a task's work of
+        its own; pairs are compared where they lie and only links come out.
+        """
+        sizes = split.groupBy("bucket").agg(F.count("*").alias("size"))
+        chunks = F.ceil(F.col("size") / CHUNK).cast("long")
+        blocks = (
+            split.join(sizes, "bucket")
+            .withColumn("chunks", chunks)
+            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")))
+            .join(self.nodes.select("node", "sketch", "bands"), "node")
+            .join(self.sets, "node")
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+            .withColumn("low", F.least("own", "other"))
+            .withColumn("high", F.greatest("own", "other"))
+            .drop("other", "size", "chunks")
         )
-        rest = (
-            minor.join(split.select("bucket", F.col("node").alias("y"), "component"), "bucket")
-            .filter("component <> component_x")
-            .select(*ordered)
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-            .join(second, ["a", "b"], "left_anti")
+        return stored(
+            map_runs(blocks, ["bucket", "low", "high"], ["node"], "a long, b long", lambda: _crossing_links)
         )
-        return links.unionByName(self._links(rest))
+
+    def links(self) -> DataFrame:
+        pairs = self.entries.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+        links = self._links(pairs.distinct())
+        return links.unionByName(self._crossing(self._split_buckets(links)))
 
     def classes(self) -> DataFrame:
         """doc_id, key, n_shingles, class_id and kept of every document.

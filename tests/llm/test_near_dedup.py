@@ -52,6 +52,14 @@ def test_matches_brute_force(spark):
     assert [out[i].kept for i in range(len(texts))] == [i == c for i, c in enumerate(classes(texts))]
 
 
+def test_large_buckets_are_cut_into_chunks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "CHUNK", 6)
+    texts = drifting(160, 79)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.class_id for r in nd.near_duplicates(docs).collect()}
+    assert [out[i] for i in range(len(texts))] == classes(texts)
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.RandomState(3)
     weights = rng.gamma(1, 1, (2, 60)) + 0.05
