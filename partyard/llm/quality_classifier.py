@@ -150,7 +150,7 @@ class Scorer:
     def __init__(self, table: np.ndarray) -> None:
         self.table, self.hashed = table, Hashed()
 
-    def __call__(self, doc_id: int | None, text: str | None) -> tuple[float, float]:
+    def __call__(self, doc_id: int | str | None, text: str | None) -> tuple[float, float]:
         """Importance and noisy key; minus infinity for a text without words."""
         if not text or not text.strip():
             return -np.inf, -np.inf
@@ -268,13 +268,13 @@ class Classifier:
         def kept(batches):
             score = Scorer(table)
             for ids, texts in batches:
-                pairs = zip(ids, texts, strict=True)
-                keys = np.array([score(None if pd.isna(i) else int(i), t)[1] for i, t in pairs])
+                keys = np.array([score(i, t)[1] for i, t in zip(ids, texts, strict=True)])
                 yield pd.Series(sortable(keys) >= least if len(keys) else np.zeros(0, bool))
 
         test = F.pandas_udf(kept, "boolean", F.PandasUDFType.SCALAR_ITER)
         text = F.col(self.text_col)
-        return docs.filter(test(F.col(self.id_col).cast("long"), text) & text.rlike(r"\S"))
+        ids = F.col(self.id_col).cast("long").cast("string")  # as text: nulls would turn numbers into doubles
+        return docs.filter(test(ids, text) & text.rlike(r"\S"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
