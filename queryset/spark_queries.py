@@ -192,7 +192,7 @@ def page_stream_status(i: Inputs) -> DataFrame:
     return ingest.current_crawl_status(i.spark, f"{_ingested(i)}/status")
 
 
-def _several_files(i: Inputs) -> str:
+def _several_files(i: Inputs, unique: bool) -> str:
     """Ingest one-card pages from several files, one file per micro-batch.
 
     Addresses come again every 400 parts, in other files; every seventh page is of
@@ -225,21 +225,21 @@ def _several_files(i: Inputs) -> str:
     landed = (
         i.spark.readStream.schema(pages_.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
     )
-    for name, unique in (("unique", True), ("all", False)):
-        ingest.ingest_pages(
-            landed,
-            history_path=f"{base}/{name}/history",
-            status_path=f"{base}/{name}/status",
-            checkpoint_path=f"{base}/{name}/checkpoint",
-            drop_repeats=unique,
-        ).awaitTermination()
+    run = ingest.ingest_pages(
+        landed,
+        history_path=f"{base}/history",
+        status_path=f"{base}/status",
+        checkpoint_path=f"{base}/checkpoint",
+        drop_repeats=unique,
+    )
+    run.awaitTermination()
     return base
 
 
 @query
 def page_stream_unique(i: Inputs) -> DataFrame:
     """Addresses that a stream without repeats has stored, each once."""
-    rows = ingest.ingested_history(i.spark, f"{_several_files(i)}/unique/history")
+    rows = ingest.ingested_history(i.spark, f"{_several_files(i, unique=True)}/history")
     address = F.split_part("listing_url", F.lit("?"), F.lit(1))
     return rows.select("vehicle_key", "search_part", address.alias("address"))
 
@@ -247,7 +247,7 @@ def page_stream_unique(i: Inputs) -> DataFrame:
 @query
 def page_stream_crawls(i: Inputs) -> DataFrame:
     """The newest crawl's status, its pages spread over several batches."""
-    return ingest.current_crawl_status(i.spark, f"{_several_files(i)}/all/status")
+    return ingest.current_crawl_status(i.spark, f"{_several_files(i, unique=False)}/status")
 
 
 def _stored_history(i: Inputs) -> DataFrame:
