@@ -1,11 +1,12 @@
 """Near duplicates by ProbMinHash signatures, banding and exact verification.
 
-A text is the weighted set of its word shingles (five lower-case blank-separated
-words; a shorter text is one shingle), the weight of a shingle being 1 + ln(count).
+A text is the set of its distinct word shingles (five lower-case blank-separated
+words; a shorter text is one shingle); how often one is repeated does not count.
 ProbMinHash gives it a signature: every shingle is a Poisson process whose rate is its
 weight, each arrival falls on a random register, and a register keeps the shingle that
 arrived first.  A shingle is dropped as soon as its next arrival is later than all
-registers' first ones.  Two registers agree with the probability Jaccard similarity.
+registers' first ones.  Two registers agree with the probability Jaccard similarity;
+with all weights 1, as here, that is the Jaccard similarity links are defined by.
 
 Equal texts are one node.  Nodes that agree in a band share a bucket; each is compared
 with the bucket's first node, so this work grows with the members and not with their
@@ -16,7 +17,8 @@ too far apart are dropped, all others are verified: texts whose sets of distinct
 shingles have a Jaccard similarity of at least 0.8 are linked.  Classes are the
 connected components.
 
-A pair of similarity 0.8 shares no band with probability 7e-6.  Null texts and texts
+A pair of similarity 0.8 shares no band with probability 7e-6 and falls short of the
+signatures' floor with probability 6e-9.  Null texts and texts
 without words belong to no other document and are kept.  The class id is the smallest
 document id in the class; ids may be null or repeated, texts decide.  Other columns
 are not read.
@@ -119,9 +121,9 @@ def _signed(raw: DataFrame) -> DataFrame:
         def work(rows):
             out = {"doc_id": rows["doc_id"], "key": rows["key"], "n": [], "bands": [], "sketch": []}
             for text in rows["text"]:
-                found, counts = np.unique(words.shingles(text or ""), return_counts=True)
+                found = np.unique(words.shingles(text or ""))
                 if len(found):
-                    winner = signature(found, 1 + np.log(counts))
+                    winner = signature(found, np.ones(len(found)))
                     out["bands"].append(bands(winner).tolist())
                     out["sketch"].append(winner.astype(np.uint8).tobytes())
                 else:

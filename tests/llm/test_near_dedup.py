@@ -60,6 +60,17 @@ def test_large_buckets_are_cut_into_chunks(spark, monkeypatch):
     assert [out[i] for i in range(len(texts))] == classes(texts)
 
 
+def test_repeated_passages_do_not_hide_copies(spark):
+    texts = []
+    for seed in range(12):
+        words = prose(300, 900 + seed).split()
+        texts += [" ".join(words), " ".join(words[:90] * 200 + words[90:])]
+    out = {r.doc_id: r.class_id for r in nd.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    expected = classes(texts)
+    assert len(set(expected)) == 12
+    assert [out[i] for i in range(len(texts))] == expected
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.RandomState(3)
     weights = rng.gamma(1, 1, (2, 60)) + 0.05
