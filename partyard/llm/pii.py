@@ -1,17 +1,20 @@
 """Personal data: patterns find it, corpus co-occurrence finds the words that give it away.
 
 Entities are found by pattern: e-mail and IP addresses, card and telephone numbers.
-Around each entity the words of its context are collected over the whole corpus.  A
-word discloses an entity when seeing it tells (nearly) as much as the entity itself:
+The words of every text that holds an entity, however far from it, are its context,
+collected over the whole corpus.  A word discloses an entity when seeing it tells (nearly) as much as the entity itself:
 pointwise mutual information at least the entity's information content / ``alpha``,
     log2(co * N / (df_word * df_entity)) >= log2(N / df_entity) / alpha,
-with all counts over all documents, and the word beside the entity in at least
+with all counts over all documents, and the word together with the entity in at least
 ``support`` different texts, so copies of one text prove nothing.  Such words are
 found wherever they occur, also in documents without the entity: a word never seen
 without its entity is removed, any other is generalised.
 
+A word is a run of letters, digits and underscores outside of entities, of any length.
 Counts of words are gathered only for words that may matter: a Bloom filter of fixed
-size lets them through and an exact join decides.  Nulls and empty texts have no
+size lets them through and an exact join decides.  As a word is with an entity no more
+often than the entity is there, words more frequent than the most frequent entity
+allows are left out before entities and words are paired.  Nulls and empty texts have no
 entity.  Texts are read whole; repeated rows give repeated results; columns other
 than id and text are not read.
 """
@@ -39,12 +42,10 @@ DIGIT = re.compile(r"[0-9]")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TERM = re.compile(r"[^\W\d_]{4,}")
+TERM = re.compile(r"\w+")
 
 ALPHA = 1.1
 SUPPORT = 3
-CONTEXT_WORDS = 6
-CONTEXT_CHARS = 240
 
 Span = tuple[str, int, int]
 
@@ -96,16 +97,6 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def context_terms(text: str, start: int, end: int) -> set[str]:
-    """Lower-case words next to a span, within a few words and characters of it."""
-    left = max(0, start - CONTEXT_CHARS)
-    before = [m[0] for m in TERM.finditer(text, left, start) if m.start() > left or not left]
-    right = min(len(text), end + CONTEXT_CHARS)
-    after = [m[0] for m in TERM.finditer(text, end, right) if m.end() < right or right == len(text)]
-    near = before[-CONTEXT_WORDS:] + after[:CONTEXT_WORDS]
-    return {w.lower() for w in near}
-
-
 def _blank(text: str, spans: list[Span]) -> str:
     """The text with its entities blanked out, so that they are no words themselves."""
     pieces, at = [], 0
@@ -116,30 +107,43 @@ def _blank(text: str, spans: list[Span]) -> str:
     return "".join([*pieces, text[at:]])
 
 
-def _contexts(raw: DataFrame) -> DataFrame:
-    """One row per document, entity and word beside it."""
+def terms_of(text: str, spans: list[Span]) -> set[str]:
+    """Distinct lower-case words of a text outside of its entities."""
+    return {w.lower() for w in set(TERM.findall(_blank(text, spans) if spans else text))}
+
+
+def _holders(raw: DataFrame) -> DataFrame:
+    """Entities and distinct words of every document that has an entity."""
 
     def make():
         def work(rows):
-            out = {"entity": [], "term": [], "key": []}
+            out = {"key": [], "entities": [], "terms": []}
             for key, text in zip(rows["key"], rows["text"], strict=True):
                 spans = find_entities(text or "")
-                if not spans:
-                    continue
-                plain = _blank(text, spans)
-                seen = set()
-                for kind, s, e in spans:
-                    name = f"{kind}:{text[s:e].lower()}"
-                    seen |= {(name, t) for t in context_terms(plain, s, e)} | {(name, "")}
-                for name, term in sorted(seen):
-                    out["entity"].append(name)
-                    out["term"].append(term)
+                if spans:
                     out["key"].append(key)
-            return out
+                    out["entities"].append(sorted({f"{k}:{text[s:e].lower()}" for k, s, e in spans}))
+                    out["terms"].append("\n".join(sorted(terms_of(text, spans))))
+            return out if out["key"] else None
+
+        return work
+
+    return map_columns(raw, "key string, entities array<string>, terms string", make)
+
+
+def _narrowed(texts: DataFrame, wanted: bytes) -> DataFrame:
+    """Texts with only the words that the filter lets through."""
+
+    def make():
+        passed = bloom.Passed(wanted)
+
+        def work(rows):
+            terms = [[t for t in found.split("\n") if passed[t]] for found in rows["terms"]]
+            return {"key": rows["key"], "terms": terms}
 
         return work
 
-    return map_columns(raw, "entity string, term string, key string", make)
+    return map_columns(texts, "key string, terms array<string>", make).filter(F.size("terms") > 0)
 
 
 def _frequencies(raw: DataFrame, wanted: bytes) -> DataFrame:
@@ -152,7 +156,7 @@ def _frequencies(raw: DataFrame, wanted: bytes) -> DataFrame:
             counts: Counter = Counter()
             for text in rows["text"]:
                 if text:
-                    counts.update({w.lower() for w in set(TERM.findall(text)) if passed[w.lower()]})
+                    counts.update([w for w in terms_of(text, find_entities(text)) if passed[w]])
             return {"term": list(counts), "n": list(counts.values())} if counts else None
 
         return work
@@ -162,20 +166,38 @@ def _frequencies(raw: DataFrame, wanted: bytes) -> DataFrame:
 
 def disclosing_terms(raw: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """Words that disclose an entity: term, action (``remove`` or ``generalise``)."""
-    contexts = stored(_contexts(raw))
+    holders = stored(_holders(raw))
+    # Rows of one text have the same entities, so each entity counts the text's copies.
+    mentions = holders.select("key", F.explode("entities").alias("entity")).groupBy("entity", "key").agg(
+        F.count("*").alias("n")
+    )
+    entities = stored(
+        mentions.groupBy("entity")
+        .agg(F.sum("n").alias("df_entity"), F.count("*").alias("texts"))
+        .filter(F.col("texts") >= support)
+        .drop("texts")
+    )
+    mentions = stored(mentions.join(entities.select("entity"), "entity"))
+    held = mentions.select("key").distinct()
+    texts = stored(holders.select("key", "terms").dropDuplicates(["key"]).join(held, "key"))
+    listed_terms = texts.select(F.explode(F.split("terms", "\n")).alias("term")).filter("term <> ''")
+    shared = listed_terms.groupBy("term").count().filter(F.col("count") >= support)
+    n = float(max(raw.filter("text IS NOT NULL").count(), 1))
+    most = entities.agg(F.max("df_entity")).first()[0] or 0
+    usable = n ** (1 - 1 / alpha) * most ** (1 / alpha) * (1 + 1e-9)
+    known = stored(_frequencies(raw, bloom.build(shared, F.col("term"))).filter(F.col("df_term") <= usable))
+    narrowed = _narrowed(texts, bloom.build(known, F.col("term")))
     together = (
-        contexts.groupBy("entity", "term")
-        .agg(F.count("*").alias("co"), F.count_distinct("key").alias("texts"))
+        mentions.join(narrowed, "key")
+        .select("entity", "n", F.explode("terms").alias("term"))
+        .groupBy("entity", "term")
+        .agg(F.sum("n").alias("co"), F.count("*").alias("texts"))
         .filter(F.col("texts") >= support)
     )
-    together = stored(together)
-    pairs = together.filter("term <> ''")
-    entities = together.filter("term = ''").select("entity", F.col("co").alias("df_entity"))
-    wanted = bloom.build(pairs, F.col("term"))
-    n = F.lit(float(max(raw.filter("text IS NOT NULL").count(), 1)))
+    n = F.lit(n)
     judged = (
-        pairs.join(entities, "entity")
-        .join(_frequencies(raw, wanted), "term")
+        together.join(entities, "entity")
+        .join(known, "term")
         .withColumn("pmi", F.log2(F.col("co") * n / (F.col("df_term").cast("double") * F.col("df_entity"))))
         .withColumn("content", F.log2(n / F.col("df_entity")))
         .filter((F.col("pmi") >= F.col("content") / alpha) & (F.col("content") > 0))
@@ -198,8 +220,8 @@ def _found(raw: DataFrame, terms: bytes) -> DataFrame:
         def one(text: str):
             base = find_entities(text)
             maybe = []
-            if any(passed[w.lower()] for w in set(TERM.findall(text))):
-                plain = _blank(text, base)
+            plain = _blank(text, base) if base else text
+            if any(passed[w.lower()] for w in set(TERM.findall(plain))):
                 maybe = [
                     {"term": w, "start": m.start(), "end": m.end()}
                     for m in TERM.finditer(plain)

@@ -60,6 +60,17 @@ def test_a_telling_word_is_found_everywhere(spark):
     assert {texts[400][s.start : s.end] for s in out[400].disclosed} >= {"Zanzibarov"}
 
 
+def test_far_and_short_words_disclose_too(spark):
+    filler = [f"ordinary prose number{i} about nothing special at all" for i in range(400)]
+    gap = "about nothing special at all " * 20
+    texts = [*filler, *(f"Li writes, zx_99 page{i}\n{gap}\nmail jo@ex.org" for i in range(11)), "Li was zx_99"]
+    texts += ["zx_99 is beside jo@ex.org"] * 3
+    out = {r.doc_id: r for r in pii.find_personal_data(table(spark, texts)).collect()}
+    assert [(s.start, s.end, s.action) for s in out[411].disclosed] == [(0, 2, "generalise"), (7, 12, "generalise")]
+    assert {texts[400][s.start : s.end] for s in out[400].disclosed} >= {"Li", "writes", "zx_99"}
+    assert out[0].disclosed is None
+
+
 def test_copies_prove_nothing(spark):
     texts = ["Zanzibarov wrote jo@ex.org today"] * 6 + [f"other{i} text goes here" for i in range(30)]
     out = pii.find_personal_data(table(spark, texts)).collect()
