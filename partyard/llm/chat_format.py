@@ -8,14 +8,18 @@ decides where no data speak against it.  Viterbi finds the likeliest role sequen
 without looking at the given roles, and runs of lines with one role become segments,
 rendered in one canonical form.
 
-A conversation is cut at every ``BLOCK`` turns.  Each block gives the best score from
+A conversation is cut into blocks of at most ``BLOCK`` rows and about ``LINES`` lines:
+rows are sorted over all tasks by conversation, turn and text digest, and each task
+numbers the blocks of its own range, so one conversation may lie in many.  Each block gives the best score from
 every entering to every leaving role; these small tables are combined in levels, the
 roles at the cuts are settled from the top down, and then each block is decoded on
-its own.  So no task holds a conversation, only a block of it.
+its own.  So no task holds a conversation, only a block of it (a single text
+is never cut).
 
 A null turn number counts as 0, a null conversation id is a conversation of its own.
-Rows that repeat turn and text are read once.  Null and empty texts are one empty
-line.  Roles other than the known ones do not train the model.  Other columns are not
+Rows of a conversation that repeat turn and text are decoded once; ``copies`` says how
+many they are, and each trains the model.  Null and empty texts are one empty line.
+Roles other than the known ones do not train the model.  Other columns are not
 read; an empty table gives no rows.
 """
 
@@ -26,6 +30,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from partyard.llm.common import column, map_columns, map_runs
 from partyard.session import stored
@@ -56,6 +61,7 @@ MARKER = re.compile(
 )
 LENGTHS = 10  # classes of line length: powers of two, the last one open
 BLOCK = 256
+LINES = 65_536
 MARKER_PRIOR = 200.0
 #: Probability that the speaker changes inside a turn, at a line without and with a marker.
 CHANGE, CHANGE_MARKED = 1e-4, 0.5
@@ -158,27 +164,58 @@ def viterbi(steps: np.ndarray, enter: int | None, leave: int | None) -> list[int
     return path[::-1]
 
 
+OBSERVED = (
+    "conv_id long, turn long, text_key string, text string, copies long, as_role array<long>,"
+    " part int, block long, codes array<int>"
+)
+
+
 def _observed(rows: DataFrame) -> DataFrame:
+    """Line codes of every row, and its block among those of its task and conversation."""
+
     def make():
+        conv, block, held, lines = None, -1, 0, 0
+
         def work(cols):
-            return cols | {"codes": [observe(t) for t in cols["text"]]}
+            nonlocal conv, block, held, lines
+            codes = [observe(t) for t in cols["text"]]
+            blocks = []
+            for own, found in zip(cols["conv_id"], codes, strict=True):
+                if block < 0 or own != conv:
+                    conv, block, held, lines = own, 0, 0, 0
+                elif held == BLOCK or lines + len(found) > LINES:
+                    block, held, lines = block + 1, 0, 0
+                held, lines = held + 1, lines + len(found)
+                blocks.append(block)
+            return cols | {"codes": codes, "block": blocks}
 
         return work
 
-    return map_columns(rows, "conv_id long, turn long, role string, text string, codes array<int>", make)
+    order = ("conv_id", "turn", "text_key")
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return map_columns(ordered.withColumn("part", F.spark_partition_id()), OBSERVED, make)
+
+
+def _blocks(observed: DataFrame) -> DataFrame:
+    """The rows with their block's place in the whole conversation."""
+    sizes = observed.groupBy("conv_id", "part").agg((F.max("block") + 1).alias("n"))
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.sum("n").over(before).alias("first"))
+    moved = stored(first.filter("first > 0"))  # a row per task at most: its range starts inside one conversation
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))
+    placed = observed.join(F.broadcast(moved), same, "left")
+    return placed.withColumn("block", F.col("block") + F.coalesce("first", F.lit(0))).drop("c", "p", "first", "part")
 
 
 def fit(observed: DataFrame) -> Model:
     """Count the model's tables over all rows with a known role."""
-    numbers = {name: ROLES.index(role) for name, role in ALIASES.items()}
-    number = F.create_map(*(F.lit(x) for pair in numbers.items() for x in pair))[F.lower("role")]
-    known = observed.select("conv_id", "turn", number.alias("r"), "codes").filter("r IS NOT NULL")
-    codes = known.select("r", F.explode("codes").alias("code")).groupBy("r", "code").count().collect()
+    known = observed.select("conv_id", "turn", "codes", F.posexplode("as_role").alias("r", "n")).filter("n > 0")
+    codes = known.select("r", "n", F.explode("codes").alias("code")).groupBy("r", "code").agg(F.sum("n").alias("n"))
     turns = known.groupBy("conv_id", "turn").agg(F.min("r").alias("r"))
     before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("r").alias("p"))
     moves = turns.join(before, ["conv_id", "turn"], "left").groupBy("p", "r").count().collect()
     return Model(
-        {(x.r, x.code): x["count"] for x in codes},
+        {(x.r, x.code): x.n for x in codes.collect()},
         {x.r: x["count"] for x in moves if x.p is None},
         {(x.p, x.r): x["count"] for x in moves if x.p is not None},
     )
@@ -278,7 +315,7 @@ def render(role: str, content: str) -> str:
 
 
 def format_chats(rows: DataFrame) -> DataFrame:
-    """conv_id, turn, segment, role, content and rendered turn of every segment.
+    """conv_id, turn, segment, role, content, rendered turn and copies of every segment.
 
     ``rows`` has conv_id, turn, text and, for training, role.
     """
@@ -288,31 +325,33 @@ def format_chats(rows: DataFrame) -> DataFrame:
         column(rows, "role", "string"),
         column(rows, "text", "string"),
     )
-    once = raw.withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
-    once = once.dropDuplicates(["conv_id", "turn", "text_key"])
-    observed = stored(_observed(once.drop("text_key")))
-    model = fit(observed)
-    blocks = observed.withColumns(
-        {
-            "block": F.floor(F.greatest(F.col("turn"), F.lit(0)) / BLOCK).cast("long"),
-            "text_key": F.md5(F.coalesce("text", F.lit(""))),
-        }
+    numbers = {name: ROLES.index(role) for name, role in ALIASES.items()}
+    number = F.create_map(*(F.lit(x) for pair in numbers.items() for x in pair))[F.lower("role")]
+    keyed = raw.withColumns({"text_key": F.md5(F.coalesce("text", F.lit(""))), "r": number})
+    once = keyed.groupBy("conv_id", "turn", "text_key").agg(
+        F.first("text").alias("text"),
+        F.count("*").alias("copies"),
+        F.array(*(F.count_if(F.col("r") == k) for k in range(S))).alias("as_role"),
     )
+    observed = stored(_observed(once))
+    model = fit(observed)
+    blocks = _blocks(observed)
     ends = _chains([stored(_products(blocks, model))])
     named = ends.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "enter", "leave")
     ready = blocks.join(named, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).select(
-        "conv_id", "block", "turn", "text_key", "text", "codes", "enter", "leave"
+        "conv_id", "block", "turn", "text_key", "text", "copies", "codes", "enter", "leave"
     )
 
     def make():
         def work(run):
             codes = np.array([c for turn in run["codes"] for c in turn])
             path = viterbi(model.steps(codes), run["enter"][0], run["leave"][0])
-            out = {n: [] for n in ("conv_id", "turn", "segment", "role", "content", "rendered")}
+            out = {n: [] for n in ("conv_id", "turn", "segment", "role", "content", "rendered", "copies")}
             at = 0
-            for conv, turn, text, own in zip(run["conv_id"], run["turn"], run["text"], run["codes"], strict=True):
+            rows = zip(*(run[n] for n in ("conv_id", "turn", "text", "copies", "codes")), strict=True)
+            for conv, turn, text, copies, own in rows:
                 for k, (role, content) in enumerate(segments(text, path[at : at + len(own)])):
-                    values = (conv, turn, k, ROLES[role], content, render(ROLES[role], content))
+                    values = (conv, turn, k, ROLES[role], content, render(ROLES[role], content), copies)
                     for name, value in zip(out, values, strict=True):
                         out[name].append(value)
                 at += len(own)
@@ -324,6 +363,6 @@ def format_chats(rows: DataFrame) -> DataFrame:
         ready,
         ["conv_id", "block"],
         ["turn", "text_key"],
-        "conv_id long, turn long, segment long, role string, content string, rendered string",
+        "conv_id long, turn long, segment long, role string, content string, rendered string, copies long",
         make,
     )

@@ -75,3 +75,29 @@ def test_odd_rows(spark):
     assert {(r.conv_id, r.turn) for r in out} == {(None, 0), (None, 1), (3, 0), (4, -5), (5, 10**12), (6, 1)}
     assert sum(r.conv_id == 3 for r in out) == 2
     assert cf.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeated_rows_are_counted_and_train(spark):
+    rows = [(None, None, "user", "Hello")] * 3 + [(None, None, "tool", "Hello"), (1, 0, None, "yes"), (1, 0, None, "yes")]
+    out = cf.format_chats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.conv_id, r.turn, r.content, r.copies) for r in out} == {(None, 0, "Hello", 4), (1, 0, "yes", 2)}
+
+
+def test_no_block_holds_more_than_its_rows(spark, monkeypatch):
+    rows = [(None, None, "user", prose(5, i)) for i in range(400)] + [(1, 7, None, prose(40, i)) for i in range(300)]
+    rows += [(c, t, "assistant", prose(9, c * 10 + t)) for c in range(2, 40) for t in range(5)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    groups, results = [], []
+    runs = cf.map_runs
+
+    def watched(df, keys, order, schema, make):
+        groups.append(df.groupBy(*keys).count().agg({"count": "max"}).first()[0])
+        return runs(df, keys, order, schema, make)
+
+    monkeypatch.setattr(cf, "map_runs", watched)
+    for block in (8, 1000):
+        monkeypatch.setattr(cf, "BLOCK", block)
+        results.append(sorted((r.conv_id or 0, r.turn, r.content, r.role) for r in cf.format_chats(docs).collect()))
+        assert max(groups) <= block
+        groups.clear()
+    assert results[0] == results[1] and len(results[0]) == len(rows)
