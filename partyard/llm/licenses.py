@@ -2,10 +2,13 @@
 
 The text is lower-cased (A to Z) and reduced to its words, joined by single blanks;
 one automaton finds identifier tags and notice phrases in it, so a phrase matches
-however its words are spaced or punctuated.  Behind an identifier tag the rest of the
-original line is read as an expression (``MIT OR (Apache-2.0 WITH x AND BSD-2-Clause)``)
-that a shunting-yard parser turns into alternatives: each is a set of licences that
-have to hold together.  A broken expression keeps the licences read up to the fault.
+however its words are spaced or punctuated.  Behind every identifier tag the original
+text is read as an expression (``MIT OR (Apache-2.0 WITH x AND BSD-2-Clause)``) that a
+shunting-yard parser turns into alternatives: each is a set of licences that have to
+hold together.  Reading ends at the next tag, where the text is no expression any more,
+or at a line break that neither stands in brackets nor leaves an operand to come.  A
+broken expression keeps the licences read up to the fault; one of too many alternatives
+stays as it is written.
 
 Nulls and empty texts have no words, no labels and score 0.  Texts are read whole,
 repeated rows each on their own; columns other than id and text are not read.
@@ -65,59 +68,115 @@ NOTICES = {
 TAGS = ("spdx license identifier", "spdx licenseid", "license expression")
 TAG_WEIGHT, BASE_WEIGHT = 0.95, 0.6
 
-# The tags as they stand in the original text, for reading the expression behind them.
-TAG_LINE = re.compile(
-    rb"(?i)(?:spdx[^0-9a-z\x80-\xff\n]+license[^0-9a-z\x80-\xff\n]+identifier|spdx[^0-9a-z\x80-\xff\n]+licenseid"
-    rb"|license[^0-9a-z\x80-\xff\n]+expression)[^0-9a-z\x80-\xff\n(]*([^\n]*)"
-)
-TOKEN = re.compile(rb"[()]|[0-9A-Za-z.+:-]+")
+TOKEN = re.compile(rb"[()\n]|[0-9A-Za-z.+:-]+")
+NAMED = re.compile(rb"[0-9A-Za-z]")
+BEFORE = re.compile(rb"[^0-9A-Za-z\x80-\xff(]*")  # between a tag and its expression
 OPERATORS = {"or": 1, "and": 2, "with": 3}
+LIMIT = 4096
 
 Alternatives = frozenset[frozenset[str]]
 
 
-def parse_expression(text: bytes, limit: int = 4096) -> Alternatives:
-    """Alternatives of a licence expression, by a shunting-yard parser.
+class Expression:
+    """A licence expression: its licences, and its alternatives while they are few.
+
+    Beyond ``limit`` alternatives the expression is only the tree of its parts.
+    """
+
+    __slots__ = ("alternatives", "licences", "parts")
+
+    def __init__(self, name: str) -> None:
+        self.parts: str | tuple[Expression, str, Expression] = name
+        self.licences: set[str] = {name}
+        self.alternatives: Alternatives | None = frozenset({frozenset({name})})
+
+    @classmethod
+    def of(cls, left: Expression, op: str, right: Expression, limit: int) -> Expression:
+        out = cls.__new__(cls)
+        out.parts, out.alternatives = (left, op, right), None
+        a, b = left.alternatives, right.alternatives
+        if a is not None and b is not None:
+            if op == "or":
+                out.alternatives = both if len(both := a | b) <= limit else None
+            elif len(a) * len(b) <= limit:
+                if op == "and":
+                    out.alternatives = frozenset(x | y for x in a for y in b)
+                else:  # an exception qualifies the licence before it
+                    pairs = ((x, y) for x in a for y in b)
+                    out.alternatives = frozenset(frozenset(f"{i} with {j}" for i in x for j in y) for x, y in pairs)
+        if op != "with":  # the larger set takes in the smaller; the parts need theirs no more
+            more, less = sorted((left.licences, right.licences), key=len, reverse=True)
+            more |= less
+            out.licences = more
+        elif len(left.licences) * len(right.licences) <= limit:
+            out.licences = {f"{i} with {j}" for i in left.licences for j in right.licences}
+        else:
+            out.licences = {out.text()}
+        return out
+
+    def text(self) -> str:
+        if self.alternatives is not None:
+            return " OR ".join(sorted(" AND ".join(sorted(a)) for a in self.alternatives))
+        pieces, todo = [], [self]
+        while todo:
+            part = todo.pop()
+            if isinstance(part, str):
+                pieces.append(part)
+            elif isinstance(part.parts, str):
+                pieces.append(part.parts)
+            else:
+                left, op, right = part.parts
+                around = [self._within(left, op), [f" {op if op == 'with' else op.upper()} "], self._within(right, op)]
+                todo += [x for group in reversed(around) for x in reversed(group)]
+        return "".join(pieces)
+
+    @staticmethod
+    def _within(part: Expression, op: str) -> list:
+        loose = not isinstance(part.parts, str) and OPERATORS[part.parts[1]] < OPERATORS[op]
+        return ["(", part, ")"] if loose else [part]
+
+
+def read_expression(text: bytes, start: int = 0, end: int | None = None, limit: int = LIMIT) -> Expression | None:
+    """The licence expression at a place of a text, by a shunting-yard parser.
 
     ``with`` binds closest, then ``and``, then ``or``.  Reading stops where the text is
-    no expression any more (two names in a row, a stray bracket).  An expression of
-    more than ``limit`` alternatives gives one alternative with all its licences.
+    no expression any more (two names in a row, a stray bracket, the end of a line
+    after a whole expression).
     """
-    output: list[Alternatives] = []
+    output: list[Expression] = []
     stack: list[str] = []
-    names: set[str] = set()
-    operand_next = True
+    depth, operand_next, broken = 0, True, False
 
     def apply(op: str) -> None:
         right, left = output.pop(), output.pop()
-        if op == "or":
-            output.append(left | right)
-        elif len(left) * len(right) > limit:
-            output.append(frozenset({frozenset().union(*left, *right)}))
-        elif op == "and":
-            output.append(frozenset(a | b for a in left for b in right))
-        else:  # an exception qualifies the licence before it
-            output.append(
-                frozenset(frozenset(f"{x} with {y}" for x in a for y in b) for a in left for b in right)
-            )
-
-    for token in TOKEN.findall(text):
-        word = token.decode("latin-1").lower()
+        output.append(Expression.of(left, op, right, limit))
+
+    for m in TOKEN.finditer(text, start, len(text) if end is None else end):
+        word = m[0].decode("latin-1").lower()
+        if word == "\n":
+            if not operand_next and not depth:
+                break
+            broken = True
+            continue
+        if (operand_next or broken) and word not in ("(", ")") and not NAMED.search(m[0]):
+            continue  # comment marks at the start of a line
+        broken = False
         if operand_next:
             if word == "(":
                 stack.append(word)
+                depth += 1
             elif word == ")" or word in OPERATORS:
                 break
             else:
-                names.add(word)
-                output.append(frozenset({frozenset({word.rstrip(".:-")})}))
+                output.append(Expression(word.rstrip(".:-")))
                 operand_next = False
         elif word == ")":
-            if "(" not in stack:
+            if not depth:
                 break
             while stack[-1] != "(":
                 apply(stack.pop())
             stack.pop()
+            depth -= 1
         elif word in OPERATORS:
             while stack and stack[-1] != "(" and OPERATORS[stack[-1]] >= OPERATORS[word]:
                 apply(stack.pop())
@@ -134,7 +193,13 @@ def parse_expression(text: bytes, limit: int = 4096) -> Alternatives:
         op = stack.pop()
         if op != "(" and len(output) > 1:
             apply(op)
-    return output[-1] if output else frozenset()
+    return output[-1] if output else None
+
+
+def parse_expression(text: bytes, limit: int = LIMIT) -> Alternatives | None:
+    """Alternatives of a licence expression; None if there are more than ``limit``."""
+    found = read_expression(text, limit=limit)
+    return found.alternatives if found else frozenset()
 
 
 class Scanner:
@@ -147,7 +212,7 @@ class Scanner:
         for phrase, found in NOTICES.items():
             phrases.setdefault(phrase, {})["notice"] = found
         for phrase in TAGS:
-            phrases.setdefault(phrase, {})["tag"] = True
+            phrases.setdefault(phrase, {})["tag"] = len(phrase.split())
         self.automaton = ahocorasick.Automaton()
         for phrase, what in phrases.items():
             self.automaton.add_word(f" {phrase} ", (len(phrase) + 1, what))
@@ -157,7 +222,7 @@ class Scanner:
         lowered = text.lower()  # bytes: A to Z only
         found = WORD.findall(lowered)
         joined = (b" " + b" ".join(found) + b" ").decode("latin-1")
-        starts, base, labels, evidence, tagged = [], set(), set(), {}, False
+        starts, base, labels, evidence, tags = [], set(), set(), {}, []
         for end, (width, what) in self.automaton.iter(joined):
             if "base" in what:
                 starts.append(end - width)
@@ -167,14 +232,13 @@ class Scanner:
                 label, weight = what["notice"]
                 labels.add(label)
                 evidence["notice", label] = max(weight, evidence.get(("notice", label), 0))
-            tagged |= "tag" in what
-        expressions: list[Alternatives] = []
-        if tagged:
-            expressions = [e for m in TAG_LINE.finditer(text) if (e := parse_expression(m[1]))]
-            for e in expressions:
-                for licence in frozenset().union(*e):
-                    labels.add(licence)
-                    evidence["tag", licence] = TAG_WEIGHT
+            if "tag" in what:
+                tags.append((end, what["tag"]))
+        expressions = self._tagged(lowered, text, joined, tags) if tags else []
+        for e in expressions:
+            for licence in e.licences:
+                labels.add(licence)
+                evidence["tag", licence] = TAG_WEIGHT
         doubt = 1.0
         for _, weight in sorted(evidence.items()):
             doubt *= 1 - weight
@@ -186,9 +250,24 @@ class Scanner:
             "base_labels": ",".join(sorted(base)),
             "labels": ",".join(sorted(base | labels)),
             "score": 1 - doubt,
-            "expressions": [" OR ".join(sorted(" AND ".join(sorted(a)) for a in e)) for e in expressions],
+            "expressions": [e.text() for e in expressions],
         }
 
+    @staticmethod
+    def _tagged(lowered: bytes, text: bytes, joined: str, tags: list[tuple[int, int]]) -> list[Expression]:
+        """The expression behind every tag, up to the next tag at most."""
+        places = [m.span() for m in WORD.finditer(lowered)]
+        starts, ends, word, at = [], [], 0, 0
+        for end, width in tags:
+            word, at = word + joined.count(" ", at, end), end
+            starts.append(places[word - width][0])
+            ends.append(places[word - 1][1])
+        found = []
+        for here, limit in zip(ends, [*starts[1:], len(text)], strict=True):
+            if e := read_expression(text, BEFORE.match(text, here, limit).end(), limit):
+                found.append(e)
+        return found
+
 
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string,"

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from partyard.llm.licenses import BASE, parse_expression, scan_licenses
+from partyard.llm.licenses import BASE, parse_expression, read_expression, scan_licenses
 
 
 def brute(text):
@@ -64,6 +64,40 @@ def test_tags_add_labels(spark):
     assert row.base_labels == "mit" and 0.95 < row.score < 1
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("a SPDX-License-Identifier: MIT b SPDX-License-Identifier: ISC OR 0BSD c", "mit | 0bsd OR isc"),
+        ("SPDX-License-Identifier: MIT SPDX-License-Identifier: ISC", "mit | isc"),
+        ("# SPDX-License-Identifier: (MIT OR\n#   ISC) AND 0BSD\nand more", "0bsd AND isc | 0bsd AND mit"),
+        ("// SPDX-License-\n// Identifier: MIT\nor so", "mit"),
+        ("SPDX-License-Identifier:\r\nMIT\r\nISC", "mit"),
+        ("-- SPDX-License-Identifier: (MIT\n-- AND ISC)\n", "isc AND mit"),
+        ("é SPDX-License-Identifier: MIT é", "mit"),
+    ],
+)
+def test_every_tag_is_read(spark, text, expected):
+    row = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    found = [" | ".join(sorted(x.split(" OR ")) if " AND " in x else [x]) for x in row.expressions]
+    assert " | ".join(found) == expected
+    assert row.score > 0.94
+
+
+def test_large_expressions_keep_their_alternatives(spark):
+    pairs = [f"(a{i} OR b{i})" for i in range(13)]
+    text = f"SPDX-License-Identifier: {' AND '.join(pairs)}"
+    row = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.expressions == [" AND ".join(pairs)]
+    assert set(row.labels.split(",")) == {f"{k}{i}" for k in "ab" for i in range(13)}
+    many = [f"l{i}" for i in range(5000)]
+    assert read_expression(" OR ".join(many).encode()).text() == " OR ".join(many)
+    deep = "(" * 50_000 + "MIT" + ")" * 50_000
+    assert read_expression(deep.encode()).text() == "mit"
+    mixed = read_expression(b"((a OR b) AND (c OR d) OR e) WITH x", limit=2)
+    assert mixed.text() == "((a OR b) AND (c OR d) OR e) with x"
+    assert mixed.licences == {"((a OR b) AND (c OR d) OR e) with x"}
+
+
 def test_many_matches_stay_linear(spark):
     row = scan_licenses(spark.createDataFrame([(1, "mit license " * 200_000)], "doc_id long, text string")).first()
     assert (row.n_base, row.first_word, row.last_word) == (200_000, 0, 399_998)
