@@ -184,8 +184,8 @@ def kth_largest(scored: DataFrame, k: int) -> int:
 
 def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
     """Importance that parts good from other labelled documents with least mean error."""
-    if not len(scores) or good.all() or not good.any():
-        return -np.inf if good.any() or not len(scores) else np.inf
+    if good.all() or not good.any():  # nothing to part, or no labels at all
+        return -np.inf
     order = np.argsort(scores, kind="stable")
     s, g = scores[order], good[order]
     lost = np.concatenate([[0], np.cumsum(g)]) / g.sum()
@@ -214,8 +214,10 @@ class Classifier:
             .limit(FIT_ROWS)
             .collect()
         )
-        held = {r.doc_id: bool(r.good) for i, r in enumerate(chosen) if i % CALIBRATION_SHARE == 0}
-        fit = frozenset(r.doc_id for i, r in enumerate(chosen) if r.good and i % CALIBRATION_SHARE)
+        # Each class gives its own share, so that neither is missing by chance.
+        classes = {good: [r.doc_id for r in chosen if bool(r.good) is good] for good in (True, False)}
+        held = {i: good for good, ids in classes.items() for i in ids[::CALIBRATION_SHARE]}
+        fit = frozenset(classes[True]) - held.keys()
         self.table = log_ratios(raw, fit) if fit else np.zeros(FEATURES * BUCKETS, np.float32)
         self.scored = stored(self._scores(raw))
         self.cut = self._calibrated(held) if fit else -np.inf

@@ -80,3 +80,14 @@ def test_odd_rows(spark, odd_docs, clashing_docs, no_docs):
         assert model.keep(clashing_docs).columns == clashing_docs.columns
     assert all(r.kept for r in q.classify(odd_docs, none).collect() if r.n_words)
     assert q.classify(no_docs, odd).count() == 0
+
+
+def test_few_labels_do_not_reject_everything(spark):
+    docs = spark.createDataFrame([(i, prose(40, i)) for i in range(40)], "doc_id long, text string")
+    for good in (1, 2, 4):  # whichever labels are held out, some text stays
+        labels = [(i, int(i < good), 0) for i in range(12)]
+        table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        assert q.Classifier(docs, table).keep(docs).count() > 0
+    absent = [(1, 0, 0)] + [(i, 1, 0) for i in range(1000, 1006)]
+    table = spark.createDataFrame(absent, "doc_id long, quality int, toxic int")
+    assert q.Classifier(docs, table).keep(docs).count() == 40
