@@ -108,3 +108,87 @@ FROM embeddings e JOIN found f USING (vec_id)
 """
 
 ORACLES["op7_embedding_dedup"] = EMBEDDINGS
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+RESAMPLING = rf"""
+WITH tabled AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1
+    THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), listed AS (
+  SELECT 'd' AS kind, row_number() OVER () AS no, doc_id, regexp_extract_all({LOWER}, '{WORD}') AS words FROM documents
+  UNION ALL
+  SELECT 'b', row_number() OVER (), NULL, regexp_extract_all({LOWER}, '{WORD}') FROM benchmark
+), features AS (
+  SELECT kind, no, unnest(words) AS feature FROM listed
+  UNION ALL
+  SELECT kind, no, words[i] || ' ' || words[i + 1]
+  FROM (SELECT kind, no, words, unnest(range(1, len(words))) AS i FROM listed)
+), counted AS (
+  SELECT kind, no, feature, count(*) AS n FROM features GROUP BY ALL
+), placed AS (
+  SELECT feature, xor(list_reduce(
+      list_prepend(4294967295, list_transform(range(1, len(bytes), 2),
+        lambda i: 16 * (instr('0123456789ABCDEF', bytes[i]) - 1) + instr('0123456789ABCDEF', bytes[i + 1]) - 1)),
+      lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT feature, hex(encode(feature)) AS bytes FROM counted GROUP BY feature), tabled
+), buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0) AS s, coalesce(sum(n) FILTER (kind = 'b'), 0) AS t
+  FROM counted JOIN placed USING (feature) GROUP BY bucket
+), totals AS (
+  SELECT CAST(sum(s) AS DOUBLE) AS s_all, CAST(sum(t) AS DOUBLE) AS t_all FROM buckets
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (s_all + 10000) / ((s + 1.0::DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM buckets, totals
+), weighed AS (
+  SELECT no, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS gain
+  FROM counted JOIN placed USING (feature) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY no
+), scored AS (
+  SELECT l.doc_id, len(l.words) AS n_words, coalesce(w.n_features, 0) AS n_features,
+    CASE WHEN w.n_features > 0 THEN (w.gain - ((w.gain % w.n_features) + w.n_features) % w.n_features) // w.n_features
+      ELSE 0 END AS weight,
+    list_reduce(list_prepend(0::BIGINT, list_transform(range(1, 9),
+      lambda i: CAST(instr('0123456789abcdef', sha256('7:' || l.doc_id)[i]) - 1 AS BIGINT))), lambda a, b: a * 16 + b) AS h
+  FROM listed l LEFT JOIN weighed w USING (no) WHERE l.kind = 'd'
+), drawn AS (
+  SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, n_words,
+    CAST(weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+    25 * (SELECT count(*) FROM drawn WHERE n_words >= 20) // 100 AS most FROM drawn
+)
+SELECT doc_id, n_features, weight, score,
+  CAST(CASE WHEN n_words >= 20 AND place <= most THEN place END AS BIGINT) AS rank
+FROM ranked
+"""
+
+SEARCH = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS no, doc_id, regexp_extract_all({LOWER}, '{WORD}') AS words FROM documents
+), totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_words FROM docs WHERE len(words) > 0
+), asked AS (
+  SELECT DISTINCT no, item_id, term FROM (
+    SELECT row_number() OVER () AS no, item_id, unnest(regexp_extract_all({LOWER}, '{WORD}')) AS term FROM benchmark)
+), held AS (
+  SELECT no, doc_id, n, term, count(*) AS tf
+  FROM (SELECT no, doc_id, len(words) AS n, unnest(words) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), totals
+), parts AS (
+  SELECT no, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words))) AS part
+  FROM held JOIN weighed USING (term), totals
+), scored AS (
+  SELECT a.no, a.item_id, p.doc_id, CAST(sum(part) AS BIGINT) AS score
+  FROM asked a JOIN parts p USING (term) GROUP BY a.no, a.item_id, p.no, p.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLES |= {"op11_target_resampling": RESAMPLING, "op13_lexical_search": SEARCH}

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyard.llm import chat_format, embedding_dedup, licenses, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, token_counts
+from partyard.llm import (
+    chat_format,
+    embedding_dedup,
+    lexical_search,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    piece_codec,
+    pii,
+    quality_classifier,
+    quality_rules,
+    target_resampling,
+    token_counts,
+)
 from partyard.llm.common import column, count_words, table
 from partyard.llm.oracles import ORACLES
 
@@ -100,4 +114,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the distribution of the benchmark's texts."""
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return target_resampling.resample(docs, target)
+
+
+@query
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(piece_codec.encode_documents(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return lexical_search.search(docs, items)
+
+
 __all__ = ["ORACLES", "QUERIES"]
