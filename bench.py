@@ -48,7 +48,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = local_session(cpus, "bench")
+    # Tables of a few MB: cut them into as many splits as there are cores.
+    spark = local_session(
+        cpus,
+        "bench",
+        **{
+            "spark.sql.files.openCostInBytes": "256k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        },
+    )
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-"))
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
     seconds: dict[str, float] = {}

@@ -144,6 +144,27 @@ SOLD_HISTORY = T.StructType(
         T.StructField("scraped_at", TIMESTAMP),
     ]
 )
+# Stored forms: the history by scrape date, the crawl status and the price counts by day.
+STORED_HISTORY = T.StructType([*SOLD_HISTORY.fields, T.StructField("scrape_date", DATE)])
+CRAWL_LOG = T.StructType(
+    [
+        T.StructField("vehicle_key", STRING),
+        T.StructField("crawl_id", STRING),
+        T.StructField("search_part", STRING),
+        T.StructField("last_crawled_at", TIMESTAMP),
+        T.StructField("listings", LONG),
+        T.StructField("status_date", DATE),
+    ]
+)
+PRICE_DAYS = T.StructType(
+    [
+        T.StructField("vehicle_key", STRING),
+        T.StructField("search_part", STRING),
+        T.StructField("price", DOUBLE),
+        T.StructField("n", LONG),
+        T.StructField("day", DATE),
+    ]
+)
 RESULT_ITEMS = T.StructType(
     [
         T.StructField("result_set_id", LONG),

@@ -191,13 +191,15 @@ def bootstrap_ci(
     """Percentile interval of the mean difference over resampled pairs.
 
     The Poisson bootstrap: in every draw each pair counts a Poisson number of times,
-    read from a digest of its own, so pairs need no numbering and no join, and tasks
-    add up one row per draw before the shuffle.
+    read from a digest of its own, so pairs need no numbering and no join.  The draws of
+    a pair unfold where the pair lies, and every task adds them into its own vector of
+    one sum per draw; what is shuffled is that vector, however many pairs there are.
     """
     blocks = -(-draws // WEIGHTS_PER_DIGEST)
     key = F.col("vehicle_key")
-    digests = _drawn(pairs.select(key, _grains(F.col("diff")).alias("grains")), blocks).select(
-        "grains", F.col("draw").alias("block"), _digest(seed, key, F.col("draw")).alias("hex")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    digests = pairs.select(key, _grains(F.col("diff")).alias("grains"), every).select(
+        "grains", "block", _digest(seed, key, F.col("block")).alias("hex")
     )
     places = F.sequence(F.lit(0), F.lit(WEIGHTS_PER_DIGEST - 1))
     slots = digests.withColumn("place", F.explode(places))

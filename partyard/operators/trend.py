@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partyard import rules
@@ -14,7 +15,7 @@ from partyard.functions.scoring import trend_label
 from partyard.functions.standardize import standardize_part
 from partyard.functions.text import first_price
 from partyard.operators.market import PriceRanks
-from partyard.sources.history import recent_listings
+from partyard.sources.history import recent_listings, since
 
 KEYS = ["vehicle_key", "search_part"]
 
@@ -34,9 +35,17 @@ def price_trend(
     standard part; with ``'exact'`` under the stored ones.  The time filter
     comes first, so only the two windows' partitions and four columns are read.
     """
-    now = F.lit(as_of).cast("timestamp")
-    recent_from = now - F.make_interval(days=F.lit(window_days))
-    seen = F.col("scraped_at")
+    windowed = recent_listings(history, as_of, 2 * window_days)
+    recent = F.col("scraped_at") >= since(as_of, window_days)
+    return trend_of_counts(price_counts(windowed, {"recent": recent}, match), min_prices)
+
+
+def price_counts(rows: DataFrame, by: Mapping[str, Column], match: str = "normalized") -> DataFrame:
+    """Rows per pair, price and the given columns, counted inside the map tasks.
+
+    Rows without a usable price still name a pair that must be reported; their price
+    is null.
+    """
     if match == "normalized":
         key = lookup_vehicle_key(
             F.col("search_year"), F.col("search_make"), F.col("search_model")
@@ -44,20 +53,19 @@ def price_trend(
         part = standardize_part(F.col("search_part"))
     else:
         key, part = F.col("vehicle_key"), F.col("search_part")
-    windowed = recent_listings(history, as_of, 2 * window_days).select(
+    read = rows.select(
         key.alias("vehicle_key"),
         part.alias("search_part"),
-        (seen >= recent_from).alias("recent"),
+        *(column.alias(name) for name, column in by.items()),
         first_price(F.col("price_raw")).alias("price"),
     )
+    priced = F.when(F.col("price") > 0, F.col("price"))
+    return read.withColumn("price", priced).groupBy(*KEYS, *by, "price").agg(F.count("*").alias("n"))
+
+
+def trend_of_counts(histogram: DataFrame, min_prices: int = rules.TREND_MIN_PRICES) -> DataFrame:
+    """The trend from prices counted per pair and window (``recent`` or not)."""
     period = [*KEYS, "recent"]
-    # Rows without a usable price still name a pair that must be reported.
-    priced = F.col("price") > 0
-    histogram = (
-        windowed.withColumn("price", F.when(priced, F.col("price")))
-        .groupBy(*period, "price")
-        .agg(F.count("*").alias("n"))
-    )
     ranks = PriceRanks(period)
     middle = (F.col("priced") - 1) / 2
     medians = (

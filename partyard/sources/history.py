@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from partyard import rules
@@ -108,18 +108,51 @@ def active_snapshot(
     )
 
 
+#: Buckets that keep the rows of a vehicle together inside a day.
+KEY_BUCKETS = 64
+
+
+def key_filters(writer: DataFrameWriter) -> DataFrameWriter:
+    """Bloom filters over the lookup key in every row group, sized by what the group holds.
+
+    A lookup by key skips the row groups whose filter or dictionary lacks the key, also
+    where the key lies between a group's smallest and largest one.
+    """
+    for name in PAIR:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 def append_history(rows: DataFrame, path: str) -> None:
     """Append parsed rows to the history, one folder per scrape date.
 
-    Rows are clustered by date before the write, which keeps the number of
-    files down, and sorted by lookup key inside each file, so a key lookup can
-    skip row groups.  Rebalancing splits a date that holds most of the rows.
+    Rows are clustered by date and key bucket before the write, which keeps the number
+    of files down and a vehicle's rows of a day in one or few of them; they are sorted
+    by lookup key inside each file.  Rebalancing merges small buckets and splits large
+    ones.
     """
-    dated = conform(rows, SOLD_HISTORY).withColumn("scrape_date", F.to_date("scraped_at"))
-    (
-        dated.hint("rebalance", "scrape_date")
+    dated = conform(rows, SOLD_HISTORY).withColumns(
+        {"scrape_date": F.to_date("scraped_at"), "_bucket": F.pmod(F.xxhash64("vehicle_key"), F.lit(KEY_BUCKETS))}
+    )
+    sorted_ = (
+        dated.hint("rebalance", "scrape_date", "_bucket")
         .sortWithinPartitions("scrape_date", *PAIR, F.desc("scraped_at"))
-        .write.mode("append")
-        .partitionBy("scrape_date")
-        .parquet(path)
+        .drop("_bucket")
     )
+    key_filters(sorted_.write.mode("append").partitionBy("scrape_date")).parquet(path)
+
+
+def vehicle_listings(
+    history: DataFrame,
+    vehicle_key: str,
+    search_part: str,
+    as_of: datetime | str,
+    days: int = rules.RECENT_DAYS,
+) -> DataFrame:
+    """Recent rows of one vehicle and part, newest first.
+
+    Both keys are pushed into the scan: of the days in the window, only row groups that
+    may hold the key are read.
+    """
+    wanted = (F.col("vehicle_key") == vehicle_key) & (F.col("search_part") == search_part)
+    return newest_first(recent_listings(history.filter(wanted), as_of, days))

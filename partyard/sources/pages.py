@@ -1,73 +1,208 @@
 """Landed result pages to listing rows, with native expressions only.
 
-Comments go first.  A page is cut in front of every card opening, and each piece ends
-where its own list item closes, so list items nested in a card stay with their card
-and text between two cards belongs to none.  Fields are taken by class name and end
-where their element closes, whatever elements of the same name they hold.
+One regular expression reads a page from front to back and marks its tags: a tag ends
+at its ``>`` outside quoted values, and comments, scripts and style sheets are taken
+whole and leave an empty mark.  The page is then an array of pieces, each a tag and the
+text behind it.
+
+A fold over the tags keeps the stack of open elements: an end tag closes the nearest
+open element of its name with all that is open inside it, an end tag without one means
+nothing.  The fold gives the pieces of each card, nested cards included; a second fold
+over a card's pieces gives the span of the first element of each field.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partyard import rules
-from partyard.functions.literals import text_map
+from partyard.functions.literals import HashedMap, folded_array, folded_map
 from partyard.functions.text import first_price, parse_sold_date
 
-CARD_OPEN = r"""(?is)<li\b[^>]*\sclass\s*=\s*(?:"[^"]*s-card|'[^']*s-card|[^\s"'>]*s-card)"""
 CELL = ["vehicle_key", "search_year", "search_make", "search_model", "search_part"]
-_GAP = "\u0001"
+_OPEN, _SHUT = "\u0001", "\u0002"
+
+#: What stands in a tag: an equals sign may have a quoted value behind it.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+_TOKEN = rf"(?is)<!--.*?(?:-->|\z)|<(script|style)\b{_INSIDE}>.*?(?:</\1\s*>|\z)|<(/?[a-z]{_INSIDE})>|<[!?][^>]*>"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+#: Class of each field's element and the tag it must be, if any.
+FIELDS = {
+    "title": ("s-card__title", None),
+    "price": ("s-card__price", "span"),
+    "link": ("s-card__link", "a"),
+    "caption": ("s-card__caption", None),
+}
 
 
-def _class_attribute(name: str) -> str:
-    """Class attribute that has ``name`` among its space-separated tokens."""
-    return (
-        rf"""\sclass\s*=\s*(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"""
-    )
+def _attribute(body: Column, name: str) -> Column:
+    """Value of a tag's attribute, empty when it has none; text in other values does not count."""
+    own = F.regexp_replace(body, rf"(?is)(\s{name}\s*=\s*{_VALUE})|\s[^\s=]+\s*=\s*{_VALUE}", "$1")
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*(F.regexp_extract(own, pattern, k) for k in (1, 2, 3)))
 
 
-def _until_closed(rest: Column, tag: Column) -> Column:
-    """Text behind an opening tag up to where that element closes, or all of it.
+def _pieces(html: Column) -> Column:
+    """The page cut in front of every tag; each piece is a tag, a mark and text."""
+    plain = F.translate(html, _OPEN + _SHUT, "")
+    marked = F.regexp_replace(plain, _TOKEN, f"{_OPEN}$2{_SHUT}")
+    cut = F.split(marked, _OPEN)
+    return F.slice(cut, F.lit(2), F.greatest(F.size(cut) - 1, F.lit(0)))
 
-    The text is cut at every ``<``; a fold counts how many elements of the same name
-    are open and notes the piece in which the count reaches 0.
-    """
-    pieces = F.split(rest, "<")
-    name = F.lower(tag)
 
-    def step(piece: Column, place: Column) -> Column:
-        own = F.lower(F.regexp_extract(piece, r"^/?(\w+)", 1)) == name
-        closes = F.startswith(piece, F.lit("/"))
-        return F.when((place == 0) | ~own, 0).when(closes, -1).otherwise(1)
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once."""
+    return F.transform(F.array(value), use)[0]
 
-    def fold(state: Column, change: Column) -> Column:
-        depth = state["depth"] + change
-        ended = (state["end"] < 0) & (depth == 0)
+
+def _tag(piece: Column, at: Column) -> Column:
+    """What a piece says, with its place: its element's name and kind, whether it opens a card or fields, its text.
+
+    The kind is -1 for an end tag, 1 for a tag that opens an element and 0 for one
+    without content.
+    """
+    body = F.substring_index(piece, _SHUT, 1)
+
+    def read(x: Column) -> Column:
+        body, name = x["body"], x["name"]
+        closes = F.startswith(body, F.lit("/"))
+        empty = (name == "") | F.endswith(body, F.lit("/")) | F.array_contains(folded_array(rules.VOID_ELEMENTS), name)
+        marked = F.contains(body, F.lit("s-card")) & ~closes
+        classes = F.when(marked, _attribute(body, "class"))
+        tokens = F.split(classes, r"\s+")
+        fits = [
+            F.array_contains(tokens, klass) & (F.lit(True) if only is None else name == only)
+            for klass, only in FIELDS.values()
+        ]
         return F.struct(
-            depth.alias("depth"),
-            (state["place"] + 1).alias("place"),
-            F.when(ended, state["place"]).otherwise(state["end"]).alias("end"),
+            at.alias("at"),
+            name.alias("name"),
+            F.when(closes, -1).when(empty, 0).otherwise(1).alias("kind"),
+            F.coalesce((name == "li") & F.contains(classes, F.lit("s-card")), F.lit(False)).alias("card"),
+            F.when(F.contains(classes, F.lit("s-card__")), F.array(*fits)).alias("marks"),
+            F.substring_index(piece, _SHUT, -1).alias("text"),
+            F.when(marked & (name == "a"), _attribute(body, "href")).alias("href"),
         )
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("place"), F.lit(-1).alias("end"))
-    end = F.aggregate(F.transform(pieces, step), start, fold, lambda state: state["end"])
-    return F.when(end >= 0, F.array_join(F.slice(pieces, F.lit(1), end), "<")).otherwise(rest)
+    name = F.lower(F.regexp_extract(body, r"^/?([^\s/]*)", 1))
+    return _once(F.struct(body.alias("body"), name.alias("name")), read)
+
+
+# Open elements are a text with the innermost one in front: every element is a mark, its
+# name, another mark and, for a card, the letter c and its place.
+
+
+def _pushed(stack: Column, tag: Column) -> Column:
+    card = F.when(tag["card"], F.concat(F.lit("c"), tag["at"].cast("string"))).otherwise("")
+    return F.concat(F.lit(_OPEN), tag["name"], F.lit(_SHUT), card, stack)
+
+
+def _stack_after(stack: Column, tag: Column) -> Column:
+    """The stack behind a tag; an end tag without its element changes nothing."""
+    mine = F.concat(F.lit(_OPEN), tag["name"], F.lit(_SHUT))
+    behind = F.substring(stack, F.instr(stack, mine) + 1, F.length(stack))
+    left = F.substring(behind, F.instr(behind, F.lit(_OPEN)), F.length(behind))
+    popped = F.when(F.contains(behind, F.lit(_OPEN)), left).otherwise("")
+    return (
+        F.when(tag["kind"] > 0, _pushed(stack, tag))
+        .when((tag["kind"] < 0) & F.contains(stack, mine), popped)
+        .otherwise(stack)
+    )
+
+
+def split_cards(html: Column) -> Column:
+    """The cards of a page in the order they open, each as the array of its tags."""
+
+    def step(state: Column, tag: Column) -> Column:
+        def ended(after: Column) -> Column:
+            gone = F.substring(state["stack"], F.lit(1), F.length(state["stack"]) - F.length(after))
+            places = F.regexp_extract_all(gone, F.lit(_SHUT + r"c(\d+)"))
+            done = F.transform(places, lambda place: _span(place.cast("int"), tag["at"]))
+            return F.struct(
+                after.alias("stack"),
+                F.when(
+                    (tag["kind"] < 0) & F.contains(gone, F.lit(_SHUT + "c")), F.concat(state["cards"], done)
+                )
+                .otherwise(state["cards"])
+                .alias("cards"),
+            )
+
+        return F.when(tag["kind"] == 0, state).otherwise(_once(_stack_after(state["stack"], tag), ended))
+
+    def cut(tags: Column) -> Column:
+        start = F.struct(
+            F.lit("").alias("stack"), F.array().cast("array<struct<start:int,stop:int>>").alias("cards")
+        )
+
+        def finish(state: Column) -> Column:
+            """Cards that the page leaves open end with it."""
+            left = F.regexp_extract_all(state["stack"], F.lit(_SHUT + r"c(\d+)"))
+            return F.array_sort(
+                F.concat(state["cards"], F.transform(left, lambda place: _span(place.cast("int"), F.size(tags))))
+            )
+
+        spans = F.aggregate(tags, start, step, finish)
+        return F.transform(spans, lambda c: F.slice(tags, c["start"] + 1, c["stop"] - c["start"]))
 
+    page = F.when(F.contains(html, F.lit("s-card")), html).otherwise("")
+    return _once(F.transform(_pieces(page), _tag), cut)
 
-def _inner_html(card: Column, tag: str, name: str) -> Column:
-    """Content of the first element with that class; empty when there is none, null for no card."""
-    opening = rf"(?is)<({tag})\b[^>]*{_class_attribute(name)}[^>]*>(.*)$"
-    found = F.regexp_extract(card, opening, 1)
-    inner = _until_closed(F.regexp_extract(card, opening, 2), found)
-    return F.when(found == "", "").otherwise(inner)
+
+def _span(start: Column, stop: Column) -> Column:
+    return F.struct(start.alias("start"), stop.alias("stop"))
+
+
+def _field_spans(card: Column) -> Column:
+    """Start and stop of the first element of every field, in tags; start -1 for none."""
+    places = range(len(FIELDS))
+
+    def step(state: Column, tag: Column) -> Column:
+        at = state["at"]
+
+        def found(after: Column) -> Column:
+            def one(k: int) -> Column:
+                old = state[f"f{k}"]
+                # An element without content ends where it starts.
+                new = F.struct(
+                    at.alias("start"),
+                    F.length(state["stack"]).alias("depth"),
+                    F.when(tag["kind"] == 0, at).otherwise(-1).alias("stop"),
+                )
+                ended = F.struct(old["start"].alias("start"), old["depth"].alias("depth"), at.alias("stop"))
+                return (
+                    F.when(
+                        (tag["kind"] < 0) & (old["stop"] < 0) & (old["start"] >= 0) & (F.length(after) <= old["depth"]),
+                        ended,
+                    )
+                    .when(tag["marks"].isNotNull() & (old["start"] < 0) & tag["marks"][k], new)
+                    .otherwise(old)
+                    .alias(f"f{k}")
+                )
+
+            return F.struct(after.alias("stack"), (at + 1).alias("at"), *(one(k) for k in places))
+
+        return _once(_stack_after(state["stack"], tag), found)
+
+    none = F.struct(F.lit(-1).alias("start"), F.lit(0).alias("depth"), F.lit(-1).alias("stop"))
+    start = F.struct(F.lit("").alias("stack"), F.lit(1).alias("at"), *(none.alias(f"f{k}") for k in places))
+
+    def finish(state: Column) -> Column:
+        found = (state[f"f{k}"] for k in places)
+        return F.array(*(_span(f["start"], F.when(f["stop"] < 0, state["at"]).otherwise(f["stop"])) for f in found))
+
+    # The first tag is the card's own.
+    return F.aggregate(F.slice(card, F.lit(2), F.size(card)), start, step, finish)
 
 
 #: Named references of HTML 5; the older ones also count without a semicolon.
 NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 BARE = {name: text for name, text in html5.items() if not name.endswith(";")}
+_NAMED = HashedMap(NAMED, 1024)
 _BARE_NAMES = "|".join(sorted(BARE, key=len, reverse=True))
 _DECIMAL = r"^&#([0-9]+);?"
 _HEXADECIMAL = r"(?i)^&#x([0-9a-f]+);?"
@@ -91,7 +226,7 @@ def _by_number(code: Column) -> Column:
         | code.between(0xFDD0, 0xFDEF)
         | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
     )
-    legacy = F.try_element_at(text_map(_LEGACY), code.cast("string"))
+    legacy = F.try_element_at(folded_map(_LEGACY), code.cast("string"))
     return (
         F.when(unknown, F.lit("\ufffd")).when(legacy.isNotNull(), legacy).when(dropped, F.lit("")).otherwise(plain)
     )
@@ -99,7 +234,7 @@ def _by_number(code: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Replace named and numeric character references as HTML 5 reads them."""
-    named, bare = text_map(NAMED), text_map(BARE)
+    bare = folded_map(BARE)
 
     def number(digits: Column, base: int, most: int) -> Column:
         short = F.regexp_replace(digits, "^0+(?=.)", "")
@@ -109,7 +244,7 @@ def unescape(text: Column) -> Column:
         decimal, hexadecimal = (F.regexp_extract(chunk, p, 1) for p in (_DECIMAL, _HEXADECIMAL))
         name = F.regexp_extract(chunk, r"^&([^\t\n\f <&#;]{1,32});", 1)
         old = F.regexp_extract(chunk, f"^&({_BARE_NAMES})", 1)
-        full = F.try_element_at(named, name)
+        full = _NAMED.get(name)
         return (
             F.when(decimal != "", F.concat(_by_number(number(decimal, 10, 7)), F.regexp_replace(chunk, _DECIMAL, "")))
             .when(
@@ -125,51 +260,36 @@ def unescape(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
 
-def _text(inner: Column, separator: str) -> Column:
-    """Text nodes of an element: trimmed, empty ones dropped, then joined."""
-    marked = F.regexp_replace(inner, "<[^>]*>", _GAP)
-    nodes = F.transform(
-        F.split(marked, _GAP),
-        lambda node: F.regexp_replace(unescape(node), r"(?U)^\s+|\s+$", ""),
-    )
-    return F.array_join(F.filter(nodes, lambda node: node != ""), separator)
-
+def read_card(card: Column) -> Column:
+    """Fields of one card as a struct; null for no card."""
 
-def _link(card: Column) -> Column:
-    opening = F.regexp_substr(
-        card, F.lit(rf"(?is)<a\b[^>]*{_class_attribute('s-card__link')}[^>]*>")
-    )
-    quoted = F.regexp_extract(opening, r"""(?is)\shref\s*=\s*(["'])(.*?)\1""", 2)
-    return F.coalesce(unescape(quoted), F.lit(""))
+    def text_nodes(spans: Column) -> Column:
+        """Text nodes of the fields' elements, trimmed, empty ones dropped; the link's address as one."""
 
+        def nodes(span: Column, k: Column) -> Column:
+            tags = F.slice(card, span["start"] + 1, span["stop"] - span["start"])
+            href = F.array(F.get(card, span["start"])["href"])
+            raw = F.when(k == list(FIELDS).index("link"), href).otherwise(F.transform(tags, lambda tag: tag["text"]))
+            read = F.transform(raw, unescape)
+            trimmed = F.transform(read, lambda node: F.regexp_replace(node, r"(?U)^\s+|\s+$", ""))
+            kept = F.when(k == list(FIELDS).index("link"), read).otherwise(F.filter(trimmed, lambda node: node != ""))
+            return F.when(span["start"] < 0, F.array().cast("array<string>")).otherwise(kept)
 
-def split_cards(html: Column) -> Column:
-    """Cards of a page: each from its opening to where its list item closes."""
-    plain = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|$)", "")
-    pieces = F.filter(
-        F.split(plain, f"(?={CARD_OPEN})"), lambda piece: F.rlike(piece, F.lit("^" + CARD_OPEN))
-    )
+        return F.transform(spans, nodes)
 
-    def closed(piece: Column) -> Column:
-        opening = F.regexp_extract(piece, r"(?s)^<[^>]*>", 0)
-        return F.concat(opening, _until_closed(F.substr(piece, F.length(opening) + 1), F.lit("li")))
+    def fields(nodes: Column) -> Column:
+        title, price, link, caption = (nodes[k] for k in range(len(FIELDS)))
+        return F.struct(
+            F.array_join(title, " ").alias("title"),
+            F.array_join(price, "").alias("price_raw"),
+            F.array_join(link, "").alias("listing_url"),
+            parse_sold_date(F.array_join(caption, "")).alias("sold_date"),
+        )
 
-    return F.transform(pieces, closed)
+    return F.when(card.isNotNull(), _once(text_nodes(_field_spans(card)), fields))
 
 
-def card_fields(cards: DataFrame, card: str = "card") -> DataFrame:
-    """Replace the card text by its listing fields."""
-    piece = F.col(card)
-    return cards.withColumns(
-        {
-            "title": _text(_inner_html(piece, r"\w+", "s-card__title"), " "),
-            "price_raw": _text(_inner_html(piece, "span", "s-card__price"), ""),
-            "listing_url": _link(piece),
-            "sold_date": parse_sold_date(
-                _text(_inner_html(piece, r"\w+", "s-card__caption"), "")
-            ),
-        }
-    ).drop(card)
+LISTING = ["title", "price_raw", "listing_url", "sold_date"]
 
 
 def is_listing() -> Column:
@@ -183,14 +303,22 @@ def is_listing() -> Column:
     return F.coalesce(test, F.lit(False))
 
 
+def listing_rows(pages: DataFrame, cards: Column, position: str) -> DataFrame:
+    """One row per card with its fields; the page's other columns are kept.
+
+    Cards are read inside the array, before it unfolds: later filters then work on plain
+    columns and cannot make a card be read twice.  The outer unfolding keeps Spark from
+    adding a filter on the array's size, which would read the page twice.
+    """
+    kept = [c for c in pages.columns if c != "html"]
+    rows = pages.select(*kept, F.posexplode_outer(F.transform(cards, read_card)).alias(position, "_listing"))
+    return rows.select(*kept, position, *(F.col("_listing")[c].alias(c) for c in LISTING))
+
+
 def page_listings(pages: DataFrame) -> DataFrame:
     """Listing rows of landed pages, with their place on the page.
 
     ``pages`` has the search cell, ``scraped_at`` and ``html``; further columns
     are kept.  Only the cards are exploded; no page text is shuffled.
     """
-    kept = [c for c in pages.columns if c != "html"]
-    cards = pages.select(
-        *kept, F.posexplode(split_cards(F.col("html"))).alias("position_in_page", "card")
-    )
-    return card_fields(cards).filter(is_listing())
+    return listing_rows(pages, split_cards(F.col("html")), "position_in_page").filter(is_listing())

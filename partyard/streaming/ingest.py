@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from partyard.contracts import SOLD_HISTORY, conform
+from partyard.contracts import CRAWL_LOG, STORED_HISTORY
 from partyard.functions.text import blank_to_null, strip_query
+from partyard.operators import price_days
 from partyard.operators.keyed import latest_per_key
-from partyard.sources.pages import card_fields, is_listing, split_cards
+from partyard.sources.folders import BatchTable
+from partyard.sources.pages import is_listing, listing_rows, split_cards
 
 PAGE_COLUMNS = [
     "page_id",
@@ -27,16 +29,15 @@ REPEAT_KEY = ["vehicle_key", "search_part", "_address"]
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
-    """One marker row per page (null card) and one row per card.
+    """One marker row per page (place 0, no fields) and one row per card.
 
     The marker keeps the fact that a page was crawled when it has no card left.
     Pages without a ``crawl_id`` belong to the crawl of their day.
     """
     if "crawl_id" not in pages.columns:
         pages = pages.withColumn("crawl_id", F.to_date("scraped_at").cast("string"))
-    marker = F.array(F.lit(None).cast("string"))
-    rows = F.concat(marker, split_cards(F.col("html")))
-    return pages.select(*PAGE_COLUMNS, F.posexplode(rows).alias("place", "card"))
+    cards = split_cards(F.col("html"))
+    return listing_rows(pages.select(*PAGE_COLUMNS, "html"), F.array_insert(cards, 1, F.lit(None)), "place")
 
 
 def without_repeats(rows: DataFrame, delay: str) -> DataFrame:
@@ -57,50 +58,75 @@ def without_repeats(rows: DataFrame, delay: str) -> DataFrame:
     )
 
 
-def batch_status(rows: DataFrame) -> DataFrame:
-    """Status log of one batch: a row per vehicle, crawl and part, with its listings.
+def status_rows(rows: DataFrame) -> DataFrame:
+    """Listings and newest time of every vehicle, crawl and part among page rows."""
+    counted = rows.groupBy("vehicle_key", "crawl_id", "search_part").agg(
+        F.max("scraped_at").alias("last_crawled_at"), F.count("title").alias("listings")
+    )
+    return counted.withColumn("status_date", F.to_date("last_crawled_at"))
 
-    Parts and listings of a crawl are added up over batches when the log is read.
-    """
+
+def _fold_status(rows: DataFrame) -> DataFrame:
+    """Rows of one vehicle, crawl and part added up; they stay under their newest day."""
     return rows.groupBy("vehicle_key", "crawl_id", "search_part").agg(
-        F.max("scraped_at").alias("last_crawled_at"), F.count("title").alias("listings")
+        F.max("last_crawled_at").alias("last_crawled_at"),
+        F.sum("listings").alias("listings"),
+        F.max("status_date").alias("status_date"),
     )
 
 
+def history_table(spark: SparkSession, path: str) -> BatchTable:
+    return BatchTable(spark, path, STORED_HISTORY, "scrape_date")
+
+
+def status_table(spark: SparkSession, path: str) -> BatchTable:
+    return BatchTable(spark, path, CRAWL_LOG, "status_date", _fold_status)
+
+
 def ingest_pages(
     pages: DataFrame,
     *,
     history_path: str,
     status_path: str,
     checkpoint_path: str,
+    prices_path: str | None = None,
     drop_repeats: bool = False,
     delay: str = "14 days",
+    compact_every: int | None = 50,
 ) -> StreamingQuery:
     """Parse newly landed pages, append listings, log crawl status; then stop.
 
-    Both outputs go to a folder per stream and batch, replaced as a whole when a
-    batch is repeated after a failure, which makes the append exactly-once.  The
-    stream is named after its checkpoint, so a stream with a new checkpoint
-    cannot overwrite older batches.  Deduplication state lives in the state store
-    and is bounded by ``delay``.
+    Each output is a table under a manifest: a batch is stored under its number, and
+    after every ``compact_every`` batches the stored ones are merged into a few folders
+    per day.  A batch that is repeated after a failure replaces itself, or is left out
+    if a merge has taken it in, so the append is exactly-once; see ``folders``.  Which
+    batch stands for what is told by the checkpoint, so the stream is named after it and
+    a stream with a new checkpoint cannot overwrite older batches.  With ``prices_path``
+    daily price counts are kept for the trend.  Deduplication state lives in the state
+    store and is bounded by ``delay``.
     """
     stream = md5(checkpoint_path.encode()).hexdigest()[:12]
-    rows = card_fields(page_rows(pages).withColumn("is_page", F.col("card").isNull()))
-    rows = rows.filter(F.col("is_page") | is_listing()).drop("is_page")
+    rows = page_rows(pages).filter((F.col("place") == 0) | is_listing())
     if drop_repeats:
         rows = without_repeats(rows, delay)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Both writes read the parsed batch; a lost block is parsed again.
+        # All writes read the parsed batch; a lost block is parsed again.
         batch = batch.persist()
         try:
-            listings = conform(batch.filter("title IS NOT NULL"), SOLD_HISTORY)
-            listings.withColumn("scrape_date", F.to_date("scraped_at")).write.mode(
-                "overwrite"
-            ).partitionBy("scrape_date").parquet(f"{history_path}/stream={stream}/batch={batch_id}")
-            batch_status(batch).write.mode("overwrite").parquet(
-                f"{status_path}/stream={stream}/batch={batch_id}"
-            )
+            spark = batch.sparkSession
+            listings = batch.filter("title IS NOT NULL")
+            outputs = [
+                (history_table(spark, history_path), listings.withColumn("scrape_date", F.to_date("scraped_at"))),
+                (status_table(spark, status_path), status_rows(batch)),
+            ]
+            if prices_path:
+                outputs.append((price_days.price_table(spark, prices_path), price_days.daily_prices(listings)))
+            for table, found in outputs:
+                table.write_batch(found, stream, batch_id)
+                if compact_every and batch_id % compact_every == compact_every - 1:
+                    table.compact()
+                    table.vacuum()
         finally:
             batch.unpersist()
 
@@ -114,13 +140,14 @@ def ingest_pages(
 
 def ingested_history(spark: SparkSession, history_path: str) -> DataFrame:
     """The appended listings; the scrape date stays for partition pruning."""
-    return spark.read.parquet(history_path).drop("stream", "batch")
+    return history_table(spark, history_path).current()
 
 
 def current_crawl_status(spark: SparkSession, status_path: str) -> DataFrame:
     """Parts and listings of each vehicle's newest crawl, over all batches that held it."""
     crawls = (
-        spark.read.parquet(status_path)
+        status_table(spark, status_path)
+        .current()
         .groupBy("vehicle_key", "crawl_id")
         .agg(
             F.max("last_crawled_at").alias("last_crawled_at"),

@@ -300,12 +300,15 @@ WHERE v.vehicle_rank <= 10
 """
 
 STEPS["good_cards"] = """
-SELECT page_id, card_id % 60 AS position_in_page,
+SELECT page_id, card_id % 60 + card_id % 60 // 12 AS position_in_page,
        CASE shape WHEN 6 THEN 'New ' || title WHEN 8 THEN replace(title, '&', chr(10003) || ' & ' || chr(8211))
             ELSE title END AS title,
        price_raw, CASE WHEN shape IN (6, 8) THEN '' ELSE listing_url END AS listing_url,
        CASE WHEN shape IN (5, 6, 8) THEN NULL ELSE '2024-01-' || lpad(sold_day, 2, '0') END AS sold_date
 FROM cards WHERE shape NOT IN (1, 2, 3, 7)
+UNION ALL
+SELECT page_id, card_id % 60 + card_id % 60 // 12 + 1, 'Inner ' || title, '$1.50', '', NULL
+FROM cards WHERE shape = 11
 """
 STEPS["page_listing_rows"] = """
 SELECT p.*, c.* EXCLUDE (page_id) FROM good_cards AS c JOIN landed_pages AS p USING (page_id)

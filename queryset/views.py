@@ -140,12 +140,16 @@ SELECT card_id, page_id,
               || '<span class="s-card__price"><span>$</span>' || substr(price_raw, 2) || '</span></li><span class="s-card__price">$9</span>'
          WHEN 7 THEN '<li class="s-card"><div class="s-card__title">' || replace(title, '&', '&check; &amp &#150;') || '</div></li><span class="s-card__price">$9</span>'
          WHEN 8 THEN '<li class="s-card"><div class="s-card__title">' || replace(title, '&', '&check; &amp &#150;') || '</div><span class="s-card__price">' || price_raw || '</span></li>'
-         ELSE '<li data-x="1" class="big s-card"><div class="s-card__title"><span> '
+         ELSE '<li data-x="1' || CASE shape WHEN 9 THEN ' > 0 </li>" title=''<b class="s-card__title">'' ' ELSE '" ' END
+              || 'class="big s-card"><div class="s-card__title"><span> '
               || replace(title, '&', '</span><b>&amp;</b><span>') || ' </span></div><ul><li>nested</li></ul>'
+              || CASE shape WHEN 10 THEN '<script>var x = "</li><span class=s-card__price>$8</span>";</script><style>li > b</style>' ELSE '' END
               || '<span class="a s-card__price">' || CASE shape WHEN 4 THEN '<b>' || price_raw || '</b>' ELSE price_raw END || '</span>'
               || '<div class="s-card__caption"><span>Sold  '
               || CASE shape WHEN 5 THEN 'Foo ' ELSE 'Jan ' END || sold_day || ', 2024</span></div>'
               || CASE listing_url WHEN '' THEN '' ELSE '<a target="_blank" class="s-card__link" href="' || replace(listing_url, '&', '&amp;') || '">x</a>' END
+              || CASE shape WHEN 11 THEN '<ol><li class="s-card--row"><b class="s-card__title">Inner<!-- - -->' || title
+                   || '</b><span class=s-card__price>$1.<i>50</i></span></ol>' ELSE '' END
               || '</li>'
        END AS card
 FROM cards

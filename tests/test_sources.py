@@ -163,6 +163,62 @@ def test_nested_elements_close_where_they_should(spark):
     assert (row.title, row.price_raw) == ("New Left door", "$5.00")
 
 
+TITLE, PRICE = '<div class="s-card__title">A</div>', '<span class="s-card__price">$5</span>'
+
+
+def found(spark, html):
+    return [(r.position_in_page, r.title, r.price_raw, r.listing_url) for r in cards(spark, html)]
+
+
+def test_quoted_values_may_hold_tags(spark):
+    html = f"""<li data-t="a > b" title='</li><li class="s-card">' class="s-card">{TITLE}<b x="</li>"></b>{PRICE}</li>"""
+    assert found(spark, html) == [(0, "A", "$5", "")]
+    link = """<a title="x class=&quot;s-card__link" href="/no"></a><a data-u=' href="/no"' href=/itm/1?a=1&amp;b=2 class='s-card__link'>z</a>"""
+    assert found(spark, f"<li class=s-card>{TITLE}{PRICE}{link}</li>") == [(0, "A", "$5", "/itm/1?a=1&b=2")]
+
+
+def test_scripts_styles_and_comments_hold_no_cards(spark):
+    hidden = f"<li class='s-card'>{TITLE}{PRICE}</li>"
+    html = (
+        f"<SCRIPT type='a>b'>x = \"{hidden}\"</SCRIPT ><style>{hidden}</style><!-- {hidden} -->"
+        f"<li class='s-card'>{TITLE}<script>'</li>{PRICE}'</script><span class='s-card__price'>$<!-- x -->6</span></li>"
+        f"<script>{hidden}"
+    )
+    assert found(spark, html) == [(0, "A", "$6", "")]
+
+
+def test_nested_cards_are_cards_of_their_own(spark):
+    inner = "<li class='s-card s-card--row'><b class='s-card__title'>B<!-- c -->2</b><span class='s-card__price'>$7</span></li>"
+    html = f"<ul><li class='s-card'>{TITLE}<ul>{inner}</ul>{PRICE}</li><li class='s-card'>{TITLE}{PRICE}</li></ul>"
+    # The outer card's first price is the one of the card inside it.
+    assert found(spark, html) == [(0, "A", "$7", ""), (1, "B 2", "$7", ""), (2, "A", "$5", "")]
+
+
+def test_elements_that_are_left_open(spark):
+    html = f"<ul><li class='s-card'>{TITLE}<p><i>x{PRICE}</ul>{PRICE}<li class='s-card'><br><img class='s-card__title'>{TITLE}{PRICE}"
+    assert found(spark, html) == [(0, "A", "$5", "")]
+    assert found(spark, f"</b></li><li class='s-card'></i>{TITLE}</u>{PRICE}") == [(0, "A", "$5", "")]
+    assert found(spark, "<li class='s-card'><div class='s-card__title'>A<span class='s-card__price'>$5") == [(0, "A $5", "$5", "")]
+
+
+def test_marks_and_broken_tags_do_no_harm(spark):
+    html = f"<li class='s-card'>\u0001{TITLE}\u0002<b title=\"x>{PRICE}</b></li>"
+    assert len(found(spark, html)) <= 1
+    assert found(spark, "a < b s-card <li") == []
+    long = f"<li class='s-card' data-x='{'=' * 50_000}' {'y=z ' * 5_000}>{TITLE}{PRICE}</li>"
+    assert found(spark, "<p>" * 3_000 + long) == [(0, "A", "$5", "")]
+
+
+def test_all_named_references(spark):
+    """Every name is found in its bucket, the longest one without a semicolon too."""
+    import html as standard
+
+    samples = ["&" + name + ";" for name in pages.NAMED] + ["&" + name + "x" for name in pages.BARE]
+    df = spark.createDataFrame([(t,) for t in samples], "t string")
+    got = [r.u for r in df.select(pages.unescape(F.col("t")).alias("u")).collect()]
+    assert got == [standard.unescape(t) for t in samples]
+
+
 def test_character_references(spark):
     import html as standard
 
