@@ -291,6 +291,11 @@ STEPS["trend_medians_exact"] = median_of(
 STEPS["trends_exact"] = STEPS["trends"].replace("trend_rows", "trend_rows_exact").replace(
     "trend_medians", "trend_medians_exact"
 )
+STEPS["trends_noon"] = STEPS["trends"].replace("trend_rows", "trend_rows_noon").replace(
+    "trend_medians", "trend_medians_noon"
+)
+STEPS["trend_rows_noon"] = STEPS["trend_rows"].replace(AS_OF, "2024-02-14 12:00:00")
+STEPS["trend_medians_noon"] = STEPS["trend_medians"].replace("trend_rows", "trend_rows_noon")
 STEPS["enriched"] = """
 SELECT v.*, COALESCE(t.direction, 'new') AS trend_direction, t.pct_change AS trend_pct
 FROM valued AS v LEFT JOIN trends AS t
@@ -510,6 +515,13 @@ ORACLES: dict[str, str] = {
         SELECT * EXCLUDE (event_id) REPLACE (CAST(scraped_at AS STRING) AS scraped_at, CAST(sold_date AS STRING) AS sold_date)
         FROM sold_history WHERE scraped_at >= TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL 14 DAY""",
     "stored_trend": "SELECT * FROM trends",
+    "price_trend_days": "SELECT * FROM trends",
+    "price_trend_midday": "SELECT * FROM trends_noon",
+    "vehicle_listings": f"""
+        SELECT * EXCLUDE (event_id)
+               REPLACE (CAST(scraped_at AS STRING) AS scraped_at, CAST(sold_date AS STRING) AS sold_date)
+        FROM sold_history WHERE scraped_at >= TIMESTAMP '{AS_OF}' - INTERVAL 60 DAY
+             AND vehicle_key = '2012|Ford|F-150' AND search_part = 'alternator'""",
     "stored_ranking": "SELECT * FROM ranked",
     "cleanse_listings": "SELECT * FROM cleansed",
     "junk_titles": f"""
@@ -691,6 +703,9 @@ ORACLES: dict[str, str] = {
         FROM pair_summary AS s CROSS JOIN permuted AS p CROSS JOIN bootstrapped AS b CROSS JOIN rank_test AS w""",
 }
 
+# The stored forms of the upserts give what the plain ones give.
+ORACLES |= {"vehicle_merge": ORACLES["vehicle_upsert"], "crawl_merge": ORACLES["crawl_upsert"]}
+
 # A vehicle lookup sees the listings of its own vehicle only.
 NARROWED = {"vehicle_analysis": " AND search_year = 2013 AND search_model = 'Accord'"}
 

@@ -14,12 +14,12 @@ from partyard.functions.keys import lookup_vehicle_key
 from partyard.functions.numeric import round_scaled
 from partyard.functions.standardize import standardize_make
 from partyard.functions.text import is_heavy_duty, is_junk_title
-from partyard.operators import catalog, keyed, market, paired, ranking, trend, value
+from partyard.operators import catalog, keyed, market, paired, price_days, ranking, trend, value
 from partyard.operators import normalize as norm
 from partyard.operators.cleanse import clean_columns, cleanse
 from partyard.plans.analysis import analyze, enrich
 from partyard.session import apply_settings, settle, shared_dir
-from partyard.sources import files, grid, history, pages
+from partyard.sources import files, folders, grid, history, pages
 from partyard.streaming import ingest
 from queryset.views import AS_OF, ORDERS_AS_OF, Inputs
 
@@ -231,6 +231,7 @@ def _several_files(i: Inputs, unique: bool) -> str:
         status_path=f"{base}/status",
         checkpoint_path=f"{base}/checkpoint",
         drop_repeats=unique,
+        compact_every=2,
     )
     run.awaitTermination()
     return base
@@ -257,6 +258,14 @@ def _stored_history(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(path)
 
 
+@query
+def vehicle_listings(i: Inputs) -> DataFrame:
+    """Recent rows of one vehicle and part out of the stored history, newest first."""
+    return history.vehicle_listings(
+        _stored_history(i), "2012|Ford|F-150", "alternator", "2024-02-14 00:00:00", 60
+    ).drop("scrape_date")
+
+
 @query
 def stored_history(i: Inputs) -> DataFrame:
     return history.recent_listings(_stored_history(i), HISTORY_AS_OF).drop("scrape_date")
@@ -267,6 +276,29 @@ def stored_trend(i: Inputs) -> DataFrame:
     return trend.price_trend(_stored_history(i), AS_OF)
 
 
+def _price_days(i: Inputs) -> DataFrame:
+    """Price counts of the history, added in three batches and merged after two."""
+    table = price_days.price_table(i.spark, f"{shared_dir(i.spark)}/prices-{uuid.uuid4().hex}")
+    for batch in range(3):
+        rows = i.sold_history.filter(F.col("event_id") % 3 == batch)
+        table.write_batch(price_days.daily_prices(rows), "history", batch)
+        if batch == 1:
+            table.compact()
+    return table.current()
+
+
+@query
+def price_trend_days(i: Inputs) -> DataFrame:
+    """The trend read from stored price counts alone."""
+    return price_days.trend_from_days(_price_days(i), i.sold_history, AS_OF)
+
+
+@query
+def price_trend_midday(i: Inputs) -> DataFrame:
+    """The trend from stored price counts, its windows starting at noon."""
+    return price_days.trend_from_days(_price_days(i), _stored_history(i), "2024-02-14 12:00:00")
+
+
 @query
 def stored_ranking(i: Inputs) -> DataFrame:
     """The full ranking written as CSV and read back under its contract."""
@@ -441,6 +473,31 @@ def crawl_upsert(i: Inputs) -> DataFrame:
     return keyed.upsert_crawl_status(i.crawl_status, i.crawl_delta)
 
 
+def _vehicle_table(i: Inputs) -> folders.KeyedTable:
+    """The vehicles in buckets by key, the delta merged into its buckets."""
+    path = f"{shared_dir(i.spark)}/vehicles-{uuid.uuid4().hex}"
+    table = folders.KeyedTable(i.spark, path, i.vehicles.schema, "vehicle_key", 16)
+    table.merge(i.vehicles, lambda stored, delta: stored.unionByName(delta))
+    table.merge(i.vehicle_delta, keyed.upsert_vehicles)
+    return table
+
+
+@query
+def vehicle_merge(i: Inputs) -> DataFrame:
+    """The upsert of vehicles into a stored table, read back."""
+    return _vehicle_table(i).rows()
+
+
+@query
+def crawl_merge(i: Inputs) -> DataFrame:
+    """The upsert of crawl status into a stored table, read back."""
+    path = f"{shared_dir(i.spark)}/crawls-{uuid.uuid4().hex}"
+    table = folders.KeyedTable(i.spark, path, i.crawl_status.schema, "vehicle_key", 16)
+    table.merge(i.crawl_status, lambda stored, delta: stored.unionByName(delta))
+    table.merge(i.crawl_delta, keyed.upsert_crawl_status)
+    return table.rows()
+
+
 @query
 def crawl_totals(i: Inputs) -> DataFrame:
     return keyed.crawl_totals(

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from partyard.operators import paired
 
@@ -131,3 +132,17 @@ def test_one_row_of_results(summary):
     assert got.wilcoxon_statistic == KNOWN_STATISTIC
     assert got.reject_null is False
     assert got.ci_low < got.mean_diff < got.ci_high
+
+
+def test_bootstrap_draws_where_the_pairs_lie(spark, tmp_path):
+    """No shuffle below the sums per draw: every split of the input draws its own pairs."""
+    path = str(tmp_path / "pairs")
+    spark.range(1000).select(
+        F.concat(F.lit("k"), F.col("id")).alias("vehicle_key"), ((F.col("id") % 37 - 18) / 1000.0).alias("diff")
+    ).repartition(4).write.parquet(path)
+    out = paired.bootstrap_ci(spark.read.parquet(path), draws=400)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning(draw") :]
+    assert "partial_sum" in below and "Exchange" not in below[10:]
+    row = out.first()
+    assert row.ci_low < row.ci_high and row.draws == 400
