@@ -102,3 +102,63 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len(out) == odd_docs.count()
     assert all(r.taken == 0 for r in out if r.size == 0)
     assert mixing.mix(sized(no_docs)).count() == 0
+
+
+def test_targets_in_spark_are_those_of_the_rule(spark):
+    rng = random.Random(6)
+    for n in (1, 2, 7, 40):
+        sizes = {f"s{k:03d}" if k else None: rng.choice([0, 1, 5, 100, 3000]) for k in range(n)}
+        names = sorted(sizes, key=lambda s: (s is None, s or ""))
+        rows = [(k, [s], sizes[s]) for k, s in enumerate(names)]
+        want = mixing.filled_targets([sizes[s] for s in names], [k % 3 + 1 for k in range(n)])
+        got = {r.sources[0]: (r.source_size, r.target) for r in mixing.mix(docs(spark, rows)).collect()}
+        assert got == {s: (sizes[s], t) for s, t in zip(names, want, strict=True)}
+
+
+def test_two_hundred_thousand_sources(spark):
+    """A source per document: no cap, and nothing per source on the driver."""
+    rows = spark.range(200_000, numPartitions=4).select(
+        F.col("id").alias("doc_id"), F.array(F.concat(F.lit("s"), F.lpad("id", 6, "0"))).alias("sources"), (F.col("id") % 9).alias("size")
+    )
+    out = mixing.mix(rows).agg(F.sum("size"), F.sum("taken"), F.max(F.col("taken") - 3 * F.col("size"))).first()
+    assert out[2] == 0
+    assert abs(out[1] - out[0]) < 400_000
+
+
+def test_flow_over_many_patterns():
+    """A ring of overlapping sources: thousands of patterns in one connected set."""
+    n = 3000
+    capacity = {p: 5 + p % 7 for p in range(n)}
+    members = {p: [p, (p + 1) % n] for p in range(n)}
+    quotas = [6 + p % 5 for p in range(n)]
+    flow = mixing.min_cost_flow(capacity, members, quotas)
+    got = [0] * n
+    for own in flow.values():
+        for s, k in own.items():
+            got[s] += k
+    assert got == quotas
+    assert all(sum(own.values()) <= 3 * capacity[p] for p, own in flow.items())
+
+
+def test_overlapping_sets_are_apart(spark):
+    """Sources without common documents beside two connected sets, a null source in one of them."""
+    sets = [["a"], ["a", "b"], ["b"], ["c"], ["d", None], [None], None, []]
+    rows = [(k, sets[k % len(sets)], 10) for k in range(400)]
+    out = mixing.mix(docs(spark, rows), targets={"a": 700, "b": 500, "c": 1200, "d": 600, None: 300}).collect()
+    by = {}
+    for r in out:
+        key = None if r.sources is None else tuple(r.sources)
+        by[key] = by.get(key, 0) + r.taken
+    assert by[("c",)] == 1200 and by[None] == 0 and by[()] == 0
+    assert by[("a",)] + by[("b",)] + by[("a", "b")] == 1200
+    assert by[("d", None)] + by[(None,)] == 900
+    assert {r.source_size for r in out if r.sources == ["a"]} == {1000}
+
+
+def test_clashing_columns(spark, clashing_docs, odd_docs):
+    def sized(d):
+        return d.withColumns({"sources": F.array("source"), "size": F.length("text")})
+
+    extra = {n: F.lit(1) for n in ("words", "number", "want", "shared", "target", "at", "part", "place", "passes", "rest", "bin")}
+    same = sorted(map(repr, mixing.mix(sized(odd_docs)).collect()))
+    assert sorted(map(repr, mixing.mix(sized(clashing_docs.withColumns(extra))).collect())) == same
