@@ -156,6 +156,7 @@ CRAWL_LOG = T.StructType(
         T.StructField("status_date", DATE),
     ]
 )
+SEEN_LISTINGS = T.StructType([T.StructField("digest", STRING), T.StructField("bucket", INT)])
 PRICE_DAYS = T.StructType(
     [
         T.StructField("vehicle_key", STRING),

@@ -17,12 +17,6 @@ from pyspark.sql import functions as F
 from partyard import rules
 from partyard.functions.literals import text_array, text_map, without_redundant
 
-PRICE_NUMBER = r"\$?(\d+(?:\.\d{1,2})?)"
-YEAR = r"(?U)\b(19\d{2}|20\d{2})\b"
-YEAR_SPAN = r"(?U)\b((?:19|20)\d{2})\s*[-/]\s*((?:19|20)\d{2})\b"
-SOLD_DATE_WORDS = r"(?U)\b(?:Sold\s+)?([A-Z][a-z]{2}\s+\d{1,2},\s+\d{4})\b"
-SHIPPING = r"(?iU)(?:Free shipping|Local pickup|\$\d+(?:\.\d{1,2})?\s+shipping)"
-
 
 def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
@@ -50,7 +44,7 @@ def combined_text(title: Column, subtitle: Column, raw_text: Column) -> Column:
 def clean_price(text: Column) -> Column:
     """The single price in a text; null when the text shows a price range."""
     plain = F.lower(F.replace(text, F.lit(","), F.lit("")))
-    numbers = F.regexp_extract_all(plain, F.lit(PRICE_NUMBER), F.lit(1))
+    numbers = F.regexp_extract_all(plain, F.lit(rules.PRICE_NUMBER), F.lit(1))
     is_range = (F.size(numbers) >= 2) & (
         F.contains(F.trim(plain), F.lit(" to "))
         | F.contains(plain, F.lit("-"))
@@ -62,7 +56,7 @@ def clean_price(text: Column) -> Column:
 def first_price(text: Column) -> Column:
     """The first number in a text, so the low end of a range."""
     number = F.regexp_substr(
-        F.replace(text, F.lit("$"), F.lit("")), F.lit(r"[\d,]+\.?\d*")
+        F.replace(text, F.lit("$"), F.lit("")), F.lit(rules.FIRST_NUMBER)
     )
     return F.replace(number, F.lit(","), F.lit("")).try_cast("double")
 
@@ -83,13 +77,13 @@ def part_number(
 
 
 def years_found(text: Column) -> Column:
-    years = F.regexp_extract_all(text, F.lit(YEAR), F.lit(1))
+    years = F.regexp_extract_all(text, F.lit(rules.YEAR_WORD), F.lit(1))
     return blank_to_null(F.array_join(F.array_sort(F.array_distinct(years)), ", "))
 
 
 def year_range(text: Column) -> Column:
-    first = F.regexp_extract(text, YEAR_SPAN, 1)
-    last = F.regexp_extract(text, YEAR_SPAN, 2)
+    first = F.regexp_extract(text, rules.YEAR_SPAN, 1)
+    last = F.regexp_extract(text, rules.YEAR_SPAN, 2)
     return F.when(first != "", F.concat_ws("-", first, last))
 
 
@@ -165,16 +159,16 @@ def part_guess(found: Column) -> Column:
 
 def sold_date_words(text: Column) -> Column:
     """The sold date as it is written, without reading it as a date."""
-    return blank_to_null(F.regexp_extract(text, SOLD_DATE_WORDS, 1))
+    return blank_to_null(F.regexp_extract(text, rules.SOLD_DATE_WORDS, 1))
 
 
 def parse_sold_date(text: Column) -> Column:
-    words = squeeze(F.regexp_substr(text, F.lit(r"(?U)\w{3}\s+\d{1,2},\s+\d{4}")))
+    words = squeeze(F.regexp_substr(text, F.lit(rules.SOLD_DATE)))
     return F.to_date(F.try_to_timestamp(words, F.lit("MMM d, yyyy")))
 
 
 def shipping_text(text: Column) -> Column:
-    return clean_text(F.regexp_substr(text, F.lit(SHIPPING)))
+    return clean_text(F.regexp_substr(text, F.lit(rules.SHIPPING)))
 
 
 def strip_query(url: Column) -> Column:

@@ -21,7 +21,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,17 @@ def _remove(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bloom_filters(writer: DataFrameWriter, columns: Iterable[str]) -> DataFrameWriter:
+    """Bloom filters over columns in every row group, sized by what the group holds.
+
+    A lookup skips the row groups whose filter or dictionary lacks its value, also where
+    the value lies between a group's smallest and largest one.
+    """
+    for name in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 @dataclass(frozen=True)
 class Manifest:
     """Live folders as (part, version), and named numbers the table remembers."""
@@ -60,6 +71,9 @@ class Manifest:
 class FolderTable:
     """A table cut into parts by the values of one column."""
 
+    #: Columns whose files get Bloom filters.
+    bloom: tuple[str, ...] = ()
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, column: str) -> None:
         self.spark, self.path, self.schema, self.column = spark, path.rstrip("/"), schema, column
 
@@ -98,7 +112,8 @@ class FolderTable:
     def _write(self, rows: DataFrame, path: str) -> None:
         """One file or a few per part, however many tasks made its rows."""
         dealt = conform(rows, self.schema).hint("rebalance", self.column)
-        dealt.write.mode("overwrite").partitionBy(self.column).parquet(path)
+        writer = bloom_filters(dealt.write, self.bloom)
+        writer.mode("overwrite").partitionBy(self.column).parquet(path)
 
     # -- reading --
 
@@ -166,20 +181,29 @@ class BatchTable(FolderTable):
                 found.append((stream, int(batch)))
         return found
 
-    def _batch_rows(self, batches: list[tuple[str, int]]) -> tuple[DataFrame, set[str]]:
+    def _batch_rows(
+        self, batches: list[tuple[str, int]], parts: set[str] | None = None
+    ) -> tuple[DataFrame, set[str]]:
         """Rows of the batches and the parts they have."""
         folders = [
             folder
             for stream, batch in batches
             for folder in _matching(self.spark, f"{self.path}/batches/stream={stream}/batch={batch}/{self.column}=*")
+            if parts is None or folder.rsplit("/", 1)[1] in parts
         ]
         return self._rows(folders, f"{self.path}/batches"), {f.rsplit("/", 1)[1] for f in folders}
 
-    def current(self) -> DataFrame:
-        """All rows: merged ones and those of later batches."""
+    def current(self, until: tuple[str, int] | None = None, parts: set[str] | None = None) -> DataFrame:
+        """All rows: merged ones and those of later batches.
+
+        ``until`` leaves out a stream's batches from a number on, ``parts`` all other parts.
+        """
         manifest = self.manifest()
-        fresh, _ = self._batch_rows(self._fresh(manifest))
-        rows = self.read(manifest=manifest).unionByName(fresh)
+        batches = self._fresh(manifest)
+        if until:
+            batches = [b for b in batches if b[0] != until[0] or b[1] < until[1]]
+        fresh, _ = self._batch_rows(batches, parts)
+        rows = self.read(parts, manifest).unionByName(fresh)
         return self.fold(rows) if self.fold else rows
 
     def compact(self, most: int = MOST_FOLDERS) -> bool:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partyard import rules
 from partyard.contracts import MARKET_SUMMARY, RAW_LISTINGS, SOLD_HISTORY, conform
 from partyard.functions import keys
+from partyard.sources.folders import bloom_filters
 
 PAIR = ["vehicle_key", "search_part"]
 
@@ -112,24 +113,13 @@ def active_snapshot(
 KEY_BUCKETS = 64
 
 
-def key_filters(writer: DataFrameWriter) -> DataFrameWriter:
-    """Bloom filters over the lookup key in every row group, sized by what the group holds.
-
-    A lookup by key skips the row groups whose filter or dictionary lacks the key, also
-    where the key lies between a group's smallest and largest one.
-    """
-    for name in PAIR:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-    return writer.option("parquet.bloom.filter.adaptive.enabled", "true")
-
-
 def append_history(rows: DataFrame, path: str) -> None:
     """Append parsed rows to the history, one folder per scrape date.
 
     Rows are clustered by date and key bucket before the write, which keeps the number
     of files down and a vehicle's rows of a day in one or few of them; they are sorted
-    by lookup key inside each file.  Rebalancing merges small buckets and splits large
-    ones.
+    by lookup key inside each file and have Bloom filters over it.  Rebalancing merges
+    small buckets and splits large ones.
     """
     dated = conform(rows, SOLD_HISTORY).withColumns(
         {"scrape_date": F.to_date("scraped_at"), "_bucket": F.pmod(F.xxhash64("vehicle_key"), F.lit(KEY_BUCKETS))}
@@ -139,7 +129,7 @@ def append_history(rows: DataFrame, path: str) -> None:
         .sortWithinPartitions("scrape_date", *PAIR, F.desc("scraped_at"))
         .drop("_bucket")
     )
-    key_filters(sorted_.write.mode("append").partitionBy("scrape_date")).parquet(path)
+    bloom_filters(sorted_.write, PAIR).mode("append").partitionBy("scrape_date").parquet(path)
 
 
 def vehicle_listings(

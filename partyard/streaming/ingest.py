@@ -12,6 +12,7 @@ from partyard.contracts import CRAWL_LOG, STORED_HISTORY
 from partyard.functions.text import blank_to_null, strip_query
 from partyard.operators import price_days
 from partyard.operators.keyed import latest_per_key
+from partyard.operators.seen import SeenListings
 from partyard.sources.folders import BatchTable
 from partyard.sources.pages import is_listing, listing_rows, split_cards
 
@@ -90,6 +91,7 @@ def ingest_pages(
     status_path: str,
     checkpoint_path: str,
     prices_path: str | None = None,
+    seen_path: str | None = None,
     drop_repeats: bool = False,
     delay: str = "14 days",
     compact_every: int | None = 50,
@@ -102,8 +104,12 @@ def ingest_pages(
     if a merge has taken it in, so the append is exactly-once; see ``folders``.  Which
     batch stands for what is told by the checkpoint, so the stream is named after it and
     a stream with a new checkpoint cannot overwrite older batches.  With ``prices_path``
-    daily price counts are kept for the trend.  Deduplication state lives in the state
-    store and is bounded by ``delay``.
+    daily price counts are kept for the trend.
+
+    Repeats: ``drop_repeats`` remembers addresses in the state store for ``delay``; with
+    ``seen_path`` they are kept beside the history for good, so a second run over the
+    same pages, by whatever stream, appends nothing.  Pages count for the crawl status
+    with all their listings then.
     """
     stream = md5(checkpoint_path.encode()).hexdigest()[:12]
     rows = page_rows(pages).filter((F.col("place") == 0) | is_listing())
@@ -116,6 +122,9 @@ def ingest_pages(
         try:
             spark = batch.sparkSession
             listings = batch.filter("title IS NOT NULL")
+            seen = SeenListings(spark, seen_path) if seen_path else None
+            if seen:
+                listings = seen.unseen(listings, stream, batch_id).persist()
             outputs = [
                 (history_table(spark, history_path), listings.withColumn("scrape_date", F.to_date("scraped_at"))),
                 (status_table(spark, status_path), status_rows(batch)),
@@ -124,9 +133,15 @@ def ingest_pages(
                 outputs.append((price_days.price_table(spark, prices_path), price_days.daily_prices(listings)))
             for table, found in outputs:
                 table.write_batch(found, stream, batch_id)
-                if compact_every and batch_id % compact_every == compact_every - 1:
+            # Addresses are stored and merged after the listings they stand for.
+            if seen:
+                seen.add(listings, stream, batch_id)
+            if compact_every and batch_id % compact_every == compact_every - 1:
+                for table in [t for t, _ in outputs] + ([seen] if seen else []):
                     table.compact()
                     table.vacuum()
+            if seen:
+                listings.unpersist()
         finally:
             batch.unpersist()
 

@@ -517,6 +517,14 @@ ORACLES: dict[str, str] = {
     "stored_trend": "SELECT * FROM trends",
     "price_trend_days": "SELECT * FROM trends",
     "price_trend_midday": "SELECT * FROM trends_noon",
+    "repeated_run": """
+        SELECT * EXCLUDE (event_id, rn)
+               REPLACE (CAST(scraped_at AS STRING) AS scraped_at, CAST(sold_date AS STRING) AS sold_date)
+        FROM (
+            SELECT * REPLACE ('/itm/' || CAST(event_id % 5000 AS STRING) || '?v=' || CAST(event_id AS STRING) AS listing_url),
+                   row_number() OVER (PARTITION BY vehicle_key, search_part, event_id % 5000 ORDER BY scraped_at, event_id) AS rn
+            FROM sold_history
+        ) AS repeated WHERE rn = 1""",
     "vehicle_listings": f"""
         SELECT * EXCLUDE (event_id)
                REPLACE (CAST(scraped_at AS STRING) AS scraped_at, CAST(sold_date AS STRING) AS sold_date)

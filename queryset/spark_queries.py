@@ -17,6 +17,7 @@ from partyard.functions.text import is_heavy_duty, is_junk_title
 from partyard.operators import catalog, keyed, market, paired, price_days, ranking, trend, value
 from partyard.operators import normalize as norm
 from partyard.operators.cleanse import clean_columns, cleanse
+from partyard.operators.seen import SeenListings
 from partyard.plans.analysis import analyze, enrich
 from partyard.session import apply_settings, settle, shared_dir
 from partyard.sources import files, folders, grid, history, pages
@@ -251,6 +252,20 @@ def page_stream_crawls(i: Inputs) -> DataFrame:
     return ingest.current_crawl_status(i.spark, f"{_several_files(i, unique=False)}/status")
 
 
+@query
+def repeated_run(i: Inputs) -> DataFrame:
+    """The listings of all history rows run twice: addresses stored before are dropped."""
+    base = f"{shared_dir(i.spark)}/repeats-{uuid.uuid4().hex}"
+    rows = i.sold_history.withColumn("listing_url", F.concat(F.lit("/itm/"), F.col("event_id") % 5000, F.lit("?v="), F.col("event_id")))
+    stored = ingest.history_table(i.spark, f"{base}/history")
+    seen = SeenListings(i.spark, f"{base}/seen")
+    for batch in range(2):
+        new = settle(seen.unseen(rows, "run", batch, F.asc("scraped_at"), F.asc("event_id")))
+        stored.write_batch(new.withColumn("scrape_date", F.to_date("scraped_at")), "run", batch)
+        seen.add(new, "run", batch)
+    return stored.current().drop("scrape_date")
+
+
 def _stored_history(i: Inputs) -> DataFrame:
     """The history written by scrape date and read back."""
     path = f"{shared_dir(i.spark)}/history-{uuid.uuid4().hex}"

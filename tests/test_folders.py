@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from partyard.contracts import SOLD_HISTORY
 from partyard.operators import keyed, price_days, trend
+from partyard.operators.seen import SeenListings
 from partyard.sources import folders, history
 from partyard.streaming import ingest
 
@@ -262,3 +263,44 @@ def test_a_stream_merges_its_outputs(spark, tmp_path):
     days = price_days.price_table(spark, paths["prices_path"]).current()
     assert {(str(r.day), r.price, r.n) for r in days.collect()} == {("2024-02-01", 5.0, 3), ("2024-02-02", 5.0, 2)}
     assert set(SOLD_HISTORY.names) < set(ingest.ingested_history(spark, paths["history_path"]).columns)
+
+
+def urls(spark, *pairs):
+    return sold(spark, [("F-150", "door", "$5", datetime(2024, 2, 1))] * len(pairs)).limit(0).unionByName(
+        spark.createDataFrame(
+            [("2018|Ford|F-150", 2018, "Ford", "F-150", "door", t, "$5", u, None, datetime(2024, 2, 1)) for t, u in pairs],
+            "vehicle_key string, search_year int, search_make string, search_model string, search_part string, title string,"
+            "price_raw string, listing_url string, sold_date date, scraped_at timestamp",
+        )
+    )
+
+
+def test_addresses_are_remembered_for_good(spark, tmp_path):
+    seen = SeenListings(spark, str(tmp_path / "seen"))
+    first = urls(spark, ("a", "/1?x=1"), ("b", "/2"), ("c", ""), ("d", None))
+    new = seen.unseen(first, "s", 0)
+    assert sorted(r.title for r in new.collect()) == ["a", "b", "c", "d"]
+    seen.add(new, "s", 0)
+    # The batch is repeated after a failure: it does not meet itself.
+    assert seen.unseen(first, "s", 0).count() == 4
+    later = urls(spark, ("a again", "/1?x=2"), ("e", "/3"), ("e copy", "/3?y=1"), ("f", ""))
+    found = sorted(r.title for r in seen.unseen(later, "s", 1).collect())
+    assert len(found) == 2 and found[0] in ("e", "e copy") and found[1] == "f"
+    seen.compact()
+    seen.vacuum(1)
+    assert seen.unseen(later, "other", 0).count() == 2
+    assert seen.unseen(urls(spark), "s", 2).count() == 0
+
+
+def test_a_second_run_appends_nothing(spark, tmp_path):
+    from tests.test_streaming import card, land
+
+    landed = str(tmp_path / "landed")
+    stored = {f"{k}_path": str(tmp_path / k) for k in ("history", "status", "seen")}
+    for page in range(3):
+        schema = land(spark, landed, (f"p{page}", "door", 1 + page, card(f"t{page}", f"/{page}?s={page}") + card("same", "/x")))
+    for run in range(2):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        ingest.ingest_pages(stream, checkpoint_path=str(tmp_path / f"checkpoint-{run}"), compact_every=2, **stored).awaitTermination()
+        rows = ingest.ingested_history(spark, stored["history_path"]).collect()
+        assert sorted(r.title for r in rows) == ["same", "t0", "t1", "t2"]
