@@ -243,6 +243,58 @@ def test_csv_files_of_other_column_order(spark, tmp_path):
     assert sorted(map(tuple, rows), key=str) == [(2018, "Ford"), (2019, "Ram"), (None, "Kia, Inc")]
 
 
+def test_many_small_csv_files(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    names = ["year", "make", "price"]
+    for k in range(10_000):
+        order = names[k % 3 :] + names[: k % 3]
+        cells = {"year": str(2000 + k % 20), "make": f"m{k}", "price": "7.5"}
+        (tmp_path / f"{k}.csv").write_text(",".join(order) + "\n" + ",".join(cells[n] for n in order) + "\n")
+    schema = T.StructType().add("price", "double").add("make", "string").add("year", "integer")
+    rows = files.read_run_csv(spark, str(tmp_path), schema)
+    got = rows.agg(F.count("*"), F.countDistinct("make"), F.sum("price"), F.sum("year")).first()
+    assert tuple(got) == (10_000, 10_000, 75_000.0, 500 * sum(range(2000, 2020)))
+
+
+def test_split_csv_file_keeps_its_header(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.csv").write_text("make,year\n" + "".join(f"m{k},{k}\n" for k in range(5000)))
+    (tmp_path / "b.csv").write_text("year,make\n" + "".join(f"{k},n{k}\n" for k in range(50)))
+    schema = T.StructType().add("year", "integer").add("make", "string")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = files.read_run_csv(spark, str(tmp_path), schema)
+        assert rows.filter("substr(make, 2) = year").count() == 5050 == rows.count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_odd_csv_files(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType().add("year", "integer").add("make", "string")
+    assert files.read_run_csv(spark, str(tmp_path), schema, faults="bad").columns == ["year", "make", "bad"]
+    (tmp_path / "a.csv").write_text("\n \n\ufeffyear,make\n\n2018,Ford\nyear,make\nx,\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("make,year,make\nRam\n")
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text("year,make\n")
+    rows = files.read_run_csv(spark, str(tmp_path), schema, faults="bad").collect()
+    expected = [(2018, "Ford", 0), (None, "make", 1), (None, None, 1), (None, "Ram", 0)]
+    assert sorted(map(tuple, rows), key=str) == sorted(expected, key=str)
+
+
+def test_csv_with_line_breaks_in_values(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.csv").write_text('make,year\n"Ford\nF-150 ""x""",2018\n')
+    (tmp_path / "b.csv").write_text("year\n2019\n")
+    schema = T.StructType().add("year", "integer").add("make", "string")
+    rows = files.read_run_csv(spark, str(tmp_path), schema, multi_line=True).collect()
+    assert sorted(map(tuple, rows), key=str) == [(2018, 'Ford\nF-150 "x"'), (2019, None)]
+
+
 def test_trend_and_recency_prune_dates(spark, tmp_path):
     from partyard.operators.trend import price_trend
 
