@@ -1,21 +1,27 @@
 """Near duplicates by ProbMinHash signatures, banding and exact verification.
 
-A text is the set of its distinct word shingles (five lower-case blank-separated
-words; a shorter text is one shingle); how often one is repeated does not count.
+A text is the weighted set of its word shingles (five lower-case blank-separated
+words; a shorter text is one shingle); a shingle said c times weighs 1 + ln(c).
 ProbMinHash gives it a signature: every shingle is a Poisson process whose rate is its
 weight, each arrival falls on a random register, and a register keeps the shingle that
 arrived first.  A shingle is dropped as soon as its next arrival is later than all
-registers' first ones.  Two registers agree with the probability Jaccard similarity;
-with all weights 1, as here, that is the Jaccard similarity links are defined by.
-
-Equal texts are one node.  Nodes that agree in a band share a bucket; each is compared
-with the bucket's first node, so this work grows with the members and not with their
-pairs.  What it leaves is done exactly: in buckets that still hold more than one
-component, members of different components are compared where they lie, in chunks of
-bounded size, and only links come out.  Candidates whose signatures tell that they are
-too far apart are dropped, all others are verified: texts whose sets of distinct
-shingles have a Jaccard similarity of at least 0.8 are linked.  Classes are the
-connected components.
+registers' first ones.  Two registers agree with the probability Jaccard similarity.
+A second signature gives all shingles the weight 1; its registers agree with the
+Jaccard similarity of the distinct shingles.  Both are the same for a text that repeats
+no shingle, which then has one.
+
+Two texts are linked where either similarity is at least 0.8: copies whose passages are
+repeated differently agree as sets, copies that share most of what they say, weighed
+by how often they say it, agree as weighted sets.
+
+Equal texts are one node.  Nodes that agree in a band of either signature share a
+bucket; each is compared with the bucket's first node, so this work grows with the
+members and not with their pairs.  What it leaves is done exactly: in buckets that
+still hold more than one component, members of different components are compared where
+they lie, in chunks of bounded size, and only links come out.  Candidates whose
+signatures tell that they are too far apart in both ways are dropped, all others are
+verified by both similarities, computed from the shingles and their counts.  Classes
+are the connected components.
 
 A pair of similarity 0.8 shares no band with probability 7e-6 and falls short of the
 signatures' floor with probability 6e-9.  Null texts and texts
@@ -46,6 +52,9 @@ CONFIDENCE = 5.5
 #: Nodes of a bucket that are compared as one block.
 CHUNK = 256
 
+#: What separates words: a text of nothing else has none (fixed values).
+BLANK = r"\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -105,6 +114,10 @@ def signature(hashes: np.ndarray, weights: np.ndarray, registers: int = REGISTER
     return winner
 
 
+def weights(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.log(counts)
+
+
 def bands(winner: np.ndarray) -> np.ndarray:
     """One 64-bit bucket per band; bands never share a bucket."""
     rows = winner.reshape(BANDS, ROWS)
@@ -121,14 +134,12 @@ def _signed(raw: DataFrame) -> DataFrame:
         def work(rows):
             out = {"doc_id": rows["doc_id"], "key": rows["key"], "n": [], "bands": [], "sketch": []}
             for text in rows["text"]:
-                found = np.unique(words.shingles(text or ""))
-                if len(found):
-                    winner = signature(found, np.ones(len(found)))
-                    out["bands"].append(bands(winner).tolist())
-                    out["sketch"].append(winner.astype(np.uint8).tobytes())
-                else:
-                    out["bands"].append([])
-                    out["sketch"].append(b"")
+                found, counts = np.unique(words.shingles(text or ""), return_counts=True)
+                winners = [signature(found, np.ones(len(found)))] if len(found) else []
+                if len(found) and counts.max() > 1:
+                    winners.append(signature(found, weights(counts)))
+                out["bands"].append([b for w in winners for b in bands(w).tolist()])
+                out["sketch"].append(b"".join(w.astype(np.uint8).tobytes() for w in winners))
                 out["n"].append(len(found))
             return out
 
@@ -138,18 +149,24 @@ def _signed(raw: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """Sorted distinct shingles of each text, 32 bits each."""
+    """Sorted distinct shingles of each text, 32 bits each, and which come how often."""
 
     def make():
         words = WordHashes()
 
         def work(rows):
-            found = [np.unique((words.shingles(t or "") >> np.uint64(32)).astype(np.uint32)) for t in rows["text"]]
-            return {"node": rows["node"], "shingles": [f.tobytes() for f in found]}
+            out = {"node": rows["node"], "shingles": [], "repeats": []}
+            for t in rows["text"]:
+                short = (words.shingles(t or "") >> np.uint64(32)).astype(np.uint32)
+                found, counts = np.unique(short, return_counts=True)
+                often = np.flatnonzero(counts > 1)
+                out["shingles"].append(found.tobytes())
+                out["repeats"].append(np.concatenate([often, counts[often]]).astype(np.uint32).tobytes())
+            return out
 
         return work
 
-    return map_columns(texts, "node long, shingles binary", make)
+    return map_columns(texts, "node long, shingles binary, repeats binary", make)
 
 
 def _floor() -> int:
@@ -158,38 +175,77 @@ def _floor() -> int:
     return int(REGISTERS * (SIMILARITY - CONFIDENCE * spread - 0.02))
 
 
-def similar(x: np.ndarray, y: np.ndarray) -> bool:
-    """Jaccard similarity of at least 4/5, of two sorted sets."""
-    both = len(x) + len(y) - len(np.union1d(x, y))
-    return 5 * both >= 4 * (len(x) + len(y) - both)
+def probability_jaccard(x: np.ndarray, y: np.ndarray, x_weight: np.ndarray, y_weight: np.ndarray) -> float:
+    """Probability Jaccard similarity of two sorted weighted sets.
+
+    It is the sum, over common elements d, of 1 / sum over e of max(x_e / x_d, y_e / y_d).
+    The first quotient is the larger one where x_e / y_e is above x_d / y_d, so one sort
+    by that ratio and running sums give all inner sums.
+    """
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    order = np.argsort(x_weight[i] / y_weight[j], kind="stable")
+    a, b = x_weight[i][order], y_weight[j][order]
+    above = x_weight.sum() - np.cumsum(a)
+    below = y_weight.sum() - b.sum() + np.cumsum(b)
+    return float((1 / (above / a + below / b)).sum())
+
+
+class Shingles:
+    """The weighted set of one text."""
+
+    __slots__ = ("found", "repeats")
+
+    def __init__(self, found: bytes, repeats: bytes) -> None:
+        self.found, self.repeats = np.frombuffer(found, np.uint32), repeats
+
+    def weight(self) -> np.ndarray:
+        out = np.ones(len(self.found))
+        places, counts = np.frombuffer(self.repeats, np.uint32).reshape(2, -1)
+        out[places] = weights(counts)
+        return out
+
+    def similar(self, other: Shingles) -> bool:
+        """Either similarity is at least 4/5."""
+        x, y = self.found, other.found
+        both = len(x) + len(y) - len(np.union1d(x, y))
+        if 5 * both >= 4 * (len(x) + len(y) - both):
+            return True
+        if not (self.repeats or other.repeats):
+            return False
+        return probability_jaccard(x, y, self.weight(), other.weight()) >= SIMILARITY - 1e-12
+
+
+def _sketches(sketch: list[bytes]) -> np.ndarray:
+    """Sketches of distinct and of weighted shingles, by text."""
+    both = (x if len(x) > REGISTERS else x + x for x in sketch)
+    return np.frombuffer(b"".join(both), np.uint8).reshape(-1, 2, REGISTERS)
 
 
 def _likely(pairs: DataFrame) -> DataFrame:
-    """Pairs whose sizes and sketches allow the wanted similarity."""
+    """Pairs whose sizes and sketches allow either similarity."""
     floor = _floor()
 
     def make():
         def work(rows):
-            left = np.frombuffer(b"".join(rows["sketch_a"]), np.uint8).reshape(-1, REGISTERS)
-            right = np.frombuffer(b"".join(rows["sketch_b"]), np.uint8).reshape(-1, REGISTERS)
-            keep = np.flatnonzero((left == right).sum(axis=1) >= floor).tolist()
+            equal = (_sketches(rows["sketch_a"]) == _sketches(rows["sketch_b"])).sum(axis=2) >= floor
+            keep = np.flatnonzero((equal[:, 0] & np.array(rows["sized"])) | (equal[:, 1] & np.array(rows["weighed"])))
             return {"a": [rows["a"][k] for k in keep], "b": [rows["b"][k] for k in keep]}
 
         return work
 
-    sized = pairs.filter(
-        F.least("n_a", "n_b").cast("double") >= F.lit(SIMILARITY - 1e-9) * F.greatest("n_a", "n_b")
-    )
-    return map_columns(sized.select("a", "b", "sketch_a", "sketch_b"), "a long, b long", make)
+    sized = F.least("n_a", "n_b").cast("double") >= F.lit(SIMILARITY - 1e-9) * F.greatest("n_a", "n_b")
+    weighed = F.greatest(F.octet_length("sketch_a"), F.octet_length("sketch_b")) > REGISTERS
+    asked = pairs.select("a", "b", "sketch_a", "sketch_b", sized.alias("sized"), weighed.alias("weighed"))
+    return map_columns(asked.filter("sized OR weighed"), "a long, b long", make)
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
     def make():
         def work(rows):
-            sides = zip(rows["a"], rows["b"], rows["set_a"], rows["set_b"], strict=True)
-            kept = [
-                (a, b) for a, b, x, y in sides if similar(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))
-            ]
+            left = map(Shingles, rows["set_a"], rows["repeats_a"])
+            right = map(Shingles, rows["set_b"], rows["repeats_b"])
+            sides = zip(rows["a"], rows["b"], left, right, strict=True)
+            kept = [(a, b) for a, b, x, y in sides if x.similar(y)]
             return {"a": [a for a, _ in kept], "b": [b for _, b in kept]}
 
         return work
@@ -200,32 +256,38 @@ def _verified(pairs: DataFrame) -> DataFrame:
 def _crossing_links(run: dict) -> dict | None:
     """Links between components within one pair of chunks of a bucket.
 
-    A pair that meets in several buckets counts in its first common band.
+    A pair that meets in several bands counts in the first of them.
     """
     n = len(run["node"])
     component = np.array(run["component"])
     if (component == component[0]).all():
         return None
     node, own = np.array(run["node"]), np.array(run["own"])
-    bands_, bucket = np.array(run["bands"], np.int64), run["bucket"][0]
-    band = int(np.argmax(bands_[0] == bucket))
-    sketch = np.frombuffer(b"".join(run["sketch"]), np.uint8).reshape(n, REGISTERS)
-    sets = [np.frombuffer(x, np.uint32) for x in run["shingles"]]
-    size = np.array([len(x) for x in sets])
+    bucket = np.array([x if len(x) > BANDS else x + x for x in run["bands"]], np.int64).reshape(n, 2, BANDS)
+    band = int(np.argmax((bucket[0] == run["bucket"][0]).any(axis=0)))
+    earlier = bucket[:, :, :band]
+    sketch = _sketches(run["sketch"])
+    repeating = np.array([len(x) > REGISTERS for x in run["sketch"]])
+    sets = [Shingles(x, y) for x, y in zip(run["shingles"], run["repeats"], strict=True)]
+    size = np.array([len(x.found) for x in sets])
     within, floor = run["low"][0] == run["high"][0], _floor()
     out = {"a": [], "b": []}
     for i in range(n - 1):
         later = slice(i + 1, n)
         near = (component[later] != component[i]) & (within | (own[later] != own[i]))
-        near &= 5 * np.minimum(size[later], size[i]) >= 4 * np.maximum(size[later], size[i])
-        if not near.any():
-            continue
         at = np.flatnonzero(near) + i + 1
-        at = at[(sketch[at] == sketch[i]).sum(axis=1) >= floor]
-        at = at[~(bands_[at, :band] == bands_[i, :band]).any(axis=1)]
-        for j in at[[similar(sets[i], sets[j]) for j in at]] if len(at) else ():
-            out["a"].append(int(node[i]))
-            out["b"].append(int(node[j]))
+        sized = at[5 * np.minimum(size[at], size[i]) >= 4 * np.maximum(size[at], size[i])]
+        sized = sized[(sketch[sized, 0] == sketch[i, 0]).sum(axis=1) >= floor]
+        weighed = at if repeating[i] else at[repeating[at]]
+        weighed = weighed[(sketch[weighed, 1] == sketch[i, 1]).sum(axis=1) >= floor]
+        at = np.union1d(sized, weighed)
+        if not len(at):
+            continue
+        met = (earlier[at, :, None, :] == earlier[i][None, None]).any(axis=(1, 2, 3))
+        for j in at[~met]:
+            if sets[i].similar(sets[j]):
+                out["a"].append(int(node[i]))
+                out["b"].append(int(node[j]))
     return out
 
 
@@ -248,7 +310,7 @@ class Dedup:
 
     def _entries(self) -> DataFrame:
         """Members of every bucket that has more than one."""
-        rows = self.nodes.select("node", F.explode("bands").alias("bucket"))
+        rows = self.nodes.select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
         shared = (
             rows.groupBy("bucket")
             .agg(F.min("node").alias("first"), F.max("node").alias("last"))
@@ -271,9 +333,13 @@ class Dedup:
         a = known.select(*(F.col(c).alias(x) for c, x in (("node", "a"), ("n", "n_a"), ("sketch", "sketch_a"))))
         b = known.select(*(F.col(c).alias(x) for c, x in (("node", "b"), ("n", "n_b"), ("sketch", "sketch_b"))))
         likely = stored(_likely(pairs.join(a, "a").join(b, "b")))
-        left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-        right = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-        return stored(_verified(likely.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")))
+        left, right = (
+            self.sets.select(
+                F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"), F.col("repeats").alias(f"repeats_{x}")
+            )
+            for x in "ab"
+        )
+        return stored(_verified(likely.join(left, "a").join(right, "b")))
 
     def _split_buckets(self, links: DataFrame) -> DataFrame:
         """Entries, with their component, of the buckets that hold more than one."""
@@ -347,15 +413,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of every class, all columns; texts without words stay as they are."""
-    kept = Dedup(docs, id_col, text_col).classes().filter("kept AND key IS NOT NULL")
-    keys = kept.select(F.col("key").alias("__key"), (F.col("n_shingles") > 0).alias("__worded")).distinct()
+    """One document of every class, all columns; texts without words stay as they are.
+
+    Of equal texts a task sends one on, so a text many rows hold is no hot key; rows
+    without words meet no other row.
+    """
+    kept = Dedup(docs, id_col, text_col).classes().filter("kept AND n_shingles > 0")
+    keys = kept.select(F.col("key").alias("__key")).distinct()
+    worded = F.coalesce(F.col(text_col).rlike(f"[^{BLANK}]"), F.lit(False))
     first = Window.partitionBy("__key").orderBy(F.col(id_col).asc_nulls_last())
     chosen = (
-        docs.withColumn("__key", F.unhex(F.md5(F.col(text_col))))
-        .join(keys, "__key")
+        docs.filter(worded)
+        .withColumn("__key", F.unhex(F.md5(F.col(text_col))))
         .withColumn("__turn", F.row_number().over(first))
-        .filter("__turn = 1 OR NOT __worded")
+        .filter("__turn = 1")
+        .join(keys, "__key", "left_semi")
         .select(*docs.columns)
     )
-    return chosen.unionByName(docs.filter(F.col(text_col).isNull()))
+    return chosen.unionByName(docs.filter(~worded))

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -71,6 +73,64 @@ def test_repeated_passages_do_not_hide_copies(spark):
     assert [out[i] for i in range(len(texts))] == expected
 
 
+def weighted(text):
+    w = text.lower().split()
+    found = Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+    return {k: 1 + math.log(n) for k, n in found.items()}
+
+
+def probability_jaccard(x, y):
+    every = x.keys() | y.keys()
+    return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in every) for d in x.keys() & y.keys())
+
+
+def test_probability_jaccard_is_exact():
+    rng = np.random.RandomState(5)
+    for _ in range(40):
+        x = {k: rng.choice([1.0, 1.7, 5.0]) for k in range(40) if rng.rand() < 0.7}
+        y = {k: rng.choice([1.0, 1.7, 9.0]) for k in range(40) if rng.rand() < 0.7}
+        sides = [np.array(sorted(s), np.uint32) for s in (x, y)]
+        heavy = [np.array([s[k] for k in sorted(s)]) for s in (x, y)]
+        assert nd.probability_jaccard(*sides, *heavy) == pytest.approx(probability_jaccard(x, y))
+
+
+@pytest.mark.parametrize("chunk", [256, 3])
+def test_weights_link_what_is_said_often(spark, monkeypatch, chunk):
+    """Texts that share a passage said many times and differ in a tail of their own."""
+    monkeypatch.setattr(nd, "CHUNK", chunk)
+    texts = []
+    for group, times in enumerate((1, 2, 30, 60, 200)):
+        shared = " ".join([prose(70, 300 + group)] * times)
+        texts += [f"{shared} {prose(tail, 400 + 10 * group + k)}" for k, tail in enumerate((12, 25, 40, 60))]
+    texts += [prose(90, s) for s in range(500, 510)]
+    sets, heavy, near = [shingles(t) for t in texts], [weighted(t) for t in texts], {}
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if sets[a] & sets[b]:
+            plain = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            near[a, b] = plain, probability_jaccard(heavy[a], heavy[b])
+    assert any(p < 0.75 and w >= 0.85 for p, w in near.values())
+    least = list(range(len(texts)))
+    for _ in texts:
+        for (a, b), found in near.items():
+            if max(found) >= 0.8:
+                least[a] = least[b] = min(least[a], least[b])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.class_id for r in nd.near_duplicates(docs).collect()}
+    assert [out[i] for i in range(len(texts))] == least
+
+
+def test_dropping_moves_one_row_per_text_and_task(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, " \t\u00a0\u2003\x1c\x85").when(F.col("id") % 3 == 1, prose(60, 4)).otherwise("one").alias("text"),
+    )
+    left = nd.drop_near_duplicates(docs)
+    assert left.count() == 1002
+    assert "WindowGroupLimit" in left._jdf.queryExecution().executedPlan().toString()
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.RandomState(3)
     weights = rng.gamma(1, 1, (2, 60)) + 0.05
