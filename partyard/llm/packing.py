@@ -3,9 +3,11 @@
 Lengths are whole numbers up to the largest capacity, so the packing is decided on
 their histogram: a few thousand rows, however many documents there are.  Bins that
 hold the same contents are one group with a count, and best-fit decreasing places
-all documents of a length group by group.  Several ways to open bins are tried, from
-the smallest permitted length up, and the one of least total cost is kept; in the
-end each bin shrinks to the smallest permitted length that holds its contents.
+all documents of a length group by group.  Where no open bin holds a document, one
+opens with the permitted length that costs least per word of what the documents still to
+come would fill it with, so every length gets the bins that suit it.  Packings with one
+smallest bin length for all are made too, and the one of least total cost is kept; in
+the end each bin shrinks to the smallest permitted length that holds its contents.
 
 Documents longer than the largest capacity are cut into pieces, none of them lost.
 Null and blank texts have no words: they return one row without a bin.  Repeated rows
@@ -14,7 +16,7 @@ are packed each.  Other columns are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -45,28 +47,50 @@ class Packing:
     cost: float
 
 
+def _cost_per_word(capacity: int, size: int, left: int, sizes: list[int], counts: dict, final: list[int]) -> float:
+    """Cost per word of a bin opened for a size, filled with the largest of what is left."""
+    room, n = capacity, min(left, capacity // size)
+    while True:
+        room -= n * size
+        k = bisect_right(sizes, min(room, size - 1)) - 1
+        if k < 0:
+            break
+        size = sizes[k]
+        n = min(counts[size], room // size)
+    used = capacity - room
+    return sequence_cost(next(c for c in final if c >= used)) / used
+
+
 def pack_histogram(
-    counts: dict[int, int], capacities: Sequence[int] = CAPACITIES, smallest: int | None = None
+    counts: dict[int, int],
+    capacities: Sequence[int] = CAPACITIES,
+    smallest: int | None = None,
+    jointly: bool = False,
 ) -> Packing:
     """Best-fit decreasing over (size, count).
 
     A document goes to the fullest bin that still holds it; where none does, a bin
-    opens: the cheapest permitted one that holds it and is not below ``smallest``.
+    opens: the cheapest permitted one that holds it and is not below ``smallest``, or
+    ``jointly`` the one of least cost per word it will hold, ties to the smaller one.
     Groups of equal bins are (room, first bin, bins, used); the order is by room and
     first bin, so ties go to the older bin.
     """
     capacities = sorted(capacities)
     floor = smallest or capacities[0]
+    ascending = sorted(s for s in counts if s > 0)
     open_bins: list[tuple[int, int, int, int]] = []
     placed, next_bin = [], 0
-    for size in sorted((s for s in counts if s > 0), reverse=True):
+    for size in reversed(ascending):
         left, rank = counts[size], 0
-        opening = min(
-            (c for c in capacities if c >= max(size, min(floor, capacities[-1]))), key=sequence_cost
-        )
+        fits = [c for c in capacities if c >= max(size, min(floor, capacities[-1]))]
         while left:
             k = bisect_left(open_bins, (size, -1, 0, 0))
             if k == len(open_bins):
+                opening = (
+                    min(fits, key=lambda c: _cost_per_word(c, size, left, ascending, counts, capacities))
+                    if jointly
+                    else min(fits, key=sequence_cost)
+                )
                 bins = -(-left // (opening // size))
                 insort(open_bins, (opening, next_bin, bins, 0))
                 next_bin += bins
@@ -99,7 +123,9 @@ def pack_histogram(
 
 
 def best_packing(counts: dict[int, int], capacities: Sequence[int] = CAPACITIES) -> Packing:
-    return min((pack_histogram(counts, capacities, c) for c in capacities), key=lambda p: p.cost)
+    tried = [pack_histogram(counts, capacities, c) for c in capacities]
+    tried.append(pack_histogram(counts, capacities, jointly=True))
+    return min(tried, key=lambda p: p.cost)
 
 
 def pack(docs: DataFrame, capacities: Sequence[int] = CAPACITIES) -> DataFrame:

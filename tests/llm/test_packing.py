@@ -36,6 +36,33 @@ def test_histogram_packs_like_single_documents():
             assert sorted(u for _, n, _, u in got.bins.tolist() for _ in range(n)) == used
 
 
+def test_sizes_are_chosen_jointly():
+    counts = {1000: 10, 400: 10}
+    uniform = min(packing.pack_histogram(counts, smallest=c).cost for c in packing.CAPACITIES)
+    best = packing.best_packing(counts)
+    assert (uniform, best.cost) == (16128, 15488)
+    assert {c for _, _, c, _ in best.bins.tolist()} == {1024, 2048}
+
+
+def test_joint_packing_places_everything():
+    rng = random.Random(9)
+    gained = 0
+    for _ in range(150):
+        counts = Counter(rng.randint(1, 64) for _ in range(rng.randint(0, 120)))
+        got = packing.pack_histogram(counts, (16, 32, 64), jointly=True)
+        placed = Counter()
+        for size, _, bins, each, _, _ in got.placed.tolist():
+            placed[size] += bins * each
+        assert placed == counts
+        assert sum(n * used for _, n, _, used in got.bins.tolist()) == sum(s * n for s, n in counts.items())
+        assert all(used <= capacity for _, _, capacity, used in got.bins.tolist())
+        uniform = min(packing.pack_histogram(counts, (16, 32, 64), c).cost for c in (16, 32, 64))
+        best = packing.best_packing(counts, (16, 32, 64)).cost
+        assert best <= uniform
+        gained += best < uniform
+    assert gained
+
+
 def check(rows, sizes, capacities):
     bins = defaultdict(list)
     words = Counter()
