@@ -5,7 +5,10 @@ one automaton finds identifier tags and notice phrases in it, so a phrase matche
 however its words are spaced or punctuated.  Behind every identifier tag the original
 text is read as an expression (``MIT OR (Apache-2.0 WITH x AND BSD-2-Clause)``) that a
 shunting-yard parser turns into alternatives: each is a set of licences that have to
-hold together.  Reading ends at the next tag, where the text is no expression any more,
+hold together.  A tag counts where a sign (``:``, ``=``, ``>``) stands behind it, and a
+name where it is a licence's: one of a known family, a reference, or letters with a
+version.  Reading ends at the next tag, where the text is no expression any more, at a
+name that is none,
 or at a line break that neither stands in brackets nor leaves an operand to come.  A
 broken expression keeps the licences read up to the fault; one of too many alternatives
 stays as it is written.
@@ -70,7 +73,22 @@ TAG_WEIGHT, BASE_WEIGHT = 0.95, 0.6
 
 TOKEN = re.compile(rb"[()\n]|[0-9A-Za-z.+:-]+")
 NAMED = re.compile(rb"[0-9A-Za-z]")
+SIGN = re.compile(rb"[:=>]")  # what makes a tag of words that prose also has
 BEFORE = re.compile(rb"[^0-9A-Za-z\x80-\xff(]*")  # between a tag and its expression
+#: Families of licence identifiers that stand without a version or before one.
+FAMILIES = (
+    "afl agpl apache apsl artistic beerware blessing bsd bsl bzip2 cc cddl cecill cpal cpl curl ecl"
+    " efl epl eupl fsfap ftl gfdl gpl hpnd icu ijg imagemagick intel ipl isc json latex libpng libtiff"
+    " lgpl linux-openib lpl lppl mirros mit mpl ms-pl ms-rl mulanpsl ncsa netcdf nokia ntp odbl odc-by"
+    " ofl openldap openssl osl pddl php postgresql psf python qpl rpl ruby sgi sissl sleepycat smlnj tcl"
+    " unicode unlicense upl vim w3c wtfpl x11 xnet zend zlib zpl"
+).split()
+LICENCE = re.compile(
+    rf"(?:{'|'.join(FAMILIES)})(?:-[0-9a-z.-]+)?\+?"
+    r"|(?:documentref-[0-9a-z.-]+:)?(?:licenseref|additionref)-[0-9a-z.-]+"
+    r"|[0-9a-z.-]+-exception(?:-[0-9a-z.-]+)?"
+    r"|0bsd|[a-z][a-z.-]*[0-9][0-9a-z.-]*\+?"
+)
 OPERATORS = {"or": 1, "and": 2, "with": 3}
 LIMIT = 4096
 
@@ -136,12 +154,18 @@ class Expression:
         return ["(", part, ")"] if loose else [part]
 
 
-def read_expression(text: bytes, start: int = 0, end: int | None = None, limit: int = LIMIT) -> Expression | None:
+def read_expression(
+    text: bytes,
+    start: int = 0,
+    end: int | None = None,
+    limit: int = LIMIT,
+    names: re.Pattern | None = None,
+) -> Expression | None:
     """The licence expression at a place of a text, by a shunting-yard parser.
 
     ``with`` binds closest, then ``and``, then ``or``.  Reading stops where the text is
     no expression any more (two names in a row, a stray bracket, the end of a line
-    after a whole expression).
+    after a whole expression) or a name is none of ``names``.
     """
     output: list[Expression] = []
     stack: list[str] = []
@@ -168,7 +192,10 @@ def read_expression(text: bytes, start: int = 0, end: int | None = None, limit:
             elif word == ")" or word in OPERATORS:
                 break
             else:
-                output.append(Expression(word.rstrip(".:-")))
+                name = word.rstrip(".:-")
+                if names and not names.fullmatch(name):
+                    break
+                output.append(Expression(name))
                 operand_next = False
         elif word == ")":
             if not depth:
@@ -264,7 +291,8 @@ class Scanner:
             ends.append(places[word - 1][1])
         found = []
         for here, limit in zip(ends, [*starts[1:], len(text)], strict=True):
-            if e := read_expression(text, BEFORE.match(text, here, limit).end(), limit):
+            between = BEFORE.match(text, here, limit)
+            if SIGN.search(between[0]) and (e := read_expression(text, between.end(), limit, names=LICENCE)):
                 found.append(e)
         return found
 

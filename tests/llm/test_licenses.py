@@ -83,6 +83,27 @@ def test_every_tag_is_read(spark, text, expected):
     assert row.score > 0.94
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("The license expression must be reviewed", []),
+        ("SPDX-License-Identifier: see below", []),
+        ("the SPDX license identifier is in every file", []),
+        ("the SPDX license identifier MIT has", []),
+        ("SPDX-License-Identifier: NONE", []),
+        ("SPDX-License-Identifier: MIT and see the file", ["mit"]),
+        ("SPDX-License-Identifier: LicenseRef-Own-terms OR Zlib", ["licenseref-own-terms OR zlib"]),
+        ("license_expression = 'BSD-3-Clause'", ["bsd-3-clause"]),
+        ("SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0", ["gpl-2.0-or-later with classpath-exception-2.0"]),
+        ("SPDX-License-Identifier: EUPL-1.2+ AND Unlicense.", ["eupl-1.2+ AND unlicense"]),
+    ],
+)
+def test_only_licence_names_count(spark, text, expected):
+    row = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.expressions == expected
+    assert row.score == (pytest.approx(0.95, abs=0.05) if expected else 0)
+
+
 def test_large_expressions_keep_their_alternatives(spark):
     pairs = [f"(a{i} OR b{i})" for i in range(13)]
     text = f"SPDX-License-Identifier: {' AND '.join(pairs)}"
