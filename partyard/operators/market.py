@@ -21,6 +21,7 @@ from partyard.contracts import (
 )
 from partyard.functions import scoring
 from partyard.functions.standardize import standardize_part
+from partyard.operators.selection import trimmed_summary
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:
@@ -74,6 +75,7 @@ def sold_summary(
     trim_min_rows: int = rules.TRIM_MIN_ROWS,
     trim_low: float = rules.TRIM_LOW,
     trim_high: float = rules.TRIM_HIGH,
+    many_prices: bool = False,
 ) -> DataFrame:
     """Price statistics per year, make, model and part.
 
@@ -84,6 +86,8 @@ def sold_summary(
     Rows are first counted per (cell, price) inside each map task.  Prices are
     amounts in cents, so a cell that holds a third of all rows reaches the next
     shuffle as its distinct prices, and the windows over them spill to disk.
+    For prices that hardly repeat (converted or computed ones) ``many_prices`` finds
+    the ranks in bins instead, so no window spans a cell; see ``selection``.
     """
     require_columns(sold, roles.values(), "sold listings")
     price = F.col(roles["price"]).cast("double")
@@ -96,6 +100,10 @@ def sold_summary(
         .groupBy(*CELL, "price")
         .agg(F.count("*").alias("n"), F.max("seen").alias("seen"))
     )
+    if many_prices:
+        return trimmed_summary(
+            histogram, CELL, trim_min_rows=trim_min_rows, trim_low=trim_low, trim_high=trim_high
+        )
     ranks = PriceRanks(CELL)
     counted = ranks.counted(histogram)
     bounded = counted.withColumns(

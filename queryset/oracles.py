@@ -192,6 +192,10 @@ ON b.search_year IS NOT DISTINCT FROM t.search_year AND b.search_make IS NOT DIS
    AND b.search_model IS NOT DISTINCT FROM t.search_model AND b.search_part_std IS NOT DISTINCT FROM t.search_part_std
 """
 
+STEPS["converted"] = """
+SELECT * REPLACE (price_clean * CAST(search_year AS DOUBLE) / 2187e0 AS price_clean) FROM normalized"""
+STEPS["converted_cells"] = STEPS["sold_cells"].replace("FROM normalized", "FROM converted")
+
 
 def summary(market_part: str) -> str:
     scored = f"""
@@ -548,6 +552,9 @@ ORACLES: dict[str, str] = {
     "sold_summary": f"""
         SELECT * REPLACE ({half_even("mean_sold_price", 4)} AS mean_sold_price,
                           CAST(sold_timestamp AS STRING) AS sold_timestamp) FROM sold_cells""",
+    "converted_summary": f"""
+        SELECT * REPLACE ({half_even("mean_sold_price", 4)} AS mean_sold_price,
+                          CAST(sold_timestamp AS STRING) AS sold_timestamp) FROM converted_cells""",
     "analysis_summary": f"SELECT {_EXPORT} FROM scored",
     "analysis_summary_matched": f"SELECT {_EXPORT} FROM scored_matched",
     "ranked_parts": "SELECT * FROM ranked",

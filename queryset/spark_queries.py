@@ -366,6 +366,14 @@ def sold_summary(i: Inputs) -> DataFrame:
     return _rounded(rows, mean_sold_price=4)
 
 
+@query
+def converted_summary(i: Inputs) -> DataFrame:
+    """The sold summary in another currency: prices are no cents, ranks are found in bins."""
+    rows = norm.normalize_raw(i.sold_listings)
+    rows = rows.withColumn("price_clean", F.col("price_clean") * F.col("search_year") / 2187.0)
+    return _rounded(market.sold_summary(rows, many_prices=True), mean_sold_price=4)
+
+
 @query
 def analysis_summary(i: Inputs) -> DataFrame:
     return _rounded(_analysis(i).exported, avg_price=4)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from partyard.contracts import ANALYSIS_SUMMARY, CELL, RANKED_PARTS, RESULT_ITEMS
 from partyard.operators.market import active_summary, analysis_summary, export_summary, sold_summary
 from partyard.operators.ranking import rank_parts, top_parts
+from partyard.operators.selection import price_bin
 from partyard.operators.trend import price_trend
 from partyard.operators.value import pull_profiles, result_items, with_net_value, with_trend
 from partyard.plans.analysis import enrich
@@ -101,6 +102,33 @@ def test_hot_cell_is_counted_before_the_second_shuffle(spark):
     assert "collect_list" not in plan and "percentile" not in plan
 
 
+@pytest.mark.parametrize("size", [1, 19, 20, 41, 400])
+def test_many_prices_match_brute_force(spark, size):
+    random.seed(size)
+    kinds = [lambda: random.uniform(20, 30), lambda: 25 + random.random() * 1e-9, lambda: 0.0, lambda: -random.expovariate(1)]
+    prices = [random.choice(kinds)() for _ in range(size)]
+    rows = sold(spark, *[("door", p) for p in prices], ("hood", None), ("hood", float("nan")), ("seat", 5.5, 2018, None))
+    got = {r.part: r for r in sold_summary(rows, many_prices=True).collect()}
+    kept = np.array(prices)
+    if size >= 20:
+        low, high = np.percentile(kept, [5, 95])
+        kept = kept[(kept >= low) & (kept <= high)]
+    one = got["door"]
+    assert (one.sold_count, one.median_sold_price) == (size, np.median(kept))
+    assert one.mean_sold_price == pytest.approx(kept.mean(), rel=1e-9)
+    assert (one.min_sold_price, one.max_sold_price) == (min(prices), max(prices))
+    assert (got["hood"].sold_count, got["hood"].median_sold_price, got["hood"].mean_sold_price) == (0, None, None)
+    assert (got["seat"].make, got["seat"].median_sold_price) == (None, 5.5)
+    assert sold_summary(rows.limit(0), many_prices=True).count() == 0
+
+
+def test_bins_rise_with_the_price(evaluate):
+    values = [-float("inf"), -1e300, -2.0, -5e-324, 0.0, 5e-324, 1.0, 1.0000001, 1.001, 3.0, 1e300, float("inf")]
+    bins = evaluate(price_bin, *values, None, kind="double")
+    assert bins[-1] is None and bins[:-1] == sorted(bins[:-1])
+    assert bins[3] < bins[4] < bins[5] and bins[6] == bins[7] < bins[8]
+
+
 def test_active_rows_are_not_aggregated(spark):
     rows = active(spark, ("door", 3, 2018, "T", "2026-04-10 10:00:00"), ("door", 5, 2018, "T", "2025-09-03 06:00:00"))
     prepared = active_summary(rows)
