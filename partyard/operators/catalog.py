@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partyard import rules
 from partyard.functions import vehicle
 from partyard.functions.text import blank_to_null
+from partyard.session import stored
+
+#: Names on one page of a paged list.
+PAGE_SIZE = 1000
 
 
 def _sorted_names(rows: DataFrame, keys: list[str], name: Column, alias: str) -> DataFrame:
@@ -47,6 +53,58 @@ def trim_lists(rows: DataFrame) -> DataFrame:
     return _sorted_names(rows, ["make", "model", "year"], trim, "trims")
 
 
+def name_pages(names: DataFrame, keys: Sequence[str], name: str, size: int = PAGE_SIZE) -> DataFrame:
+    """Sorted distinct names per key on numbered pages: keys, ``page`` (from 0), ``names``.
+
+    Names are sorted by range over all keys and stored once with the number of their
+    range.  A name's place is its place inside the range and the key's names in the
+    ranges before, so a key of any size is neither one row nor one task.  Null names
+    are left out; a key without names has no page; null keys are keys.
+    """
+    keys = list(keys)
+    distinct = names.select(*keys, F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
+    ranged = stored(distinct.repartitionByRange(*keys, "_name").withColumn("_range", F.spark_partition_id()))
+    # One row per key and range it reaches into: keys and ranges added up at most.
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy(*keys, "_range")
+        .agg(F.count("*").alias("_n"))
+        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_of"),
+                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    inside = F.row_number().over(Window.partitionBy("_range", *keys).orderBy("_name")) - 1
+    same = [F.col("_range") == F.col("_of"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]]
+    placed = ranged.withColumn("_inside", inside).join(starts, same)
+    page = F.floor((F.col("_start") + F.col("_inside")) / size).cast("long")
+    return (
+        placed.groupBy(*keys, page.alias("page"))
+        .agg(F.array_sort(F.collect_list("_name")).alias("names"))
+        .select(*keys, "page", "names")
+    )
+
+
+def model_pages(rows: DataFrame, requests: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
+    """The lists of ``model_lists`` on pages; a request without models has one empty page."""
+    model = rows.withColumn("model", blank_to_null(F.col("model")))
+    own = name_pages(model.filter("year IS NOT NULL"), ["make", "year"], "model", size)
+    generic = name_pages(model.filter("year IS NULL"), ["make"], "model", size)
+    asked = requests.select("make", "year").distinct()
+    answered = own.filter("page = 0").select("make", "year")
+    found = asked.join(own, ["make", "year"]).unionByName(
+        asked.join(answered, ["make", "year"], "left_anti").join(generic, "make", "left")
+    )
+    none = F.array().cast("array<string>")
+    return found.select(
+        "make", "year", F.coalesce("page", F.lit(0).cast("long")).alias("page"), F.coalesce("names", none).alias("models")
+    )
+
+
+def trim_pages(rows: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
+    """The lists of ``trim_lists`` on pages."""
+    trims = rows.withColumn("trim", F.when(F.trim("trim") != "", F.col("trim")))
+    return name_pages(trims, ["make", "model", "year"], "trim", size).withColumnRenamed("names", "trims")
+
+
 def vin_profiles(attributes: DataFrame) -> DataFrame:
     """One vehicle per valid VIN from long (vin, variable, value, seq) rows.
 

@@ -683,6 +683,31 @@ ORACLES: dict[str, str] = {
         SELECT make, model, year, array_to_string(list_sort(list_distinct(list(catalog_rows.trim))), '|') AS trims
         FROM catalog_rows WHERE catalog_rows.trim IS NOT NULL AND catalog_rows.trim <> ' '
         GROUP BY make, model, year""",
+    "model_pages": """
+        WITH own AS (
+            SELECT make, year, (row_number() OVER (PARTITION BY make, year ORDER BY model) - 1) // 2 AS page, model
+            FROM (SELECT DISTINCT make, year, model FROM catalog_rows
+                  WHERE year IS NOT NULL AND model IS NOT NULL AND model <> '') AS d),
+        generic AS (
+            SELECT make, (row_number() OVER (PARTITION BY make ORDER BY model) - 1) // 2 AS page, model
+            FROM (SELECT DISTINCT make, model FROM catalog_rows
+                  WHERE year IS NULL AND model IS NOT NULL AND model <> '') AS d),
+        asked AS (SELECT DISTINCT make, COALESCE(year, 2013) AS year FROM catalog_rows)
+        SELECT a.make, a.year, o.page, string_agg(o.model, '|' ORDER BY o.model) AS models
+        FROM asked AS a JOIN own AS o ON o.make = a.make AND o.year = a.year GROUP BY a.make, a.year, o.page
+        UNION ALL
+        SELECT a.make, a.year, COALESCE(g.page, 0) AS page,
+               COALESCE(string_agg(g.model, '|' ORDER BY g.model), '') AS models
+        FROM asked AS a LEFT JOIN generic AS g ON g.make = a.make
+        WHERE NOT EXISTS (SELECT 1 FROM own AS o WHERE o.make = a.make AND o.year = a.year)
+        GROUP BY a.make, a.year, COALESCE(g.page, 0)""",
+    "trim_pages": """
+        SELECT make, model, year, page, string_agg(name, '|' ORDER BY name) AS trims
+        FROM (SELECT make, model, year, name,
+                     (row_number() OVER (PARTITION BY make, model, year ORDER BY name) - 1) // 2 AS page
+              FROM (SELECT DISTINCT make, model, year, catalog_rows.trim AS name FROM catalog_rows
+                    WHERE catalog_rows.trim IS NOT NULL AND catalog_rows.trim <> ' ') AS d) AS numbered
+        GROUP BY make, model, year, page""",
     "vin_profile": f"""
         SELECT upper(trim(vin)) AS vin, CAST(model_year AS INT) AS year, trim(make) AS make, trim(model) AS model,
             NULLIF(trim_name, 'Not Applicable') AS trim, series,

@@ -610,6 +610,21 @@ def trim_lists(i: Inputs) -> DataFrame:
     return lists.withColumn("trims", F.array_join("trims", "|"))
 
 
+@query
+def model_pages(i: Inputs) -> DataFrame:
+    """The model lists on pages of two names."""
+    asked = i.catalog_rows.select("make", F.coalesce("year", F.lit(2013)).alias("year"))
+    lists = catalog.model_pages(i.catalog_rows, asked, 2)
+    return lists.withColumn("models", F.array_join("models", "|"))
+
+
+@query
+def trim_pages(i: Inputs) -> DataFrame:
+    """The trim lists on pages of two names."""
+    lists = catalog.trim_pages(i.catalog_rows, 2)
+    return lists.withColumn("trims", F.array_join("trims", "|"))
+
+
 @query
 def vin_profile(i: Inputs) -> DataFrame:
     names = dict(

@@ -208,3 +208,25 @@ def test_totals_and_counts(spark):
     assert {r.table_name: r.row_count for r in counts.collect()} == {"x": 4, "y": 3}
     newest = keyed.latest_rows(spark.range(30), "id", ["id"])
     assert [r.id for r in newest.collect()] == list(range(29, 19, -1))
+
+
+def test_pages_join_to_the_lists(spark):
+    """A make with most of the names spans ranges; pages in their order are the whole list."""
+    ids = spark.range(0, 3000, numPartitions=3)
+    year = F.when(F.col("id") % 3 == 0, F.lit(2018))
+    make = F.when(F.col("id") % 10 < 8, F.lit("Hot")).when(F.col("id") % 10 == 8, F.lit("Rare"))
+    model = F.when(F.col("id") % 7 != 0, F.concat(F.lit("m"), F.col("id") % 1300))
+    rows = ids.select(make.alias("make"), model.alias("model"), year.alias("year"), F.lit(" ").alias("trim"))
+    asked = spark.createDataFrame([("Hot", 2018), ("Hot", 2019), ("Rare", 2018), ("None", 2018)], "make string, year int")
+    pages = catalog.model_pages(rows, asked, 50).collect()
+    lists = {(r.make, r.year): r.models for r in catalog.model_lists(rows, asked).collect()}
+    got = {}
+    for r in sorted(pages, key=lambda r: (r.make, r.year, r.page)):
+        assert r.page * 50 == len(got.setdefault((r.make, r.year), []))
+        assert len(r.models) <= 50
+        got[r.make, r.year] += r.models
+    assert got == lists
+    assert len(lists["Hot", 2019]) > 500 and lists["None", 2018] == []
+    assert catalog.trim_pages(rows).count() == 0
+    whole = catalog.name_pages(rows.select("make", "model"), ["make"], "model", 10_000)
+    assert {r.make for r in whole.collect()} == {"Hot", "Rare", None}
