@@ -156,6 +156,8 @@ CRAWL_LOG = T.StructType(
         T.StructField("status_date", DATE),
     ]
 )
+#: The log without its day: one row per vehicle, crawl and part.
+CRAWL_TOTALS = T.StructType(CRAWL_LOG.fields[:-1])
 SEEN_LISTINGS = T.StructType([T.StructField("digest", STRING), T.StructField("bucket", INT)])
 PRICE_DAYS = T.StructType(
     [

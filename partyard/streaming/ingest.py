@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from partyard.contracts import CRAWL_LOG, STORED_HISTORY
+from partyard.contracts import CRAWL_LOG, CRAWL_TOTALS, STORED_HISTORY
 from partyard.functions.text import blank_to_null, strip_query
 from partyard.operators import price_days
 from partyard.operators.keyed import latest_per_key
 from partyard.operators.seen import SeenListings
-from partyard.sources.folders import BatchTable
+from partyard.sources.folders import BatchTable, KeyedTable
 from partyard.sources.pages import is_listing, listing_rows, split_cards
 
 PAGE_COLUMNS = [
@@ -158,12 +158,60 @@ def ingested_history(spark: SparkSession, history_path: str) -> DataFrame:
     return history_table(spark, history_path).current()
 
 
+def totals_table(spark: SparkSession, path: str) -> KeyedTable:
+    """Totals per vehicle, crawl and part, in buckets by vehicle."""
+    return KeyedTable(spark, path, CRAWL_TOTALS, "vehicle_key")
+
+
+def _replace_totals(stored: DataFrame, newer: DataFrame) -> DataFrame:
+    keys = ["vehicle_key", "crawl_id", "search_part"]
+    named = newer.select([F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return stored.join(named, same, "left_anti").unionByName(newer)
+
+
+def count_crawls(pages: DataFrame, *, totals_path: str, checkpoint_path: str) -> StreamingQuery:
+    """Keep the totals of every crawl as streaming state; then stop.
+
+    The state store holds one row per vehicle, crawl and part, so a batch costs its own
+    pages and the rows it changes, and no log is read again.  Only changed rows come
+    out and replace theirs in the buckets of ``totals_table``.  They are whole totals,
+    not increments: a batch repeated after a failure writes the same rows again.  Late
+    pages count whenever they come, so state is kept for good; a large one belongs on
+    the RocksDB provider.
+    """
+    rows = page_rows(pages).filter((F.col("place") == 0) | is_listing())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                table = totals_table(batch.sparkSession, totals_path)
+                table.merge(batch, _replace_totals)
+                table.vacuum()
+        finally:
+            batch.unpersist()
+
+    return (
+        status_rows(rows)
+        .drop("status_date")
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def current_crawl_status(spark: SparkSession, status_path: str) -> DataFrame:
     """Parts and listings of each vehicle's newest crawl, over all batches that held it."""
+    return newest_crawls(status_table(spark, status_path).current())
+
+
+def newest_crawls(totals: DataFrame) -> DataFrame:
+    """Status of each vehicle's newest crawl from totals per vehicle, crawl and part."""
     crawls = (
-        status_table(spark, status_path)
-        .current()
-        .groupBy("vehicle_key", "crawl_id")
+        totals.groupBy("vehicle_key", "crawl_id")
         .agg(
             F.max("last_crawled_at").alias("last_crawled_at"),
             F.countDistinct("search_part").alias("parts_scraped"),

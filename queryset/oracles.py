@@ -461,6 +461,11 @@ _best_set = """
     ) AS o WHERE rn = 1
 """
 
+_NEWEST_CRAWLS = f"""
+        SELECT '2015|Ford|' || CAST(p_partkey % 5 AS STRING) AS vehicle_key, '{AS_OF}' AS last_crawled_at,
+               COUNT(DISTINCT p_partkey % 4) AS parts_scraped, COUNT(*) AS total_listings, '{AS_OF}' AS updated_at
+        FROM part WHERE p_partkey % 7 = 0 GROUP BY p_partkey % 5"""
+
 ORACLES: dict[str, str] = {
     "search_grid": _GRID,
     "pending_searches": f"""
@@ -511,10 +516,8 @@ ORACLES: dict[str, str] = {
                'part ' || CAST(p_partkey % 4 AS STRING) AS search_part,
                '/itm/' || CAST(p_partkey % 400 AS STRING) AS address
         FROM part""",
-    "page_stream_crawls": f"""
-        SELECT '2015|Ford|' || CAST(p_partkey % 5 AS STRING) AS vehicle_key, '{AS_OF}' AS last_crawled_at,
-               COUNT(DISTINCT p_partkey % 4) AS parts_scraped, COUNT(*) AS total_listings, '{AS_OF}' AS updated_at
-        FROM part WHERE p_partkey % 7 = 0 GROUP BY p_partkey % 5""",
+    "page_stream_crawls": _NEWEST_CRAWLS,
+    "page_stream_totals": _NEWEST_CRAWLS,
     "stored_history": f"""
         SELECT * EXCLUDE (event_id) REPLACE (CAST(scraped_at AS STRING) AS scraped_at, CAST(sold_date AS STRING) AS sold_date)
         FROM sold_history WHERE scraped_at >= TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL 14 DAY""",

@@ -193,8 +193,8 @@ def page_stream_status(i: Inputs) -> DataFrame:
     return ingest.current_crawl_status(i.spark, f"{_ingested(i)}/status")
 
 
-def _several_files(i: Inputs, unique: bool) -> str:
-    """Ingest one-card pages from several files, one file per micro-batch.
+def _land_files(i: Inputs) -> tuple[str, DataFrame]:
+    """A folder and the stream of one-card pages landed in it, one file per micro-batch.
 
     Addresses come again every 400 parts, in other files; every seventh page is of
     the newest crawl, all others are up to three months older and land in between.
@@ -223,9 +223,13 @@ def _several_files(i: Inputs, unique: bool) -> str:
         card.alias("html"),
     )
     pages_.repartition(4, key % 4).write.parquet(f"{base}/landed")
-    landed = (
-        i.spark.readStream.schema(pages_.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
-    )
+    stream = i.spark.readStream.schema(pages_.schema).option("maxFilesPerTrigger", 1)
+    return base, stream.parquet(f"{base}/landed")
+
+
+def _several_files(i: Inputs, unique: bool) -> str:
+    """Ingest the landed pages."""
+    base, landed = _land_files(i)
     run = ingest.ingest_pages(
         landed,
         history_path=f"{base}/history",
@@ -252,6 +256,14 @@ def page_stream_crawls(i: Inputs) -> DataFrame:
     return ingest.current_crawl_status(i.spark, f"{_several_files(i, unique=False)}/status")
 
 
+@query
+def page_stream_totals(i: Inputs) -> DataFrame:
+    """The newest crawl's status from totals that are kept as streaming state."""
+    base, landed = _land_files(i)
+    ingest.count_crawls(landed, totals_path=f"{base}/totals", checkpoint_path=f"{base}/counting").awaitTermination()
+    return ingest.newest_crawls(ingest.totals_table(i.spark, f"{base}/totals").rows())
+
+
 @query
 def repeated_run(i: Inputs) -> DataFrame:
     """The listings of all history rows run twice: addresses stored before are dropped."""

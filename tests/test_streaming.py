@@ -94,3 +94,30 @@ def test_late_pages_are_kept(spark, tmp_path):
         ingest.ingest_pages(stream, drop_repeats=True, **paths).awaitTermination()
     rows = ingest.ingested_history(spark, paths["history_path"]).collect()
     assert sorted(r.listing_url for r in rows) == ["/1", "/2"]
+
+
+def test_totals_are_kept_as_state(spark, tmp_path):
+    """Totals over several runs and batches equal those of the log; old buckets stay."""
+    landed = str(tmp_path / "landed")
+    totals = str(tmp_path / "totals")
+    paths = {f"{k}_path": str(tmp_path / k) for k in ("history", "status", "checkpoint")}
+
+    def run(schema):
+        def stream():
+            return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+
+        ingest.ingest_pages(stream(), **paths).awaitTermination()
+        ingest.count_crawls(stream(), totals_path=totals, checkpoint_path=str(tmp_path / "counting")).awaitTermination()
+        table = ingest.totals_table(spark, totals)
+        log = ingest.status_table(spark, paths["status_path"]).current().drop("status_date")
+        assert sorted(map(tuple, table.rows().collect())) == sorted(map(tuple, log.select(table.rows().columns).collect()))
+        assert ingest.newest_crawls(table.rows()).collect() == ingest.current_crawl_status(spark, paths["status_path"]).collect()
+        return table.manifest()
+
+    for page in (("p1", "door", 1, card("a", "/1")), ("p2", "hood", 1, "<html></html>"), ("p3", "door", 1, card("b", "/2"))):
+        schema = land(spark, landed, page)
+    first = run(schema)
+    assert run(schema) == first
+    land(spark, landed, ("p4", "door", 1, card("c", "/3")))
+    land(spark, landed, ("p5", "visor", 2, card("d", "/4")))
+    assert run(schema).version == first.version + 2
