@@ -4,7 +4,8 @@ A byte-pair tokenizer first cuts a text into pre-tokens and never merges across
 so a count is a sum over pre-tokens.  ``TokenTree`` keeps blocks of pre-tokens as the
 leaves of a tree of sums (characters and tokens).  An edit cuts anew from one
 pre-token before the edited place until a new border meets an old one: from there on
-the old cuts hold.  Only the leaves in between and the sums above them change.
+the old cuts hold.  Only the leaves in between and the sums above them change.  Edits
+of one text are taken in one sweep; those that lie close together share a run.
 
 Nulls and empty texts have no tokens.  Texts are read whole; repeated rows are counted
 each; columns other than id and text are not read.
@@ -55,13 +56,15 @@ class TokenTree:
         self.text, self.counts = text, counts
         self.reencoded = 0
         pieces = counts.pattern.findall(text)
-        lengths = list(map(len, pieces))
-        tokens = list(map(counts.__getitem__, pieces))
-        self.lengths = [lengths[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)] or [[]]
-        self.tokens = [tokens[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)] or [[]]
+        self._build(list(map(len, pieces)), list(map(counts.__getitem__, pieces)))
+
+    def _build(self, lengths: list[int], tokens: list[int]) -> None:
+        self.lengths = [lengths[i : i + BLOCK] for i in range(0, len(lengths), BLOCK)] or [[]]
+        self.tokens = [tokens[i : i + BLOCK] for i in range(0, len(tokens), BLOCK)] or [[]]
         self.leaves = 1 << (len(self.lengths) - 1).bit_length()
         self.chars_sum = [0] * (2 * self.leaves)
         self.tokens_sum = [0] * (2 * self.leaves)
+        self.emptied = 0
         for i, (a, b) in enumerate(zip(self.lengths, self.tokens, strict=True)):
             self.chars_sum[self.leaves + i], self.tokens_sum[self.leaves + i] = sum(a), sum(b)
         for i in range(self.leaves - 1, 0, -1):
@@ -79,15 +82,8 @@ class TokenTree:
         self.chars_sum[i] = self.chars_sum[2 * i] + self.chars_sum[2 * i + 1]
         self.tokens_sum[i] = self.tokens_sum[2 * i] + self.tokens_sum[2 * i + 1]
 
-    def _set_leaf(self, block: int, lengths: list[int], tokens: list[int]) -> None:
-        self.lengths[block], self.tokens[block] = lengths, tokens
-        i = self.leaves + block
-        self.chars_sum[i], self.tokens_sum[i] = sum(lengths), sum(tokens)
-        while i := i >> 1:
-            self._add_up(i)
-
     def _locate(self, place: int) -> tuple[int, int]:
-        """Block that holds the character, and where the block starts."""
+        """Block that holds the character, and where the block starts; empty subtrees are passed."""
         i, start = 1, 0
         while i < self.leaves:
             i *= 2
@@ -96,69 +92,112 @@ class TokenTree:
                 i += 1
         return i - self.leaves, start
 
-    def _restart(self, place: int) -> tuple[int, int, int]:
-        """Block, index and start of the pre-token before the one that holds ``place``."""
-        if not self.text:
-            return 0, 0, 0
+    def _piece_at(self, place: int) -> tuple[int, int, int]:
+        """Block, index and start of the pre-token that holds the character."""
         block, at = self._locate(place)
         index = 0
         while at + self.lengths[block][index] <= place:
             at += self.lengths[block][index]
             index += 1
-        if index == 0:
-            while block and index == 0:  # back over blocks that edits have emptied
-                block -= 1
-                index = len(self.lengths[block])
-            if index == 0:
-                return block, 0, at
-        index -= 1
-        return block, index, at - self.lengths[block][index]
+        return block, index, at
+
+    def _restart(self, place: int) -> tuple[int, int, int]:
+        """Block, index and start of the pre-token before the one that holds ``place``."""
+        if not self.text:
+            return 0, 0, 0
+        block, index, at = self._piece_at(place)
+        return self._piece_at(at - 1) if at else (block, index, at)
+
+    def _apart(self, old: int, start: int) -> bool:
+        """Does an edit at ``start`` cut anew from the old border or later?  At the very start none does."""
+        at = self._restart(max(start - 1, 0))[2]
+        return at >= old and at > 0
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace the characters from ``start`` to ``end``."""
-        first_block, first, at = self._restart(max(start - 1, 0))
-        shift = len(new) - (end - start)
-        settled = start + len(new)
-        self.text = self.text[:start] + new + self.text[end:]
-        block, index, old = first_block, first, at  # the next old pre-token and its start
-        lengths: list[int] = []
-        tokens: list[int] = []
-
-        def skip_to(place: int) -> int:
-            """Move past old pre-tokens that end at or before the place; the old border."""
-            nonlocal block, index, old
-            while True:
-                while block < len(self.lengths) and index >= len(self.lengths[block]):
-                    block, index = block + 1, 0
-                if block >= len(self.lengths) or old + self.lengths[block][index] > place:
-                    return old
-                old += self.lengths[block][index]
-                index += 1
+        self.edit_all([(start, end, new)])
 
-        border = at
-        met = border >= settled and skip_to(border - shift) == border - shift
-        if not met:
-            for match in self.counts.pattern.finditer(self.text, at):
+    def edit_all(self, edits: Iterable[Edit]) -> None:
+        """Apply edits, given by rising place and without overlap, in one sweep.
+
+        Every stretch of edits whose surroundings touch is encoded again as one run, so
+        the work grows with the text between and in the edits, however many there are.
+        """
+        edits = list(edits)
+        if not edits:
+            return
+        fresh = apply_edits(self.text, edits)
+        runs, k, shift = [], 0, 0
+        while k < len(edits):
+            first_block, first, at = self._restart(max(edits[k][0] - 1, 0))
+            block, index, old = first_block, first, at  # the next old pre-token and its start
+            border = settled = at + shift
+            lengths: list[int] = []
+            tokens: list[int] = []
+            matches = self.counts.pattern.finditer(fresh, border)
+            started, ended = False, False
+            while True:
+                # Take in the first edit, those the new border has passed, and at the end all.
+                while k < len(edits) and (not started or ended or border > edits[k][0] + shift):
+                    start, end, new = edits[k]
+                    settled = start + shift + len(new)
+                    shift += len(new) - (end - start)
+                    started, k = True, k + 1
+                if ended or border >= settled:
+                    block, index, old = self._skip(block, index, old, border - shift)
+                    if ended or old == border - shift and (k == len(edits) or self._apart(old, edits[k][0])):
+                        break
+                match = next(matches, None)
+                if match is None:
+                    ended = True
+                    continue
                 lengths.append(match.end() - match.start())
                 tokens.append(self.counts[match[0]])
                 border = match.end()
-                if border >= settled and skip_to(border - shift) == border - shift:
-                    break
+            self.reencoded += len(lengths)
+            runs.append((first_block, first, block, index, lengths, tokens))
+        self.text = fresh
+        self._replace(runs)
+
+    def _skip(self, block: int, index: int, old: int, place: int) -> tuple[int, int, int]:
+        """Past the old pre-tokens that end at or before the place."""
+        while block < len(self.lengths):
+            if index >= len(self.lengths[block]):
+                block, index = (len(self.lengths) if old >= self.chars_sum[1] else self._locate(old)[0]), 0
+            elif old + self.lengths[block][index] <= place:
+                old += self.lengths[block][index]
+                index += 1
             else:
-                skip_to(len(self.text) - shift)
-        self.reencoded += len(lengths)
-        after_lengths = self.lengths[block][index:] if block < len(self.lengths) else []
-        after_tokens = self.tokens[block][index:] if block < len(self.lengths) else []
-        head_lengths = self.lengths[first_block][:first] + lengths
-        head_tokens = self.tokens[first_block][:first] + tokens
-        last = min(block, len(self.lengths) - 1)
-        if last == first_block:
-            self._set_leaf(first_block, head_lengths + after_lengths, head_tokens + after_tokens)
+                break
+        return block, index, old
+
+    def _replace(self, runs: list[tuple[int, int, int, int, list[int], list[int]]]) -> None:
+        """Put new pre-tokens in the place of old ones, last run first, and sum up anew."""
+        changed: set[int] = set()
+        for first_block, first, block, index, lengths, tokens in reversed(runs):
+            for pieces, new in ((self.lengths, lengths), (self.tokens, tokens)):
+                after = pieces[block][index:] if block < len(pieces) else []
+                if block == first_block:
+                    pieces[block] = pieces[block][:first] + new + after
+                    continue
+                pieces[first_block] = pieces[first_block][:first] + new
+                for b in range(first_block + 1, min(block, len(pieces))):
+                    pieces[b] = []
+                if block < len(pieces):
+                    pieces[block] = after
+            changed.update(range(first_block, min(block, len(self.lengths) - 1) + 1))
+        self.emptied += sum(1 for b in changed if not self.lengths[b] and self.chars_sum[self.leaves + b])
+        if max(len(self.lengths[b]) for b in changed) > 4 * BLOCK or 2 * self.emptied > len(self.lengths):
+            # Leaves have grown or emptied too much: deal the pre-tokens out again.
+            self._build([n for b in self.lengths for n in b], [n for b in self.tokens for n in b])
             return
-        self._set_leaf(first_block, head_lengths, head_tokens)
-        for b in range(first_block + 1, last):
-            self._set_leaf(b, [], [])
-        self._set_leaf(last, after_lengths, after_tokens)
+        nodes = {self.leaves + b for b in changed}
+        for i in nodes:
+            self.chars_sum[i] = sum(self.lengths[i - self.leaves])
+            self.tokens_sum[i] = sum(self.tokens[i - self.leaves])
+        while nodes := {i >> 1 for i in nodes if i > 1}:
+            for i in nodes:
+                self._add_up(i)
 
 
 def cleaning_edits(text: str) -> list[Edit]:
@@ -217,8 +256,7 @@ def count_tokens(
             tree = TokenTree(text, counts)
             before = len(text), tree.n_pieces, tree.n_tokens
             found = edits(text)
-            for s, e, new in reversed(found):
-                tree.edit(s, e, new)
+            tree.edit_all(found)
             return *before, len(found), tree.n_tokens, tree.reencoded
 
         def work(rows):

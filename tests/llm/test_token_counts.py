@@ -34,6 +34,37 @@ def test_edits_match_a_new_count(counts):
             assert tree.chars_sum[1] == len(tree.text)
 
 
+def test_many_edits_in_one_sweep(counts):
+    rng = random.Random(2)
+    letters = " \n\t'abcrevlstdm1230.,!é  \n\nXY😀"
+    for _ in range(1500):
+        text = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 3, 60, 900, 3000])))
+        tree = tc.TokenTree(text, counts)
+        for _ in range(3):
+            places = sorted(rng.randint(0, len(tree.text)) for _ in range(2 * rng.choice([0, 1, 2, 9, 40])))
+            edits = [
+                (a, b, "".join(rng.choice(letters) for _ in range(rng.choice([0, 0, 1, 7, 300]))))
+                for a, b in zip(places[::2], places[1::2], strict=True)
+            ]
+            if rng.random() < 0.5:  # short, many of them side by side
+                edits = [(a, min(a + 2, b), new) for a, b, new in edits]
+            expected = tc.apply_edits(tree.text, edits)
+            tree.edit_all(edits)
+            assert tree.text == expected and tree.n_tokens == whole(counts, expected)
+            assert [n for b in tree.lengths for n in b] == list(map(len, counts.pattern.findall(expected)))
+            assert tree.chars_sum[1] == len(expected)
+            assert max(map(len, tree.lengths)) <= 4 * tc.BLOCK
+
+
+def test_repeated_lines_cost_what_they_hold(counts):
+    """As many edits as lines, all blocks emptied: no more is encoded than stays beside them."""
+    text = "".join(f"line {k % 5000} of a log with some words\n" for k in range(40_000))
+    tree, edits = tc.TokenTree(text, counts), tc.cleaning_edits(text)
+    tree.edit_all(edits)
+    assert len(edits) == 35_000 and tree.n_tokens == whole(counts, tree.text)
+    assert tree.reencoded < 20 and len(tree.lengths) < 1000
+
+
 def test_only_the_edited_place_is_encoded_again(counts):
     tree = tc.TokenTree("some words and more of them. " * 20_000, counts)
     tree.edit(300_000, 300_005, "other text")
