@@ -111,6 +111,10 @@ def vin_profiles(attributes: DataFrame) -> DataFrame:
     The last usable value of a variable wins.  VINs of the wrong length and
     VINs without year, make or model are left out instead of failing the job.
     The pivot lists its variables, so it needs no extra pass to find them.
+
+    Usable rows go to their VIN's task before anything is sorted: all steps then share
+    one shuffle and one sort, and a task sorts its share of the VINs.  Combining below
+    the shuffle would sort every row of a scan task, whatever its size.
     """
     wanted = attributes.filter(
         F.col("variable").isin(rules.VIN_VARIABLES)
@@ -119,7 +123,9 @@ def vin_profiles(attributes: DataFrame) -> DataFrame:
         & vehicle.is_valid_vin(F.col("vin"))
     ).withColumn("vin", vehicle.clean_vin(F.col("vin")))
     wide = (
-        wanted.groupBy("vin")
+        wanted.select("vin", "variable", "value", "seq")
+        .repartition("vin")
+        .groupBy("vin")
         .pivot("variable", rules.VIN_VARIABLES)
         .agg(F.max_by("value", "seq"))
     )

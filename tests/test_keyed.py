@@ -199,6 +199,15 @@ def test_vin_profiles(spark):
     assert tuple(one) == (good.upper(), 2003, "HONDA", "Accord", "LX", None, "Coupe", "FWD", "3.0L V6", "Gas")
 
 
+def test_vin_profiles_sort_behind_their_only_shuffle(spark):
+    """A scan task holds no rows: what sorts or combines them gets a share of the VINs."""
+    df = spark.createDataFrame([("1hgcm82633a004352", "Make", "HONDA", 1)], "vin string, variable string, value string, seq int")
+    plan = catalog.vin_profiles(df)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning")
+    assert "Sort" in above and "Aggregate" in above
+    assert "Sort" not in below and "Aggregate" not in below
+
+
 def test_totals_and_counts(spark):
     attempts = spark.createDataFrame([("a", "door"), ("a", "hood"), ("a", "door"), ("b", "door")], "vehicle_key string, search_part string")
     listings = spark.createDataFrame([("a",)] * 3, "vehicle_key string")
