@@ -13,6 +13,7 @@ from partyard.functions.text import blank_to_null, strip_query
 from partyard.operators import price_days
 from partyard.operators.keyed import latest_per_key
 from partyard.operators.seen import SeenListings
+from partyard.session import spread
 from partyard.sources.folders import BatchTable, KeyedTable
 from partyard.sources.pages import is_listing, listing_rows, split_cards
 
@@ -33,12 +34,14 @@ def page_rows(pages: DataFrame) -> DataFrame:
     """One marker row per page (place 0, no fields) and one row per card.
 
     The marker keeps the fact that a page was crawled when it has no card left.
-    Pages without a ``crawl_id`` belong to the crawl of their day.
+    Pages without a ``crawl_id`` belong to the crawl of their day.  Pages are dealt out
+    before they are parsed: those of one landed file would else be one task.
     """
     if "crawl_id" not in pages.columns:
         pages = pages.withColumn("crawl_id", F.to_date("scraped_at").cast("string"))
     cards = split_cards(F.col("html"))
-    return listing_rows(pages.select(*PAGE_COLUMNS, "html"), F.array_insert(cards, 1, F.lit(None)), "place")
+    dealt = spread(pages.select(*PAGE_COLUMNS, "html"), "page_id", "html")
+    return listing_rows(dealt, F.array_insert(cards, 1, F.lit(None)), "place")
 
 
 def without_repeats(rows: DataFrame, delay: str) -> DataFrame:

@@ -121,3 +121,14 @@ def test_totals_are_kept_as_state(spark, tmp_path):
     land(spark, landed, ("p4", "door", 1, card("c", "/3")))
     land(spark, landed, ("p5", "visor", 2, card("d", "/4")))
     assert run(schema).version == first.version + 2
+
+
+def test_pages_of_one_file_are_several_tasks(spark):
+    """Equal ids or null ones do not bring the pages together again."""
+    page = F.concat(F.lit(card("a", "/")), F.col("id"))
+    texts = [F.lit("x").alias(c) for c in ("vehicle_key", "search_make", "search_model", "search_part")]
+    landed = spark.range(0, 100, numPartitions=1).select(
+        F.lit(None).cast("string").alias("page_id"), *texts, F.lit(2018).alias("search_year"), F.lit("2024-02-01").cast("timestamp").alias("scraped_at"), page.alias("html")
+    )
+    tasks = ingest.page_rows(landed).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 200
