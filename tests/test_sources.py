@@ -26,6 +26,13 @@ def test_grid_order_and_pending(spark):
     assert grid.pending_searches(cells, done).count() == 11
 
 
+def test_grid_of_one_file_is_several_tasks(spark):
+    cars = spark.range(0, 100, numPartitions=1).select(F.lit("Ford").alias("make"), F.col("id").cast("string").alias("model"), F.col("id").alias("position"))
+    cells = grid.search_grid(cars, first_year=2012, last_year=2013, parts=["door"])
+    tasks = cells.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 200
+
+
 def cards(spark, html):
     df = spark.createDataFrame([(*CELL, html)], CELLS + ", html string")
     return pages.page_listings(df).orderBy("position_in_page").collect()
