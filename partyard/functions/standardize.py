@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from partyard import rules
-from partyard.functions.literals import array_text, quoted, text_map, without_redundant
+from partyard.functions.literals import text_map
 from partyard.functions.text import contains_any, normalize_token
 
 
@@ -51,25 +51,16 @@ def classify_token(
 
     Text that names both an engine and a transmission module is an engine
     module.  Otherwise the first category wins that has one of its words in the
-    text, as a substring, and none of the words that rule it out.  The
-    vocabulary is a literal array the expression walks through, which keeps the
-    generated code small.
+    text, as a substring, and none of the words that rule it out.
     """
-    rows = ", ".join(
-        f"struct({quoted(c.name)} AS name, "
-        f"{array_text(without_redundant(c.include))} AS include, "
-        f"{array_text(without_redundant(c.exclude))} AS exclude)"
-        for c in categories
+    matching = F.coalesce(
+        *(
+            F.when(contains_any(token, c.include) & ~contains_any(token, c.exclude), F.lit(c.name))
+            for c in categories
+        )
     )
-
-    def named(words: Column) -> Column:
-        return F.exists(words, lambda word: F.contains(token, word))
-
-    matching = F.filter(F.expr(f"array({rows})"), lambda c: named(c.include) & ~named(c.exclude))
     both_modules = contains_any(token, rules.ECM_TERMS) & contains_any(token, rules.TCM_TERMS)
-    return F.when(both_modules, F.lit(rules.ECM_AND_TCM_CATEGORY)).otherwise(
-        F.get(matching, F.lit(0)).getField("name")
-    )
+    return F.when(both_modules, F.lit(rules.ECM_AND_TCM_CATEGORY)).otherwise(matching)
 
 
 def classify_part(

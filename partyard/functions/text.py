@@ -8,14 +8,15 @@ give null unless a function says otherwise.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from partyard import rules
-from partyard.functions.literals import text_array, text_map, without_redundant
+from partyard.functions.literals import without_redundant
 
 
 def blank_to_null(text: Column) -> Column:
@@ -27,8 +28,37 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
+def by_alphabet(text: Column, pattern: str, use: Callable[[Column, str], Column]) -> Column:
+    """``use`` of a ``(?U)`` pattern; ASCII texts get it without ``U``.
+
+    There both say the same, and the ASCII classes and word boundaries cost much less.
+    """
+    ascii_only = re.sub(r"^\(\?(i?)U\)", lambda m: "(?i)" if m[1] else "", pattern)
+    if ascii_only == pattern:
+        return use(text, pattern)
+    return F.when(F.length(text) == F.octet_length(text), use(text, ascii_only)).otherwise(use(text, pattern))
+
+
+def hinted(text: Column, pattern: str, found: Column) -> Column:
+    """``found`` where the text holds one of the pattern's hints, or matches its simpler one, else null."""
+    hints = rules.MATCH_HINTS.get(pattern)
+    if hints is None:
+        return found
+    if isinstance(hints, str):
+        return F.when(by_alphabet(text, hints, lambda t, q: F.rlike(t, F.lit(q))), found)
+    return F.when(contains_any(text, hints), found)
+
+
 def clean_text(text: Column) -> Column:
-    return blank_to_null(squeeze(text))
+    """Squeezed text, null where nothing is left.
+
+    Most texts are ASCII with single spaces and no other white space; substring tests
+    tell them at a fraction of the cost of the expression.  They read the text several
+    times, so it should be a plain column.
+    """
+    odd = contains_any(text, ["  ", "\t", "\n", "\x0b", "\f", "\r"])
+    plain = (F.length(text) == F.octet_length(text)) & ~odd
+    return blank_to_null(F.when(plain, F.trim(text)).otherwise(squeeze(text)))
 
 
 def normalize_token(text: Column) -> Column:
@@ -65,89 +95,79 @@ def condition(
     lowered: Column, patterns: Sequence[tuple[str, str]] = rules.CONDITION_PATTERNS
 ) -> Column:
     """The first label, in list order, whose pattern occurs in lower-cased text."""
-    found = [F.when(F.rlike(lowered, F.lit("(?U)" + p)), F.lit(label)) for label, p in patterns]
+    found = [
+        hinted(lowered, p, by_alphabet(lowered, "(?U)" + p, lambda t, q, name=label: F.when(F.rlike(t, F.lit(q)), F.lit(name))))
+        for label, p in patterns
+    ]
     return F.coalesce(*found)
 
 
 def part_number(
     text: Column, patterns: Sequence[str] = rules.PART_NUMBER_PATTERNS
 ) -> Column:
-    found = [F.regexp_substr(text, F.lit("(?iU)" + p)) for p in patterns]
+    found = [
+        hinted(text, p, by_alphabet(text, "(?iU)" + p, lambda t, q: F.regexp_substr(t, F.lit(q))))
+        for p in patterns
+    ]
     return F.upper(F.coalesce(*found))
 
 
 def years_found(text: Column) -> Column:
-    years = F.regexp_extract_all(text, F.lit(rules.YEAR_WORD), F.lit(1))
+    years = by_alphabet(text, rules.YEAR_WORD, lambda t, q: F.regexp_extract_all(t, F.lit(q), F.lit(1)))
     return blank_to_null(F.array_join(F.array_sort(F.array_distinct(years)), ", "))
 
 
 def year_range(text: Column) -> Column:
-    first = F.regexp_extract(text, rules.YEAR_SPAN, 1)
-    last = F.regexp_extract(text, rules.YEAR_SPAN, 2)
-    return F.when(first != "", F.concat_ws("-", first, last))
+    def span(t: Column, pattern: str) -> Column:
+        first, last = (F.regexp_extract(t, pattern, k) for k in (1, 2))
+        return F.when(first != "", F.concat_ws("-", first, last))
 
+    return hinted(text, rules.YEAR_SPAN, by_alphabet(text, rules.YEAR_SPAN, span))
 
-def listed_words(lowered: Column, words: Sequence[str]) -> Column:
-    """Every listed word that occurs as a whole word in lower-cased text.
 
-    One pass over the text; the lookahead lets matches overlap.  It reports one
-    word per start position, so if one word goes on where another one ends, as
-    "door" and "door mirror" do, each word is searched for itself.  Words are
-    grouped by first letter, and positions with another letter are skipped
-    before the costlier test for a word boundary.
+def has_word(lowered: Column, word: str) -> Column:
+    """Whether a word occurs as a whole word in lower-cased text.
+
+    The substring test comes first, so the expression runs on few texts.
     """
-    nested = any(re.match(rf"{re.escape(a)}\b.", b, re.S) for a in words for b in words)
-    if nested:
-        tests = [
-            F.when(F.rlike(lowered, F.lit(rf"(?U)\b{re.escape(w)}\b")), F.lit(w))
-            for w in words
-        ]
-        return F.array_compact(F.array(*tests))
-    rests: dict[str, list[str]] = {}
-    for word in words:
-        rests.setdefault(word[0], []).append(re.escape(word[1:]))
-    groups = "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in rests.items())
-    letters = "".join(re.escape(letter) for letter in rests)
-    pattern = rf"(?U)(?=[{letters}])\b(?=({groups})\b)"
-    return F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1))
+    return F.contains(lowered, F.lit(word)) & F.rlike(lowered, F.lit(rf"(?U)\b{re.escape(word)}\b"))
 
 
-def vehicle_words(
-    lowered: Column,
-    makes: Sequence[str] = rules.GUESS_MAKES,
-    models: Sequence[str] = rules.GUESS_MODELS,
-) -> Column:
-    return listed_words(lowered, [*makes, *models])
+def listed_words(lowered: Column, words: Sequence[str]) -> Column:
+    """Every listed word that occurs as a whole word in lower-cased text, nested ones too."""
+    return F.array_compact(F.array(*(F.when(has_word(lowered, w), F.lit(w)) for w in words)))
 
 
-def vehicle_guess(
-    found: Column,
+def vehicle_words(
+    lowered: Column,
     makes: Sequence[str] = rules.GUESS_MAKES,
     models: Sequence[str] = rules.GUESS_MODELS,
 ) -> Column:
-    """Title-cased guess from the ``vehicle_words`` of a text.
+    """Title-cased make and model: the first of their lists that lower-cased text has, else null.
 
-    Make and model are the first of their lists that were found; either may be
-    missing.  Titles come from a literal map because ``initcap`` starts words
-    at white space only (``Cr-v`` instead of ``Cr-V``).
+    ``initcap`` would start words at white space only (``Cr-v`` instead of ``Cr-V``).
     """
-    titled = text_map({word: word.title() for word in [*makes, *models]})
 
     def first(words: Sequence[str]) -> Column:
-        word = F.get(F.array_intersect(text_array(words), found), F.lit(0))
-        return F.try_element_at(titled, word)
+        return F.coalesce(*(F.when(has_word(lowered, w), F.lit(w.title())) for w in words))
+
+    return F.array(first(makes), first(models))
+
 
-    return blank_to_null(F.concat_ws(" ", first(makes), first(models)))
+def vehicle_guess(found: Column) -> Column:
+    """The ``vehicle_words`` of a text in one; either may be missing."""
+    return blank_to_null(F.concat_ws(" ", found))
 
 
 def part_words(
     lowered: Column, parts: Mapping[str, Sequence[str]] = rules.GUESS_PARTS
 ) -> Column:
     """The parts a text names, each once."""
-    names = {word: part for part, words in parts.items() for word in words}
-    found = listed_words(lowered, list(names))
-    table = text_map(names)
-    return F.array_distinct(F.transform(found, lambda word: F.try_element_at(table, word)))
+    words: dict[str, list[str]] = {}
+    for word, part in {word: part for part, words in parts.items() for word in words}.items():
+        words.setdefault(part, []).append(word)
+    named = [F.when(reduce(or_, (has_word(lowered, w) for w in own)), F.lit(part)) for part, own in words.items()]
+    return F.array_compact(F.array(*named))
 
 
 def part_guess(found: Column) -> Column:
@@ -159,7 +179,8 @@ def part_guess(found: Column) -> Column:
 
 def sold_date_words(text: Column) -> Column:
     """The sold date as it is written, without reading it as a date."""
-    return blank_to_null(F.regexp_extract(text, rules.SOLD_DATE_WORDS, 1))
+    words = by_alphabet(text, rules.SOLD_DATE_WORDS, lambda t, q: F.regexp_extract(t, q, 1))
+    return hinted(text, rules.SOLD_DATE_WORDS, blank_to_null(words))
 
 
 def parse_sold_date(text: Column) -> Column:
@@ -168,7 +189,8 @@ def parse_sold_date(text: Column) -> Column:
 
 
 def shipping_text(text: Column) -> Column:
-    return clean_text(F.regexp_substr(text, F.lit(rules.SHIPPING)))
+    words = by_alphabet(text, rules.SHIPPING, lambda t, q: F.regexp_substr(t, F.lit(q)))
+    return blank_to_null(squeeze(words))
 
 
 def strip_query(url: Column) -> Column:

@@ -28,12 +28,7 @@ def extract_fields(cleaned: DataFrame) -> DataFrame:
             "_text", text.combined_text(F.col("title"), F.col("subtitle"), F.col("raw_text"))
         )
         .withColumn("_lower", F.lower("_text"))
-        .withColumns(
-            {
-                "_vehicle": text.vehicle_words(F.col("_lower")),
-                "_parts": text.part_words(F.col("_lower")),
-            }
-        )
+        .withColumn("_parts", text.part_words(F.col("_lower")))
     )
     raw_text, words = F.col("raw_text"), F.col("_text")
     return blob.withColumns(
@@ -42,13 +37,13 @@ def extract_fields(cleaned: DataFrame) -> DataFrame:
             "condition_guess": text.condition(F.col("_lower")),
             "sold_date_guess": text.sold_date_words(raw_text),
             "shipping_text": text.shipping_text(raw_text),
-            "vehicle_guess": text.vehicle_guess(F.col("_vehicle")),
+            "vehicle_guess": text.vehicle_guess(text.vehicle_words(F.col("_lower"))),
             "part_guess": text.part_guess(F.col("_parts")),
             "part_number_guess": text.part_number(words),
             "year_range_guess": text.year_range(words),
             "years_found": text.years_found(words),
         }
-    ).drop("_text", "_lower", "_vehicle", "_parts")
+    ).drop("_text", "_lower", "_parts")
 
 
 def cleanse(raw: DataFrame) -> DataFrame:
