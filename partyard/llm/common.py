@@ -33,6 +33,14 @@ def count_words(text: Column) -> Column:
 
 
 Columns = dict[str, list]
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE_ROWS = 1024
+
+
+def slices(*arrays: pa.Array) -> Iterator[list[list]]:
+    """Equally long Arrow arrays as Python lists, a bounded number of rows at a time."""
+    for start in range(0, len(arrays[0]), SLICE_ROWS):
+        yield [a.slice(start, SLICE_ROWS).to_pylist() for a in arrays]
 
 
 def map_columns(
@@ -41,7 +49,7 @@ def map_columns(
     make: Callable[[], Callable[[Columns], Columns | None]],
     finish: str | None = None,
 ) -> DataFrame:
-    """Apply a function on column lists to every Arrow batch.
+    """Apply a function on column lists to every Arrow batch, a slice at a time.
 
     ``make`` runs once per task and gives the function, so tables and automata are
     built once; ``finish`` names its method that gives a last batch, if any.
@@ -53,9 +61,10 @@ def map_columns(
         work = make()
         for batch in batches:
             if batch.num_rows:
-                out = work({n: batch.column(n).to_pylist() for n in batch.schema.names})
-                if out is not None:
-                    yield _batch(out, arrow)
+                for columns in slices(*batch.columns):
+                    out = work(dict(zip(batch.schema.names, columns, strict=True)))
+                    if out is not None:
+                        yield _batch(out, arrow)
         if finish is not None and (out := getattr(work, finish)()) is not None:
             yield _batch(out, arrow)
 

@@ -22,12 +22,12 @@ Ties at the last place are all kept.  Repeated rows get the same noise and verdi
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partyard.llm.common import column, map_columns
+from partyard.llm.common import column, map_columns, slices
 from partyard.session import stored
 
 BUCKET_BITS = 19
@@ -41,6 +41,7 @@ Z = 3.5
 TEMPERATURE = 0.05
 SEED = 11
 FLUSH = 1_000_000
+REMEMBERED = 100_000  # words whose buckets a task keeps
 TRIM = ".,;:!?\"'()[]{}"
 
 
@@ -48,7 +49,7 @@ class Hashed(dict):
     """Two bucket numbers per word, packed into one integer and remembered."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         plain = word.strip(TRIM).lower()
         low = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
@@ -270,10 +271,10 @@ class Classifier:
         def kept(batches):
             score = Scorer(table)
             for ids, texts in batches:
-                keys = np.array([score(i, t)[1] for i, t in zip(ids, texts, strict=True)])
-                yield pd.Series(sortable(keys) >= least if len(keys) else np.zeros(0, bool))
+                keys = [score(i, t)[1] for rows in slices(ids, texts) for i, t in zip(*rows, strict=True)]
+                yield pa.array(sortable(np.array(keys, np.float64)) >= least)
 
-        test = F.pandas_udf(kept, "boolean", F.PandasUDFType.SCALAR_ITER)
+        test = F.arrow_udf(kept, "boolean", F.ArrowUDFType.SCALAR_ITER)
         text = F.col(self.text_col)
         ids = F.col(self.id_col).cast("long").cast("string")  # as text: nulls would turn numbers into doubles
         return docs.filter(test(ids, text) & text.rlike(r"\S"))
