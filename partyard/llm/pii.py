@@ -13,10 +13,12 @@ without its entity is removed, any other is generalised.
 A word is a run of letters, digits and underscores outside of entities, of any length.
 Counts of words are gathered only for words that may matter: a Bloom filter of fixed
 size lets them through and an exact join decides.  As a word is with an entity no more
-often than the entity is there, words more frequent than the most frequent entity
-allows are left out before entities and words are paired.  Nulls and empty texts have no
-entity.  Texts are read whole; repeated rows give repeated results; columns other
-than id and text are not read.
+often than it is in texts with such entities, nor than the entity is there, it can be in
+so many documents at most.  Words that are in more, of the documents with entities alone,
+are not counted over the corpus; words that are in more of the corpus are left out before
+entities and words are paired.  Nulls and empty texts have no entity.  Texts
+are read whole; repeated rows give repeated results; columns other than id and text are
+not read.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partyard.llm import bloom
-from partyard.llm.common import column, map_columns
+from partyard.llm.common import Columns, column, map_columns
 from partyard.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
@@ -46,6 +49,7 @@ TERM = re.compile(r"\w+")
 
 ALPHA = 1.1
 SUPPORT = 3
+FLUSH = 100_000  # words whose counts a task holds
 
 Span = tuple[str, int, int]
 
@@ -146,22 +150,48 @@ def _narrowed(texts: DataFrame, wanted: bytes) -> DataFrame:
     return map_columns(texts, "key string, terms array<string>", make).filter(F.size("terms") > 0)
 
 
-def _frequencies(raw: DataFrame, wanted: bytes) -> DataFrame:
-    """Documents per word, for words the filter lets through."""
+class Counts:
+    """Documents per word over a whole task, given out when there are many words and at the end."""
 
-    def make():
-        passed = bloom.Passed(wanted)
+    def __init__(self, wanted: bytes, words: Callable[[Columns], Iterable[Iterable[str]]]) -> None:
+        self.passed, self.words = bloom.Passed(wanted), words
+        self.counts: Counter = Counter()
 
-        def work(rows):
-            counts: Counter = Counter()
-            for text in rows["text"]:
-                if text:
-                    counts.update([w for w in terms_of(text, find_entities(text)) if passed[w]])
-            return {"term": list(counts), "n": list(counts.values())} if counts else None
+    def __call__(self, rows: Columns) -> Columns | None:
+        passed = self.passed
+        for found in self.words(rows):
+            self.counts.update([w for w in found if passed[w]])
+        return self.rest() if len(self.counts) >= FLUSH else None
+
+    def rest(self) -> Columns | None:
+        counts, self.counts = self.counts, Counter()
+        return {"term": list(counts), "n": list(counts.values())} if counts else None
+
+
+def _words_of_texts(rows: Columns) -> Iterable[Iterable[str]]:
+    return (terms_of(text, find_entities(text)) for text in rows["text"] if text)
 
-        return work
 
-    return map_columns(raw, "term string, n long", make).groupBy("term").agg(F.sum("n").alias("df_term"))
+def _words_of_holders(rows: Columns) -> Iterable[Iterable[str]]:
+    return (terms.split("\n") for terms in rows["terms"])
+
+
+def _frequencies(
+    docs: DataFrame, wanted: bytes, words: Callable[[Columns], Iterable[Iterable[str]]] = _words_of_texts
+) -> DataFrame:
+    """Documents per word, for words the filter lets through."""
+    counts = map_columns(docs, "term string, n long", lambda: Counts(wanted, words), "rest")
+    return counts.groupBy("term").agg(F.sum("n").alias("df_term"))
+
+
+def _usable(held: Column, most: int, n: float, alpha: float) -> Column:
+    """The most documents that a word may be in and disclose an entity.
+
+    It is with none in more than its ``held`` documents, no entity is in more than ``most``.
+    (With ``alpha`` below 1 no word discloses anything.)
+    """
+    co = F.least(held, F.lit(most)).cast("double")
+    return co * F.pow(F.lit(n) / co, F.lit(1 - 1 / alpha)) * (1 + 1e-9)
 
 
 def disclosing_terms(raw: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
@@ -178,15 +208,19 @@ def disclosing_terms(raw: DataFrame, alpha: float = ALPHA, support: int = SUPPOR
         .drop("texts")
     )
     mentions = stored(mentions.join(entities.select("entity"), "entity"))
-    held = mentions.select("key").distinct()
+    held = mentions.groupBy("key").agg(F.max("n").alias("copies"))
     texts = stored(holders.select("key", "terms").dropDuplicates(["key"]).join(held, "key"))
-    listed_terms = texts.select(F.explode(F.split("terms", "\n")).alias("term")).filter("term <> ''")
-    shared = listed_terms.groupBy("term").count().filter(F.col("count") >= support)
+    listed_terms = texts.select("copies", F.explode(F.split("terms", "\n")).alias("term")).filter("term <> ''")
+    shared = listed_terms.groupBy("term").agg(F.count("*").alias("texts"), F.sum("copies").alias("held"))
     n = float(max(raw.filter("text IS NOT NULL").count(), 1))
     most = entities.agg(F.max("df_entity")).first()[0] or 0
-    usable = n ** (1 - 1 / alpha) * most ** (1 / alpha) * (1 + 1e-9)
-    known = stored(_frequencies(raw, bloom.build(shared, F.col("term"))).filter(F.col("df_term") <= usable))
-    narrowed = _narrowed(texts, bloom.build(known, F.col("term")))
+    usable = _usable(F.col("held"), most, n, alpha).alias("usable")
+    shared = stored(shared.filter(F.col("texts") >= support).select("term", usable))
+    among = _frequencies(holders, bloom.build(shared, F.col("term")), _words_of_holders)
+    wanted = stored(shared.join(among, "term").filter("df_term <= usable").drop("df_term"))
+    known = _frequencies(raw, bloom.build(wanted, F.col("term")))
+    known = stored(known.join(wanted, "term").filter("df_term <= usable").drop("usable"))
+    narrowed = _narrowed(texts.drop("copies"), bloom.build(known, F.col("term")))
     together = (
         mentions.join(narrowed, "key")
         .select("entity", "n", F.explode("terms").alias("term"))

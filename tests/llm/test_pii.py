@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
-from partyard.llm import pii
+import pytest
+
+from partyard.llm import bloom, pii
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -77,6 +81,90 @@ def test_copies_prove_nothing(spark):
     assert all(r.disclosed is None for r in out) and len(out) == 36
 
 
+def disclosing(texts, alpha, support):
+    """Brute force: every entity with every word."""
+    n = sum(t is not None for t in texts)
+    df_term, df_entity, co, held, together = Counter(), Counter(), Counter(), defaultdict(set), defaultdict(set)
+    for text in filter(None, texts):
+        spans = pii.find_entities(text)
+        entities, terms = {(k, text[s:e].lower()) for k, s, e in spans}, pii.terms_of(text, spans)
+        df_term.update(terms)
+        df_entity.update(entities)
+        for e in entities:
+            held[e].add(text)
+            for t in terms:
+                co[e, t] += 1
+                together[e, t].add(text)
+    actions = defaultdict(set)
+    for (e, t), both in co.items():
+        content = math.log2(n / df_entity[e])
+        if len(together[e, t]) >= support and content > 0:
+            if math.log2(both * n / (df_term[t] * df_entity[e])) >= content / alpha:
+                actions[t].add(both == df_term[t])
+    return {t: "remove" if True in a else "generalise" for t, a in actions.items()}
+
+
+@pytest.mark.parametrize("alpha", [0.8, 1.0, 1.1, 2.0])
+def test_disclosing_words_match_brute_force(spark, alpha):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    texts = [None, "", "jo@ex.org", "jo@ex.org"]
+    for i in range(400):
+        found = rng.sample(words, rng.randint(1, 12))
+        if rng.random() < 0.4:
+            found += [f"u{k}@ex.org" for k in rng.sample(range(6), rng.randint(1, 3))]
+        texts += [" ".join(found)] * (rng.randint(2, 9) if rng.random() < 0.1 else 1)
+    for k in range(6):  # words of one entity, some of them elsewhere too
+        texts += [f"only{k} mostly{k} beside{i} u{k}@ex.org" for i in range(k + 1)] + [f"mostly{k} alone"] * (k % 3)
+    raw = table(spark, texts).selectExpr("doc_id", "text", "md5(text) AS key")
+    got = {r.term: r.action for r in pii.disclosing_terms(raw.repartition(3), alpha).collect()}
+    assert got == disclosing(texts, alpha, pii.SUPPORT)
+    assert bool(got) == (alpha >= 1)
+
+
+def counted(monkeypatch):
+    """All tables of counts that tasks make."""
+    made, kept = pii.map_columns, []
+
+    def remember(*args):
+        out = made(*args)
+        if out.columns == ["term", "n"]:
+            kept.append(out)
+        return out
+
+    monkeypatch.setattr(pii, "map_columns", remember)
+    return kept
+
+
+def test_a_task_counts_a_word_once(spark, monkeypatch):
+    texts = [f"anna berta clara mail u@ex.org page{i}" for i in range(5)] + ["anna berta clara"] * 6000
+    raw = table(spark, texts).selectExpr("doc_id", "text", "md5(text) AS key").coalesce(1)
+    kept = counted(monkeypatch)
+    wanted = bloom.build(spark.createDataFrame([("anna",), ("berta",)], "term string"), pii.F.col("term"))
+    out = {r.term: r.df_term for r in pii._frequencies(raw, wanted).collect()}
+    assert out == {"anna": 6005, "berta": 6005}
+    assert kept[0].count() == 2
+
+
+def test_full_counts_are_given_out(monkeypatch):
+    monkeypatch.setattr(pii, "FLUSH", 2)
+    count = pii.Counts(b"\xff" * (1 << bloom.BITS - 3), pii._words_of_texts)
+    assert count({"text": ["anna", None, ""]}) is None
+    assert count({"text": ["anna", "berta"]}) == {"term": ["anna", "berta"], "n": [2, 1]}
+    assert count.rest() is None and count({"text": ["clara"]}) is None
+    assert count.rest() == {"term": ["clara"], "n": [1]}
+
+
+def test_words_common_beside_entities_are_not_counted_over_the_corpus(spark, monkeypatch):
+    texts = [f"common zanzibarov u@ex.org page{i}" for i in range(4)]
+    texts += [f"common letter{i} other{i}@ex.org" for i in range(300)] + ["common zanzibarov"] + ["plain text"] * 700
+    raw = table(spark, texts).selectExpr("doc_id", "text", "md5(text) AS key").coalesce(1)
+    kept = counted(monkeypatch)
+    got = {r.term: r.action for r in pii.disclosing_terms(raw).collect()}
+    assert got == disclosing(texts, pii.ALPHA, pii.SUPPORT) == {"zanzibarov": "generalise"}
+    assert [r.term for r in kept[-1].collect()] == ["zanzibarov"]
+
+
 def test_query_columns(spark, odd_docs):
     docs = table(spark, ["mail a.b@c.de and 1.2.3.4", "", None]).unionByName(odd_docs.select("doc_id", "text"))
     out = pii.find_personal_data(docs).withColumn("spans", pii.spans_text())
